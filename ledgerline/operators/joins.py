@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -88,23 +89,45 @@ def code_table(table: DataFrame, prefix: str) -> DataFrame:
     return table.select(F.col("codigo").alias(f"{prefix}_codigo"), F.col("descricao").alias(f"{prefix}_descricao"))
 
 
+@dataclass(frozen=True)
+class Role:
+    """A column of codes, the table that describes them, and a prefix for the columns it adds."""
+
+    column: str
+    table: DataFrame
+    prefix: str
+
+
+def split_by_size(roles: Sequence[Role], max_bytes: int = BROADCAST_BYTES) -> tuple[list[Role], list[Role]]:
+    """Roles whose table was measured to fit ``max_bytes``, and the others."""
+    tables = list({id(r.table): r.table for r in roles}.values())
+    size = dict(zip(map(id, tables), measured_bytes(*tables)))
+    small = [r for r in roles if size[id(r.table)] <= max_bytes]
+    return small, [r for r in roles if size[id(r.table)] > max_bytes]
+
+
+def lookup_small(fact: DataFrame, roles: Sequence[Role]) -> DataFrame:
+    """Left-join with tables that are known to be small, without moving ``fact``."""
+    for r in roles:
+        table = F.broadcast(code_table(r.table, r.prefix))
+        fact = fact.join(table, F.col(r.column) == F.col(f"{r.prefix}_codigo"), "left")
+    return fact
+
+
+def lookup_large(fact: DataFrame, roles: Sequence[Role], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Left-join with tables of any size, by shuffle, hot codes split."""
+    for r in roles:
+        fact = left_join(fact, r.column, (code_table(r.table, r.prefix), f"{r.prefix}_codigo"), hot_rows=hot_rows)
+    return fact
+
+
 def lookup(
     fact: DataFrame, *roles: tuple[str, DataFrame, str], max_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Left-join ``fact`` with code tables: each role is ``(fact column, code table, prefix)``.
 
     Adds ``<prefix>_codigo`` and ``<prefix>_descricao``. Several roles may use the same table. A repeated code
-    repeats the row, as any left join does. Tables measured to be small are broadcast, after the others, which
-    are joined by shuffle with their hot codes split.
+    repeats the row, as any left join does.
     """
-    tables = [code_table(table, prefix) for _, table, prefix in roles]
-    distinct = list({id(table): table for _, table, _ in roles}.values())
-    size_of = dict(zip((id(t) for t in distinct), measured_bytes(*distinct)))
-    small = [size_of[id(table)] <= max_bytes for _, table, _ in roles]
-    for (column, _, prefix), table, fits in zip(roles, tables, small):
-        if not fits:
-            fact = left_join(fact, column, (table, f"{prefix}_codigo"), hot_rows=hot_rows)
-    for (column, _, prefix), table, fits in zip(roles, tables, small):
-        if fits:
-            fact = fact.join(F.broadcast(table), F.col(column) == F.col(f"{prefix}_codigo"), "left")
-    return fact
+    small, large = split_by_size([Role(*r) for r in roles], max_bytes)
+    return lookup_small(lookup_large(fact, large, hot_rows), small)

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import codes, dates, text
 from ledgerline.functions.records import list_text
-from ledgerline.operators.joins import BROADCAST_BYTES, HOT_ROWS, left_join, lookup
+from ledgerline.operators.joins import (
+    BROADCAST_BYTES,
+    HOT_ROWS,
+    Role,
+    left_join,
+    lookup_large,
+    lookup_small,
+    split_by_size,
+)
 from ledgerline.schemas import WIDE, WIDE_V1
 
 _ESTABLISHMENT = (
@@ -54,21 +64,13 @@ def registry_wide(
     is the partner side's, so it is NULL where a company has no partners. The start date has always been
     dropped where the *status* date says none; ``fix_start_guard`` looks at the start date itself.
     """
-    company = _company(companies)
     folded = partners.select(
         F.col("cnpj_basico").alias("partner_key"), list_text(F.col("socios_json")).alias("socios_json")
     )
-    joined = left_join(
-        establishments.select(*_ESTABLISHMENT),
-        "cnpj_basico",
-        (company, "company_key"),
-        (folded, "partner_key"),
-        hot_rows=hot_rows,
-    )
-    return _publish(
-        joined, activities, cities, legal_natures, WIDE, fix_start_guard, max_bytes, hot_rows,
-        extra=[F.col("partner_key").alias("cnpj_basico"), "socios_json"],
-    )
+    by_company = [(_company(companies), "company_key"), (folded, "partner_key")]
+    joined = _joined(establishments, by_company, activities, cities, legal_natures, max_bytes, hot_rows)
+    columns = _published(WIDE, fix_start_guard)
+    return joined.select(*(c.alias(name) for name, c in zip(WIDE, columns)))
 
 
 def registry_wide_v1(
@@ -83,12 +85,10 @@ def registry_wide_v1(
 ) -> DataFrame:
     """First edition, 25 columns. The partners it joined had one row per company and no column selected,
     so leaving them out changes nothing."""
-    joined = left_join(
-        establishments.select(*_ESTABLISHMENT), "cnpj_basico", (_company(companies), "company_key"), hot_rows=hot_rows
-    )
-    return _publish(
-        joined, activities, cities, legal_natures, WIDE_V1, fix_start_guard, max_bytes, hot_rows, extra=[]
-    )
+    by_company = [(_company(companies), "company_key")]
+    joined = _joined(establishments, by_company, activities, cities, legal_natures, max_bytes, hot_rows)
+    columns = _published(WIDE_V1, fix_start_guard)
+    return joined.select(*(c.alias(name) for name, c in zip(WIDE_V1, columns)))
 
 
 def registry_wide_v2(first_edition: DataFrame, partners: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -107,15 +107,33 @@ def _company(companies: DataFrame) -> DataFrame:
     )
 
 
-def _publish(joined, activities, cities, legal_natures, columns, fix_start_guard, max_bytes, hot_rows, extra):
-    looked_up = lookup(
-        joined,
-        ("cnae_fiscal_principal", activities, "activity"),
-        ("municipio", cities, "city"),
-        ("legal_nature", legal_natures, "nature"),
-        max_bytes=max_bytes,
-        hot_rows=hot_rows,
+def _joined(
+    establishments: DataFrame,
+    by_company: list[tuple[DataFrame, str]],
+    activities: DataFrame,
+    cities: DataFrame,
+    legal_natures: DataFrame,
+    max_bytes: int,
+    hot_rows: int,
+) -> DataFrame:
+    """All joins. Code tables too large to broadcast come first, while rows are still narrow; small ones come
+    last, so that their descriptions are never shuffled."""
+    roles = [
+        Role("cnae_fiscal_principal", activities, "activity"),
+        Role("municipio", cities, "city"),
+        Role("legal_nature", legal_natures, "nature"),
+    ]
+    small, large = split_by_size(roles, max_bytes)
+    rows = lookup_large(
+        establishments.select(*_ESTABLISHMENT), [r for r in large if r.column != "legal_nature"], hot_rows
     )
+    rows = left_join(rows, "cnpj_basico", *by_company, hot_rows=hot_rows)
+    rows = lookup_large(rows, [r for r in large if r.column == "legal_nature"], hot_rows)
+    return lookup_small(rows, small)
+
+
+def _published(names: Sequence[str], fix_start_guard: bool) -> list[Column]:
+    """The published columns as expressions over the joined ones."""
     status_date, start_date = F.col("data_situacao_cadastral"), F.col("data_inicio_atividade")
     start_guard = start_date if fix_start_guard else status_date
     computed = {
@@ -129,6 +147,6 @@ def _publish(joined, activities, cities, legal_natures, columns, fix_start_guard
         "nome_municipio": F.col("city_descricao"),
         "porte": codes.size(F.col("porte_empresa")),
         "natureza_juridica": text.repair(F.col("nature_descricao")),
+        "cnpj_basico": F.col("partner_key"),
     }
-    own = [c for c in columns if c not in ("cnpj_basico", "socios_json")]
-    return looked_up.select(*(computed.get(c, F.col(c)).alias(c) for c in own), *extra)
+    return [computed.get(name, F.col(name)) for name in names]

@@ -19,7 +19,7 @@ def local_wall_clock(moment: Column) -> Column:
 
 
 def audit_rows(files: DataFrame, file_name: Column, moment: Column | None = None) -> DataFrame:
-    """One audit row per file, at ``moment`` or now. The session's time zone is expected to be UTC."""
+    """One audit row per file, at ``moment`` or now."""
     moment = F.current_timestamp() if moment is None else moment
     return files.select(
         file_name.alias("file_name"), local_wall_clock(moment).cast("timestamp").alias("download_timestamp")

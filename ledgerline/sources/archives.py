@@ -9,74 +9,99 @@ from ledgerline.functions import text
 
 LINES = "path string, member string, line_no long, line binary"
 
+# Bytes of an empty zip file.
+SMALLEST_ZIP = 22
+# Most tasks one expansion is spread over; beyond that, a task takes several members.
+MAX_TASKS = 10_000
+
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Name and length of every file below ``path``. Contents are not read."""
+    """Path and length of every file below ``path`` that is not empty. Contents are not read."""
     return spark.read.format("binaryFile").load(path).select("path", "length")
 
 
+def list_members(archives: DataFrame) -> DataFrame:
+    """``(path, member)`` of every zip file among the paths. What is no zip file is skipped."""
+
+    def read_names(batches):
+        import zipfile
+
+        import pyarrow as pa
+
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                with _opened(path) as raw:
+                    if raw.size() >= SMALLEST_ZIP and zipfile.is_zipfile(raw):
+                        names = zipfile.ZipFile(raw).namelist()
+                        yield pa.RecordBatch.from_pydict({"path": [path] * len(names), "member": names})
+
+    _opened = _opener()
+    return archives.select("path").mapInArrow(read_names, "path string, member string")
+
+
 def expand(archives: DataFrame) -> DataFrame:
-    """Every line of every member of every archive, undecoded. What is not a zip file yields nothing.
+    """Every line of every member of every zip file, undecoded, as ``(path, member, line_no, line)``.
 
-    ``archives`` has ``path`` and may have ``content``. Without ``content`` a task opens the path itself and
-    inflates it as a stream, so memory does not grow with the archive and the 2 GiB limit of a binary value
-    does not apply. One archive is one stream and so one task; ``repartition`` what comes out if few are large.
+    Members go to tasks of their own. A task opens its path itself and inflates the member as a stream, so
+    memory does not grow with the member, and the 2 GiB limit of a binary value does not apply. One member is
+    one stream and so one task; ``repartition`` what comes out if few are large.
     """
-    with_content = "content" in archives.columns
 
     def read_lines(batches):
-        import io
         import zipfile
 
         import pyarrow as pa
-        from pyarrow import fs
 
         block = 4 << 20
 
-        def opened(path, content):
-            if content is not None:
-                return io.BytesIO(content)
-            uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and "://" not in path else path
-            system, inner = fs.FileSystem.from_uri(uri)
-            return system.open_input_file(inner)
-
-        def batch(path, member, first, lines):
-            n = len(lines)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([path] * n, pa.string()),
-                    pa.array([member] * n, pa.string()),
-                    pa.array(range(first, first + n), pa.int64()),
-                    pa.array(lines, pa.binary()),
-                ],
-                names=["path", "member", "line_no", "line"],
-            )
-
-        for rows in batches:
-            for i in range(rows.num_rows):
-                path = rows.column("path")[i].as_py()
-                content = rows.column("content")[i].as_py() if with_content else None
-                with opened(path, content) as raw:
-                    if not zipfile.is_zipfile(raw):
-                        continue
-                    with zipfile.ZipFile(raw) as archive:
-                        for member in archive.namelist():
-                            with archive.open(member) as stream:
-                                done, tail = 0, []
-                                while data := stream.read(block):
-                                    if b"\n" not in data:
-                                        tail.append(data)
-                                        continue
-                                    *lines, rest = data.split(b"\n")
-                                    lines[0] = b"".join((*tail, lines[0]))
-                                    tail = [rest] if rest else []
-                                    yield batch(path, member, done, lines)
-                                    done += len(lines)
-                                if tail:
-                                    yield batch(path, member, done, [b"".join(tail)])
-
-    columns = ["path", "content"] if with_content else ["path"]
-    return archives.select(*columns).mapInArrow(read_lines, LINES)
+        def lines_of(stream):
+            """Lists of complete lines, whatever the block boundaries."""
+            tail = []
+            while data := stream.read(block):
+                first, *more = data.split(b"\n")
+                tail.append(first)
+                if more:
+                    *complete, rest = more
+                    yield [b"".join(tail), *complete]
+                    tail = [rest]
+            if last := b"".join(tail):
+                yield [last]
+
+        for batch in batches:
+            for path, member in zip(batch.column("path").to_pylist(), batch.column("member").to_pylist()):
+                done = 0
+                with _opened(path) as raw, zipfile.ZipFile(raw) as archive, archive.open(member) as stream:
+                    for lines in lines_of(stream):
+                        n = len(lines)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([path] * n, pa.string()),
+                                pa.array([member] * n, pa.string()),
+                                pa.array(range(done, done + n), pa.int64()),
+                                pa.array(lines, pa.binary()),
+                            ],
+                            names=["path", "member", "line_no", "line"],
+                        )
+                        done += n
+
+    _opened = _opener()
+    members = list_members(archives)
+    # A number of its own for each member: by size, Spark would put these short rows into one task.
+    tasks = max(1, min(members.count(), MAX_TASKS))
+    return members.repartition(tasks).mapInArrow(read_lines, LINES)
+
+
+def _opener():
+    """How a task opens a path. Defined inside, so that it travels with the task."""
+
+    def opened(path):
+        from pyarrow import fs
+
+        uri = f"file://{path[len('file:'):]}" if path.startswith("file:/") and "://" not in path else path
+        system, inner = fs.FileSystem.from_uri(uri)
+        return system.open_input_file(inner)
+
+    return opened
 
 
 def route(lines: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ have partners, some codes have no description.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,32 +21,43 @@ def padded(number: Column, width: int) -> Column:
     return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
 
 
-@dataclass(frozen=True)
 class Register:
-    qualifications: DataFrame
-    countries: DataFrame
-    legal_natures: DataFrame
-    cities: DataFrame
-    activities: DataFrame
-    companies: DataFrame
-    establishments: DataFrame
-    partners: DataFrame
-
-
-def register(spark: SparkSession, sf_dir: str) -> Register:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    return Register(
-        qualifications=code_table(table("nation"), "n_nationkey", 2, "n_name", f"{UNDECODABLE}o"),
-        countries=code_table(table("supplier"), "s_suppkey", 3, "s_name", ""),
-        legal_natures=code_table(table("region"), "r_regionkey", 4, "r_name", f"{UNDECODABLE}o"),
-        cities=code_table(table("nation"), "n_nationkey", 4, "n_name", ""),
-        activities=code_table(table("part"), "p_partkey", 7, "p_name", UNDECODABLE),
-        companies=companies(table("customer")),
-        establishments=establishments(table("orders")),
-        partners=partners(table("events")),
-    )
+    """The eight datasets, each read when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._table = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+    @cached_property
+    def qualifications(self) -> DataFrame:
+        return code_table(self._table("nation"), "n_nationkey", 2, "n_name", f"{UNDECODABLE}o")
+
+    @cached_property
+    def countries(self) -> DataFrame:
+        return code_table(self._table("supplier"), "s_suppkey", 3, "s_name", "")
+
+    @cached_property
+    def legal_natures(self) -> DataFrame:
+        return code_table(self._table("region"), "r_regionkey", 4, "r_name", f"{UNDECODABLE}o")
+
+    @cached_property
+    def cities(self) -> DataFrame:
+        return code_table(self._table("nation"), "n_nationkey", 4, "n_name", "")
+
+    @cached_property
+    def activities(self) -> DataFrame:
+        return code_table(self._table("part"), "p_partkey", 7, "p_name", UNDECODABLE)
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return companies(self._table("customer"))
+
+    @cached_property
+    def establishments(self) -> DataFrame:
+        return establishments(self._table("orders"))
+
+    @cached_property
+    def partners(self) -> DataFrame:
+        return partners(self._table("events"))
 
 
 def code_table(df: DataFrame, key: str, width: int, name: str, ending: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ledgerline.functions import codes
 from ledgerline.schemas import COMPANIES, DATASETS, ESTABLISHMENTS, LOOKUP, PARTNERS, WIDE, WIDE_DATES, WIDE_V1
-from ledgerline.trial.oracle_tables import clean, decode, padded, parse_date, repair, with_tables
+from ledgerline.trial.oracle_tables import clean, decode, parse_date, repair, with_tables
 
 _CNPJ = "cnpj_basico || cnpj_ordem || cnpj_dv"
 _PARTS = "cnpj_basico, cnpj_ordem, cnpj_dv"
@@ -63,7 +63,7 @@ _BODIES = {
     "replace_table": """
         select cast(o_orderkey as varchar) as o_orderkey, o_custkey,
           cast(cast(o_orderdate as date) as varchar) as o_orderdate,
-          cast(o_totalprice as decimal(18, 2)) as o_totalprice from orders""",
+          cast(cast(o_totalprice as decimal(18, 2)) as varchar) as o_totalprice from orders""",
     "insert_positional": """
         select codigo as chave, descricao as texto from activities
         union all select cnpj_basico, razao_social from companies""",

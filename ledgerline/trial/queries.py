@@ -1,9 +1,8 @@
-"""One query per operator, over the given tables. Dates and arrays are rendered as text for comparison."""
+"""One query per operator, over the given tables. Dates, decimals and arrays are rendered as text for comparison."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +31,7 @@ from ledgerline.schemas import (
 from ledgerline.sinks import audit, export, tables
 from ledgerline.sources import archives, listing
 from ledgerline.sources import register as files
-from ledgerline.trial import driver_tables
+from ledgerline.trial.driver_tables import Register, land
 from ledgerline.trial.packing import pack
 from ledgerline.workspace import Workspace
 
@@ -40,7 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(function):
-    """Register ``function`` under its name, its dates as ISO text and its arrays as comma-joined text."""
+    """Register ``function`` under its name, dates and decimals as text and arrays as comma-joined text."""
 
     def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = function(spark, sf_dir)
@@ -54,7 +53,7 @@ def query(function):
 
 def _rendered(field: T.StructField):
     column = F.col(field.name)
-    if isinstance(field.dataType, T.DateType):
+    if isinstance(field.dataType, T.DateType | T.DecimalType):
         return column.cast("string")
     if isinstance(field.dataType, T.TimestampType | T.TimestampNTZType):
         return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
@@ -67,7 +66,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _wide(reg: driver_tables.Register) -> DataFrame:
+def _wide(reg: Register) -> DataFrame:
     return registry_wide(
         reg.establishments,
         reg.companies,
@@ -80,7 +79,7 @@ def _wide(reg: driver_tables.Register) -> DataFrame:
 
 def _landed(spark: SparkSession, sf_dir: str, label: str, *datasets: str) -> str:
     space = Workspace(spark, label)
-    return driver_tables.land(driver_tables.register(spark, sf_dir), space.path("landing"), datasets)
+    return land(Register(spark, sf_dir), space.path("landing"), datasets)
 
 
 # Scans.
@@ -176,7 +175,7 @@ def listing_links(spark, sf_dir):
 @query
 def list_parts(spark, sf_dir):
     path = Workspace(spark, "list_parts").path("export")
-    export.export_csv(driver_tables.register(spark, sf_dir).companies, path)
+    export.export_csv(Register(spark, sf_dir).companies, path)
     return archives.list_files(spark, path)
 
 
@@ -201,7 +200,7 @@ def replace_table(spark, sf_dir):
 @query
 def insert_positional(spark, sf_dir):
     """Two appends whose column names differ from the table's."""
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     name = f"{Workspace(spark, 'insert_positional').database()}.codes"
     tables.create_table(spark, name, text_schema(["chave", "texto"]))
     tables.append(reg.activities, name)
@@ -211,13 +210,13 @@ def insert_positional(spark, sf_dir):
 @query
 def ordered_output(spark, sf_dir):
     name = f"{Workspace(spark, 'ordered_output').database()}.partners"
-    partners = driver_tables.register(spark, sf_dir).partners
+    partners = Register(spark, sf_dir).partners
     return tables.replace_table(partners, name, sort_by="cnpj_basico")
 
 
 @query
 def export_csv_gz(spark, sf_dir):
-    establishments = driver_tables.register(spark, sf_dir).establishments
+    establishments = Register(spark, sf_dir).establishments
     path = export.export_csv(establishments, Workspace(spark, "export_csv_gz").path("export"))
     return filters.data_rows(export.read_as_one(spark, path, ESTABLISHMENTS), "cnpj_basico")
 
@@ -225,7 +224,7 @@ def export_csv_gz(spark, sf_dir):
 @query
 def read_parts_as_one(spark, sf_dir):
     """Shards small enough that there are many, each with its header line."""
-    companies = driver_tables.register(spark, sf_dir).companies
+    companies = Register(spark, sf_dir).companies
     path = export.export_csv(companies, Workspace(spark, "read_parts_as_one").path("export"), shard_rows=500)
     joined = export.read_as_one(spark, path, COMPANIES)
     return joined.groupBy((F.col("cnpj_basico") == "cnpj_basico").alias("header")).agg(
@@ -236,7 +235,7 @@ def read_parts_as_one(spark, sf_dir):
 
 def _staged(spark, sf_dir, label):
     path = Workspace(spark, label).path("export")
-    return load.stage(spark, export.export_csv(_wide(driver_tables.register(spark, sf_dir)), path))
+    return load.stage(spark, export.export_csv(_wide(Register(spark, sf_dir)), path))
 
 
 @query
@@ -252,7 +251,7 @@ def stage_to_typed(spark, sf_dir):
 
 def _two_versions(spark, sf_dir, label):
     """Publish companies as version one, establishments' companies as version two."""
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     names = Tables(f"{Workspace(spark, label).database()}.registry")
     first = reg.companies.select("cnpj_basico", F.col("razao_social").alias("nome"))
     second = reg.establishments.select("cnpj_basico", F.col("nome_fantasia").alias("nome"))
@@ -292,7 +291,7 @@ def ingest_audit(spark, sf_dir):
     """One audit row per fetched page, appended to the audit table, at a fixed moment."""
     name = f"{Workspace(spark, 'ingest_audit').database()}.etl_jobs"
     tables.create_table(spark, name, audit.AUDIT)
-    moment = F.lit(datetime(2024, 1, 15, 12, 0, 0)).cast("timestamp")
+    moment = F.lit("2024-01-15 12:00:00").cast("timestamp")
     return tables.append(audit.audit_rows(_table(spark, sf_dir, "pages"), F.col("url"), moment), name)
 
 
@@ -301,7 +300,7 @@ def ingest_audit(spark, sf_dir):
 
 @query
 def project_rename(spark, sf_dir):
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     return reg.establishments.select(
         "cnpj_basico", "cnpj_ordem", "cnpj_dv", F.col("cnae_fiscal_principal").alias("cnae"), "logradouro"
     )
@@ -309,7 +308,7 @@ def project_rename(spark, sf_dir):
 
 @query
 def filter_not_null(spark, sf_dir):
-    rows = driver_tables.register(spark, sf_dir).establishments
+    rows = Register(spark, sf_dir).establishments
     return rows.where(F.col("nome_fantasia").isNotNull()).select("cnpj_basico", "cnpj_dv", "nome_fantasia")
 
 
@@ -329,7 +328,7 @@ def filter_header_rows(spark, sf_dir):
 @query
 def filter_optional(spark, sf_dir):
     """The four ways to ask: by state, by activity, by both, and for everything."""
-    rows = driver_tables.register(spark, sf_dir).establishments.select(
+    rows = Register(spark, sf_dir).establishments.select(
         F.concat("cnpj_basico", "cnpj_ordem", "cnpj_dv").alias("cnpj"),
         F.col("cnae_fiscal_principal").alias("cnae"),
         "uf",
@@ -352,7 +351,7 @@ def filter_optional(spark, sf_dir):
 
 @query
 def lookup_left_join(spark, sf_dir):
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     rows = reg.establishments.select("cnpj_basico", "cnpj_ordem", "cnpj_dv", "cnae_fiscal_principal", "municipio")
     return joins.lookup(
         rows, ("cnae_fiscal_principal", reg.activities, "cnae"), ("municipio", reg.cities, "cidade")
@@ -362,7 +361,7 @@ def lookup_left_join(spark, sf_dir):
 @query
 def role_playing_lookup(spark, sf_dir):
     """The same code table twice, for the partner's and for the representative's qualification."""
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     rows = reg.partners.select("cpf_cnpj_socio", "qualificacao_socio", "qualificacao_representante")
     return joins.lookup(
         rows,
@@ -381,7 +380,7 @@ def _with_company(reg):
 
 @query
 def chained_lookup(spark, sf_dir):
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     return joins.lookup(_with_company(reg), ("natureza_juridica", reg.legal_natures, "natureza")).drop(
         "natureza_codigo"
     )
@@ -389,12 +388,12 @@ def chained_lookup(spark, sf_dir):
 
 @query
 def fact_fact_left_join(spark, sf_dir):
-    return _with_company(driver_tables.register(spark, sf_dir))
+    return _with_company(Register(spark, sf_dir))
 
 
 @query
 def join_preaggregated(spark, sf_dir):
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     folded = fold_partners(reg.partners, reg.qualifications, reg.countries)
     rows = reg.establishments.select(F.col("cnpj_basico").alias("basico"), "cnpj_ordem", "cnpj_dv")
     return joins.left_join(rows, "basico", (folded, "cnpj_basico"))
@@ -402,7 +401,7 @@ def join_preaggregated(spark, sf_dir):
 
 @query
 def join_on_prefix(spark, sf_dir):
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     rows = reg.establishments.select(F.concat("cnpj_basico", "cnpj_ordem", "cnpj_dv").alias("cnpj"))
     keyed = rows.withColumn("prefix", text.key_prefix(F.col("cnpj")))
     company = reg.companies.select("cnpj_basico", "razao_social")
@@ -412,7 +411,7 @@ def join_on_prefix(spark, sf_dir):
 @query
 def insert_if_absent(spark, sf_dir):
     """Companies, plus one row for each establishment's company that is not among them."""
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     target = reg.companies.select("cnpj_basico", F.col("razao_social").alias("nome"))
     new = reg.establishments.select("cnpj_basico", F.col("nome_fantasia").alias("nome"))
     return keys.insert_if_absent(target, new, "cnpj_basico")
@@ -424,7 +423,7 @@ def insert_if_absent(spark, sf_dir):
 @query
 def partners_json_agg(spark, sf_dir):
     """Partners as they are read, folded per company."""
-    partners = driver_tables.register(spark, sf_dir).partners
+    partners = Register(spark, sf_dir).partners
     return fold(partners.select("cnpj_basico", row_json(partners.columns).alias("record")))
 
 
@@ -435,19 +434,19 @@ def count_rows(spark, sf_dir):
 
 @query
 def count_distinct_key(spark, sf_dir):
-    return gates.count_distinct(driver_tables.register(spark, sf_dir).establishments, "cnpj_basico")
+    return gates.count_distinct(Register(spark, sf_dir).establishments, "cnpj_basico")
 
 
 @query
 def distinct_rows(spark, sf_dir):
-    rows = driver_tables.register(spark, sf_dir).establishments
+    rows = Register(spark, sf_dir).establishments
     return keys.distinct_rows(rows.select("identificador_matriz_filial", "situacao_cadastral", "uf", "municipio"))
 
 
 @query
 def dedup_by_key(spark, sf_dir):
     """One establishment per company."""
-    return keys.one_per_key(driver_tables.register(spark, sf_dir).establishments, "cnpj_basico")
+    return keys.one_per_key(Register(spark, sf_dir).establishments, "cnpj_basico")
 
 
 # Samples.
@@ -455,12 +454,12 @@ def dedup_by_key(spark, sf_dir):
 
 @query
 def random_sample(spark, sf_dir):
-    return sampling.random_sample(driver_tables.register(spark, sf_dir).establishments)
+    return sampling.random_sample(Register(spark, sf_dir).establishments)
 
 
 @query
 def seeded_sample(spark, sf_dir):
-    rows = driver_tables.register(spark, sf_dir).establishments.select(
+    rows = Register(spark, sf_dir).establishments.select(
         F.concat("cnpj_basico", "cnpj_ordem", "cnpj_dv").alias("cnpj"), "uf", "logradouro"
     )
     return sampling.seeded_sample(rows, "cnpj", "2021")
@@ -468,7 +467,7 @@ def seeded_sample(spark, sf_dir):
 
 @query
 def sample_registry(spark, sf_dir):
-    wide = _wide(driver_tables.register(spark, sf_dir))
+    wide = _wide(Register(spark, sf_dir))
     return sampling.sample_registry(wide, {"uf": "S07"}, seed="2021")
 
 
@@ -476,7 +475,7 @@ def sample_registry(spark, sf_dir):
 
 
 def _decoded(spark, sf_dir, table, key, code, decode):
-    df = getattr(driver_tables.register(spark, sf_dir), table)
+    df = getattr(Register(spark, sf_dir), table)
     return df.select(*key, code, decode(F.col(code)).alias("label"))
 
 
@@ -516,21 +515,21 @@ def safe_parse_date(spark, sf_dir):
 
 @query
 def guarded_parse_date(spark, sf_dir):
-    rows = driver_tables.register(spark, sf_dir).establishments
+    rows = Register(spark, sf_dir).establishments
     start, status = F.col("data_inicio_atividade"), F.col("data_situacao_cadastral")
     return rows.select(*_CNPJ, start, status, dates.parse_date(start, guard=status).alias("inicio"))
 
 
 @query
 def repair_text(spark, sf_dir):
-    rows = driver_tables.register(spark, sf_dir).activities
+    rows = Register(spark, sf_dir).activities
     return rows.select("codigo", text.repair(F.col("descricao")).alias("descricao"))
 
 
 @query
 def build_key(spark, sf_dir):
     """Keys of establishments, NULL where the trade name, taken as a part, is NULL."""
-    rows = driver_tables.register(spark, sf_dir).establishments
+    rows = Register(spark, sf_dir).establishments
     return rows.select(
         text.build_key(*(F.col(c) for c in _CNPJ)).alias("cnpj"),
         text.build_key(F.col("cnpj_dv"), F.col("nome_fantasia")).alias("nullable"),
@@ -539,7 +538,7 @@ def build_key(spark, sf_dir):
 
 @query
 def row_to_json(spark, sf_dir):
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     rows = partner_rows(reg.partners, reg.qualifications, reg.countries)
     return rows.select(row_json(PARTNER_RECORD).alias("json"))
 
@@ -547,7 +546,7 @@ def row_to_json(spark, sf_dir):
 @query
 def array_to_text(spark, sf_dir):
     """Trade names of each company as one text, without the NULLs; NULL for companies without establishments."""
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     names = reg.establishments.groupBy("cnpj_basico").agg(
         F.sort_array(F.collect_set(F.col("bairro"))).alias("nomes"),
         F.max("nome_fantasia").alias("maior"),
@@ -570,7 +569,7 @@ def cast_date(spark, sf_dir):
 
 @query
 def key_prefix(spark, sf_dir):
-    rows = driver_tables.register(spark, sf_dir).establishments
+    rows = Register(spark, sf_dir).establishments
     cnpj = text.build_key(*(F.col(c) for c in _CNPJ))
     return rows.select(cnpj.alias("cnpj"), text.key_prefix(cnpj).alias("basico"))
 
@@ -586,7 +585,7 @@ def strip_suffix(spark, sf_dir):
 @query
 def gate_row_count(spark, sf_dir):
     """Staged companies with their header line against the companies."""
-    companies = driver_tables.register(spark, sf_dir).companies
+    companies = Register(spark, sf_dir).companies
     path = export.export_csv(companies, Workspace(spark, "gate_row_count").path("export"))
     staged = filters.data_rows(export.read_as_one(spark, path, COMPANIES), "cnpj_basico")
     return gates.row_count_gate(staged, companies)
@@ -594,7 +593,7 @@ def gate_row_count(spark, sf_dir):
 
 @query
 def gate_distinct_key(spark, sf_dir):
-    establishments = driver_tables.register(spark, sf_dir).establishments
+    establishments = Register(spark, sf_dir).establishments
     return gates.distinct_key_gate(keys.one_per_key(establishments, "cnpj_basico"), establishments, "cnpj_basico")
 
 
@@ -603,13 +602,13 @@ def gate_distinct_key(spark, sf_dir):
 
 @query
 def partners_json(spark, sf_dir):
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     return fold_partners(reg.partners, reg.qualifications, reg.countries)
 
 
 @query
 def registry_wide_table(spark, sf_dir):
-    return _wide(driver_tables.register(spark, sf_dir))
+    return _wide(Register(spark, sf_dir))
 
 
 QUERIES["registry_wide"] = QUERIES.pop("registry_wide_table")
@@ -621,7 +620,7 @@ def _first_edition(reg):
 
 @query
 def registry_first_edition(spark, sf_dir):
-    return _first_edition(driver_tables.register(spark, sf_dir))
+    return _first_edition(Register(spark, sf_dir))
 
 
 QUERIES["registry_wide_v1"] = QUERIES.pop("registry_first_edition")
@@ -629,7 +628,7 @@ QUERIES["registry_wide_v1"] = QUERIES.pop("registry_first_edition")
 
 @query
 def registry_second_edition(spark, sf_dir):
-    reg = driver_tables.register(spark, sf_dir)
+    reg = Register(spark, sf_dir)
     folded = fold_partners(reg.partners, reg.qualifications, reg.countries)
     return registry_wide_v2(_first_edition(reg), folded)
 
