@@ -1,12 +1,16 @@
-"""Folding each company's records into one array."""
+"""Folding each company's rows into one array of JSON records."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.records import row_json
+
 KEY = "cnpj_basico"
-RECORD = "record"
 FOLDED = "socios_json"
 
 # The most text one row may hold, the row limit of the warehouse the published table was designed for.
@@ -18,50 +22,72 @@ PART_BYTES = 16_000_000
 BROADCAST_KEYS = 100_000
 
 
-def oversize_keys(records: DataFrame, max_bytes: int = MAX_CELL_BYTES) -> DataFrame:
+def _record(columns: Sequence[str]) -> Column:
+    return row_json(columns).alias("record")
+
+
+def _most_bytes(rows: DataFrame, columns: Sequence[str]) -> int:
+    """Upper bound of the JSON text of any one key, without writing JSON: a byte takes six at most when
+    escaped, and a field as many more as its name, quotes, colon, comma and ``null`` do."""
+    fixed = sum(len(c) + 10 for c in columns) + 3
+    characters = reduce(
+        Column.__add__, (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns)
+    )
+    bound = F.sum(characters.cast("long") * 6 + fixed)
+    return rows.groupBy(KEY).agg(bound.alias("bytes")).agg(F.max("bytes")).first()[0] or 0
+
+
+def oversize_keys(rows: DataFrame, columns: Sequence[str], max_bytes: int = MAX_CELL_BYTES) -> DataFrame:
     """Keys whose records take more than ``max_bytes`` together, and the bytes. Sums before it shuffles."""
-    size = F.sum(F.octet_length(RECORD) + 1)
+    records = rows.select(KEY, _record(columns))
+    size = F.sum(F.octet_length("record").cast("long") + 1)
     return records.groupBy(KEY).agg(size.alias("bytes")).where(F.col("bytes") > max_bytes)
 
 
-def _split(records: DataFrame, max_bytes: int) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """Records of keys that fit, records of keys that do not (with the ``bytes`` of the key), and those keys."""
-    oversize = oversize_keys(records, max_bytes)
+def _split(
+    rows: DataFrame, columns: Sequence[str], max_bytes: int
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Rows of keys that fit, rows of keys that do not (with the ``bytes`` of the key), and those keys."""
+    if _most_bytes(rows, columns) <= max_bytes:
+        return rows, None, None
+    oversize = oversize_keys(rows, columns, max_bytes)
     n = oversize.count()
     if n == 0:
-        return records, None, None
+        return rows, None, None
     keys = oversize.select(F.col(KEY).alias("oversize_key"), "bytes")
     keys = F.broadcast(keys) if n <= BROADCAST_KEYS else keys
-    marked = records.join(keys, F.col(KEY).eqNullSafe(F.col("oversize_key")), "left")
-    fits = marked.where(F.col("bytes").isNull()).select(KEY, RECORD)
-    rest = marked.where(F.col("bytes").isNotNull()).select(KEY, RECORD, "bytes")
-    return fits, rest, oversize
+    marked = rows.join(keys, F.col(KEY).eqNullSafe(F.col("oversize_key")), "left").drop("oversize_key")
+    return marked.where(F.col("bytes").isNull()), marked.where(F.col("bytes").isNotNull()), oversize
 
 
-def fold(records: DataFrame, max_bytes: int = MAX_CELL_BYTES) -> DataFrame:
-    """``(cnpj_basico, socios_json)`` with all records of a key in one array. NULL is a key like any other.
+def fold(rows: DataFrame, columns: Sequence[str], max_bytes: int = MAX_CELL_BYTES) -> DataFrame:
+    """``(cnpj_basico, socios_json)``: a JSON object of ``columns`` for each row, all of a key in one array.
 
-    The order inside the array is open in the original; here it is sorted. No task collects a group that was
-    not first measured to fit: a key with more than ``max_bytes`` keeps its row, with NULL for the array, and
-    :func:`overflow` has its records.
+    NULL is a key like any other. The order inside the array is open in the original; here it is sorted. No
+    task collects a group that was not first measured to fit: a key with more than ``max_bytes`` keeps its row,
+    with NULL for the array, and :func:`overflow` has its records.
     """
-    fits, rest, oversize = _split(records, max_bytes)
-    folded = fits.groupBy(KEY).agg(F.sort_array(F.collect_list(RECORD)).alias(FOLDED))
+    fits, rest, oversize = _split(rows, columns, max_bytes)
+    records = fits.select(KEY, _record(columns))
+    folded = records.groupBy(KEY).agg(F.sort_array(F.collect_list("record")).alias(FOLDED))
     if rest is None:
         return folded
     return folded.unionAll(oversize.select(KEY, F.lit(None).cast("array<string>").alias(FOLDED)))
 
 
-def overflow(records: DataFrame, max_bytes: int = MAX_CELL_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
+def overflow(
+    rows: DataFrame, columns: Sequence[str], max_bytes: int = MAX_CELL_BYTES, part_bytes: int = PART_BYTES
+) -> DataFrame:
     """``(cnpj_basico, part, socios_json)``: the keys too large for one array, in several arrays each."""
-    _, rest, _ = _split(records, max_bytes)
+    _, rest, _ = _split(rows, columns, max_bytes)
     if rest is None:
-        rest = records.where(F.lit(False)).select(KEY, RECORD, F.lit(0).alias("bytes"))
+        rest = rows.where(F.lit(False)).withColumn("bytes", F.lit(0))
     parts = F.ceil(F.col("bytes") / part_bytes)
     # The same whenever a task is run again, and different for copies of a record read by different tasks.
-    part = F.pmod(F.xxhash64(F.spark_partition_id(), RECORD), parts)
+    part = F.pmod(F.xxhash64(F.spark_partition_id(), "record"), parts).alias("part")
     return (
-        rest.withColumn("part", part)
+        rest.select(KEY, _record(columns), "bytes")
+        .select(KEY, "record", part)
         .groupBy(KEY, "part")
-        .agg(F.sort_array(F.collect_list(RECORD)).alias(FOLDED))
+        .agg(F.sort_array(F.collect_list("record")).alias(FOLDED))
     )

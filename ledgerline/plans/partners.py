@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import codes, dates, text
-from ledgerline.functions.records import row_json
-from ledgerline.operators.fold import RECORD, fold
+from ledgerline.operators.fold import fold
 from ledgerline.operators.joins import lookup
 from ledgerline.schemas import PARTNER_RECORD
 
@@ -51,13 +50,8 @@ def partner_rows(
     )
 
 
-def partner_records(rows: DataFrame) -> DataFrame:
-    """``(cnpj_basico, record)``: one JSON object per partner."""
-    return rows.select("cnpj_basico", row_json(PARTNER_RECORD).alias(RECORD))
-
-
 def partners_json(
     partners: DataFrame, qualifications: DataFrame, countries: DataFrame, fix_representative: bool = False
 ) -> DataFrame:
     """``(cnpj_basico, socios_json)``: the array of a company's partner records."""
-    return fold(partner_records(partner_rows(partners, qualifications, countries, fix_representative)))
+    return fold(partner_rows(partners, qualifications, countries, fix_representative), PARTNER_RECORD)

@@ -59,9 +59,15 @@ def hand_over(spark: SparkSession, source: DataFrame, workspace: Workspace, tabl
     return spark.table(tables.served)
 
 
-def refresh(spark: SparkSession, landing: str, label: str = "refresh", encoding: str = "UTF-8") -> DataFrame:
-    """Run everything on the files below ``landing``; returns the served table."""
-    workspace = Workspace(spark, label)
-    database = workspace.database()
+def refresh(
+    spark: SparkSession, landing: str, database: str | None = None, run: str | None = None, encoding: str = "UTF-8"
+) -> DataFrame:
+    """Run everything on the files below ``landing``; returns the served table ``<database>.registry``.
+
+    The next refresh into the same database keeps what is served now as the backup. Without a database, one of
+    this run's own is used. Runs of the same name overwrite each other's files.
+    """
+    workspace = Workspace(spark, "refresh", run)
+    database = database or workspace.database()
     source = build(spark, landing, workspace, database, encoding)
     return hand_over(spark, source, workspace, Tables(f"{database}.registry"))

@@ -8,17 +8,17 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import REPAIRED, UNDECODABLE
 from ledgerline.schemas import COMPANIES, DATASETS, ESTABLISHMENTS, PARTNERS
 
 
-def padded(number: Column, width: int) -> Column:
-    """Zero-padded to ``width`` and never cut."""
-    digits = number.cast("string")
-    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+def padded(number: str, width: int) -> str:
+    """SQL for ``number`` zero-padded to ``width`` and never cut."""
+    digits = f"cast({number} as string)"
+    return f"if(length({digits}) < {width}, lpad({digits}, {width}, '0'), {digits})"
 
 
 class Register:
@@ -61,99 +61,82 @@ class Register:
 
 
 def code_table(df: DataFrame, key: str, width: int, name: str, ending: str) -> DataFrame:
-    return df.select(
-        padded(F.col(key), width).alias("codigo"), F.concat(F.col(name), F.lit(ending)).alias("descricao")
-    )
+    return df.selectExpr(f"{padded(key, width)} as codigo", f"{name} || '{ending}' as descricao")
 
 
 def companies(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    segment = F.col("c_mktsegment")
     columns = {
         # 0-8, 10-18, 20-28, …: companies whose number ends in 9 are missing.
-        "cnpj_basico": padded(key + F.floor(key / 9), 8),
-        "razao_social": F.col("c_name"),
-        "natureza_juridica": padded(F.col("c_nationkey") % 7, 4),
-        "qualificacao_responsavel": padded(F.col("c_nationkey"), 2),
-        "capital_social": F.col("c_acctbal").cast("decimal(18,2)").cast("string"),
-        "porte_empresa": F.when(segment == "AUTOMOBILE", "01")
-        .when(segment == "BUILDING", "02")
-        .when(segment == "FURNITURE", "03")
-        .when(segment == "MACHINERY", "05")
-        .otherwise("04"),
-        "ente_federativo_responsavel": F.lit(None).cast("string"),
+        "cnpj_basico": padded("c_custkey + c_custkey div 9", 8),
+        "razao_social": "c_name",
+        "natureza_juridica": padded("c_nationkey % 7", 4),
+        "qualificacao_responsavel": padded("c_nationkey", 2),
+        "capital_social": "cast(cast(c_acctbal as decimal(18,2)) as string)",
+        "porte_empresa": """case c_mktsegment when 'AUTOMOBILE' then '01' when 'BUILDING' then '02'
+            when 'FURNITURE' then '03' when 'MACHINERY' then '05' else '04' end""",
     }
-    return customer.select(*(columns[c].alias(c) for c in COMPANIES))
+    return customer.selectExpr(*_in_order(columns, COMPANIES))
 
 
 def establishments(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    day = F.date_format("o_orderdate", "yyyyMMdd")
-    none = F.lit(None).cast("string")
+    k = "o_orderkey"
+    day = "date_format(o_orderdate, 'yyyyMMdd')"
 
-    def number(modulus: int, width: int = 1) -> Column:
-        return padded(k % modulus, width)
+    def number(modulus: int, width: int = 1) -> str:
+        return padded(f"{k} % {modulus}", width)
 
     columns = {
-        "cnpj_basico": padded(F.col("o_custkey"), 8),
-        "cnpj_ordem": padded(F.floor(k / 100), 4),
-        "cnpj_dv": padded(k % 100, 2),
-        "identificador_matriz_filial": F.when(k % 3 == 0, "1").when(k % 3 == 1, "2").otherwise("9"),
-        "nome_fantasia": F.when(k % 10 == 0, none)
-        .when(k % 10 == 1, "")
-        .otherwise(F.concat("o_orderpriority", F.lit(" São & Irmãos (ME)"))),
-        "situacao_cadastral": F.element_at(
-            F.array(*(F.lit(s) for s in ("01", "02", "03", "04", "08", "99"))), (k % 6 + 1).cast("int")
-        ),
-        "data_situacao_cadastral": F.when(k % 7 == 0, "0")
-        .when(k % 11 == 0, "00000000")
-        .when(k % 13 == 0, "20210230")
-        .when(k % 17 == 0, none)
-        .otherwise(day),
+        "cnpj_basico": padded("o_custkey", 8),
+        "cnpj_ordem": padded(f"{k} div 100", 4),
+        "cnpj_dv": number(100, 2),
+        "identificador_matriz_filial": f"case {k} % 3 when 0 then '1' when 1 then '2' else '9' end",
+        "nome_fantasia": f"""case {k} % 10 when 0 then null when 1 then ''
+            else o_orderpriority || ' São & Irmãos (ME)' end""",
+        "situacao_cadastral": f"array('01', '02', '03', '04', '08', '99')[int({k} % 6)]",
+        "data_situacao_cadastral": f"""case when {k} % 7 = 0 then '0' when {k} % 11 = 0 then '00000000'
+            when {k} % 13 = 0 then '20210230' when {k} % 17 = 0 then null else {day} end""",
         "motivo_situacao_cadastral": number(9, 2),
-        "nome_cidade_exterior": none,
-        "pais": none,
-        "data_inicio_atividade": F.when(k % 19 == 0, "0").otherwise(day),
+        "data_inicio_atividade": f"if({k} % 19 = 0, '0', {day})",
         "cnae_fiscal_principal": number(2500, 7),
-        "cnae_fiscal_secundaria": F.concat(number(11, 7), F.lit(","), number(13, 7)),
-        "tipo_logradouro": F.when(k % 2 == 0, "RUA").otherwise("AVENIDA"),
-        "logradouro": F.concat(F.lit('DO "MEIO"; '), number(97)),
+        "cnae_fiscal_secundaria": f"{number(11, 7)} || ',' || {number(13, 7)}",
+        "tipo_logradouro": f"if({k} % 2 = 0, 'RUA', 'AVENIDA')",
+        "logradouro": f"'DO \"MEIO\"; ' || {number(97)}",
         "numero": number(1000),
-        "complemento": F.when(k % 5 == 0, none).otherwise(F.concat(F.lit(" ANDAR #"), number(5), F.lit(" "))),
-        "bairro": F.col("o_orderstatus"),
+        "complemento": f"if({k} % 5 = 0, null, ' ANDAR #' || {number(5)} || ' ')",
+        "bairro": "o_orderstatus",
         "cep": number(99999, 8),
-        "uf": F.concat(F.lit("S"), padded(F.col("o_custkey") % 27, 2)),
-        "municipio": padded(F.col("o_custkey") % 30, 4),
+        "uf": f"'S' || {padded('o_custkey % 27', 2)}",
+        "municipio": padded("o_custkey % 30", 4),
         "ddd_1": number(90, 2),
         "telefone_1": number(9973, 8),
-        "ddd_2": none,
-        "telefone_2": F.when(k % 4 == 0, "").otherwise(none),
-        "ddd_fax": none,
-        "fax": none,
-        "correio_eletronico": F.concat(F.lit("c"), k.cast("string"), F.lit("@example.com")),
-        "situacao_especial": none,
-        "data_situacao_especial": none,
+        "telefone_2": f"if({k} % 4 = 0, '', null)",
+        "correio_eletronico": f"'c' || {k} || '@example.com'",
     }
-    return orders.select(*(columns[c].alias(c) for c in ESTABLISHMENTS))
+    return orders.selectExpr(*_in_order(columns, ESTABLISHMENTS))
 
 
 def partners(events: DataFrame) -> DataFrame:
-    k = F.col("event_id")
+    k = "event_id"
     columns = {
         # Three partners for each company with an even number.
-        "cnpj_basico": padded(F.floor(k / 3) * 2, 8),
-        "identificador_socio": (k % 4).cast("string"),
-        "nome_socio": F.concat("event_type", F.lit(" "), k.cast("string")),
+        "cnpj_basico": padded(f"{k} div 3 * 2", 8),
+        "identificador_socio": f"string({k} % 4)",
+        "nome_socio": f"event_type || ' ' || {k}",
         "cpf_cnpj_socio": padded(k, 11),
-        "qualificacao_socio": padded(k % 28, 2),
-        "data_entrada_sociedade": F.when(k % 9 == 0, "0").otherwise(F.date_format("ts", "yyyyMMdd")),
-        "pais": F.when(k % 8 == 0, F.lit(None).cast("string")).otherwise(padded(k % 130, 3)),
-        "representante_legal": F.lit("***000000**"),
-        "nome_representante": F.concat(F.lit("R"), padded(F.col("user_id"), 6)),
-        "qualificacao_representante": padded((k + 1) % 28, 2),
-        "faixa_etaria": (k % 11).cast("string"),
+        "qualificacao_socio": padded(f"{k} % 28", 2),
+        "data_entrada_sociedade": f"if({k} % 9 = 0, '0', date_format(ts, 'yyyyMMdd'))",
+        "pais": f"if({k} % 8 = 0, null, {padded(f'{k} % 130', 3)})",
+        "representante_legal": "'***000000**'",
+        "nome_representante": f"'R' || {padded('user_id', 6)}",
+        "qualificacao_representante": padded(f"({k} + 1) % 28", 2),
+        "faixa_etaria": f"string({k} % 11)",
     }
-    return events.select(*(columns[c].alias(c) for c in PARTNERS))
+    return events.selectExpr(*_in_order(columns, PARTNERS))
+
+
+def _in_order(columns: dict[str, str], names) -> list[str]:
+    """All columns of a register table; those not given are NULL."""
+    return [f"{columns.get(name, 'cast(null as string)')} as {name}" for name in names]
 
 
 def land(reg: Register, path: str, datasets=tuple(DATASETS)) -> str:

@@ -13,7 +13,7 @@ from ledgerline.functions.records import list_text, row_json
 from ledgerline.operators import filters, joins, keys, sampling
 from ledgerline.operators.fold import fold
 from ledgerline.plans import gates, load
-from ledgerline.plans.partners import partner_records, partner_rows
+from ledgerline.plans.partners import partner_rows
 from ledgerline.plans.partners import partners_json as fold_partners
 from ledgerline.plans.publish import Tables, publish, rollback
 from ledgerline.plans.refresh import refresh
@@ -424,7 +424,7 @@ def insert_if_absent(spark, sf_dir):
 def partners_json_agg(spark, sf_dir):
     """Partners as they are read, folded per company."""
     partners = Register(spark, sf_dir).partners
-    return fold(partners.select("cnpj_basico", row_json(partners.columns).alias("record")))
+    return fold(partners, partners.columns)
 
 
 @query

@@ -21,11 +21,11 @@ def shared_root(spark: SparkSession) -> str:
 
 
 class Workspace:
-    """One run's folder and database below the shared root, so that runs never meet."""
+    """One run's folder and database below the shared root. Runs meet only if they are given the same name."""
 
-    def __init__(self, spark: SparkSession, label: str):
+    def __init__(self, spark: SparkSession, label: str, run: str | None = None):
         self.spark = spark
-        self.run = f"{label}_{uuid.uuid4().hex[:12]}"
+        self.run = f"{label}_{run or uuid.uuid4().hex[:12]}"
         self.root = f"{shared_root(spark)}/{self.run}"
 
     def path(self, *parts: str) -> str:

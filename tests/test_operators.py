@@ -139,29 +139,33 @@ def test_random_sample_is_uniform(spark):
     assert sum(drawn.values()) == 300 and min(drawn.values()) >= 12
 
 
-def records(table, sizes):
-    rows = [(key, f'{{"{key}":{i}}}') for key, n in sizes.items() for i in range(n)]
-    random.Random(1).shuffle(rows)
-    return table(["cnpj_basico", "record"], *rows)
+def test_fold_has_a_group_for_null_and_sorts(table):
+    df = table(["cnpj_basico", "n"], ("1", "b"), ("1", "a"), ("1", "a"), (None, "z"), (None, "y"))
+    assert {r[0]: r[1] for r in fold.fold(df, ["n"]).collect()} == {
+        "1": ['{"n":"a"}', '{"n":"a"}', '{"n":"b"}'], None: ['{"n":"y"}', '{"n":"z"}'],
+    }
+    assert fold.overflow(df, ["n"]).count() == 0
 
 
-def test_fold_has_a_group_for_null_and_sorts(table):
-    df = table(["cnpj_basico", "record"], ("1", "b"), ("1", "a"), ("1", "a"), (None, "z"), (None, "y"))
-    assert {r[0]: r[1] for r in fold.fold(df).collect()} == {"1": ["a", "a", "b"], None: ["y", "z"]}
-    assert fold.overflow(df).count() == 0
+def test_bound_holds_for_text_that_is_escaped(table):
+    df = table(["cnpj_basico", "n"], ("1", "\x01" * 100), ("1", None), ("1", '"' * 50))
+    written = sum(len(s.encode()) + 1 for s in fold.fold(df, ["n"]).first()[1])
+    assert written <= fold._most_bytes(df, ["n"])
 
 
 def test_keys_too_large_for_a_row_keep_every_record(table):
-    df = records(table, {"big": 700, "small": 3, None: 400}).repartition(5)
-    folded = {r[0]: r[1] for r in fold.fold(df, max_bytes=500).collect()}
+    sizes = {"big": 700, "small": 3, None: 400}
+    rows = [(key, str(i % 300)) for key, n in sizes.items() for i in range(n)]
+    random.Random(1).shuffle(rows)
+    df = table(["cnpj_basico", "n"], *rows).repartition(5)
+    folded = {r[0]: r[1] for r in fold.fold(df, ["n"], max_bytes=500).collect()}
     assert folded["big"] is None and folded[None] is None and len(folded["small"]) == 3
-    whole = defaultdict(list)
-    sizes = []
-    for row in fold.overflow(df, max_bytes=500, part_bytes=1000).collect():
+    whole, longest = defaultdict(list), 0
+    for row in fold.overflow(df, ["n"], max_bytes=500, part_bytes=1000).collect():
         whole[row["cnpj_basico"]] += row["socios_json"]
-        sizes.append(sum(map(len, row["socios_json"])))
-    expected = defaultdict(list)
-    for key, record in df.collect():
-        expected[key].append(record)
-    assert {k: sorted(v) for k, v in whole.items()} == {k: sorted(expected[k]) for k in ("big", None)}
-    assert max(sizes) < 3000
+        longest = max(longest, sum(map(len, row["socios_json"])))
+    expected = {k: sorted(f'{{"n":"{n}"}}' for key, n in rows if key == k) for k in ("big", None)}
+    assert {k: sorted(v) for k, v in whole.items()} == expected
+    assert longest < 3000
+    # Nothing is oversize by the exact measure, though the bound says it might be.
+    assert fold.fold(df, ["n"], max_bytes=12_000).where("socios_json is null").count() == 0

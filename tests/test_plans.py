@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ledgerline.plans import gates, load
 from ledgerline.plans.partners import partner_rows, partners_json
 from ledgerline.plans.publish import Tables, publish, rollback
+from ledgerline.plans.refresh import refresh
 from ledgerline.plans.wide import registry_wide, registry_wide_v1, registry_wide_v2
-from ledgerline.schemas import COMPANIES, ESTABLISHMENTS, LOOKUP, PARTNERS, WIDE, WIDE_V1, typed_wide_schema
+from ledgerline.schemas import COMPANIES, DATASETS, ESTABLISHMENTS, LOOKUP, PARTNERS, WIDE, WIDE_V1, typed_wide_schema
 from ledgerline.sinks import audit, export, tables
 from ledgerline.workspace import Workspace
 
@@ -233,3 +234,31 @@ def test_audit_keeps_local_time(spark, table):
     out = tables.append(audit.audit_rows(table(["f"], ("b.zip",)), F.col("f")), name)
     found = {r["file_name"]: str(r["t"]) for r in out.selectExpr("file_name", "cast(download_timestamp as string) t").collect()}
     assert found["a.zip"] == "2024-01-15 09:00:00" and set(found) == {"a.zip", "b.zip"}
+
+
+def test_two_refreshes_and_a_rollback(spark, reg, tmp_path):
+    """From Latin-1 files to the served table, twice into the same database."""
+    database = Workspace(spark, "refreshes").database()
+    options = dict(sep=";", quote='"', escape='"', encoding="ISO-8859-1", lineSep="\n")
+
+    def landed(version):
+        root = f"{tmp_path}/{version}"
+        for name, dataset in DATASETS.items():
+            df = reg[name]
+            if "descricao" in df.columns:
+                df = df.withColumn("descricao", F.regexp_replace("descricao", "�+", "ç"))
+            if name == "establishments":
+                df = df.withColumn("nome_fantasia", F.lit(f"PÃO & {version}"))
+            df.write.options(**options).csv(f"{root}/register.{dataset.suffix}")
+        return root
+
+    served = refresh(spark, landed("A"), database, run="weekly")
+    assert sorted(r["cnpj"] for r in served.collect()) == ["1000191", "1000272", "2000110", "3000111"]
+    assert {r["nome_fantasia"] for r in served.collect()} == {"PO  A"}
+    assert served.where("cnpj = '1000191'").first()["natureza_juridica"] == "Sociedade Empresçria"
+    refresh(spark, landed("B"), database, run="weekly")
+    names = Tables(f"{database}.registry")
+    state = {t: {r["nome_fantasia"] for r in spark.table(t).collect()} for t in (names.served, names.backup)}
+    assert state == {names.served: {"PO  B"}, names.backup: {"PO  A"}}
+    rollback(spark, names)
+    assert {r["nome_fantasia"] for r in spark.table(names.served).collect()} == {"PO  A"}
