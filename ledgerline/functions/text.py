@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,10 @@ SUFFIX_LENGTH = 4
 COMPANY_KEY_LENGTH = 8
 
 
+# What cleaning removes from Latin-1 text, which has no other characters than these 256.
+_DROPPED_LATIN1 = "".join(re.findall(DROPPED_CHARACTERS, bytes(range(256)).decode("latin-1")))
+
+
 def decode_latin1(raw: Column) -> Column:
     return F.decode(raw.cast("binary"), "ISO-8859-1")
 
@@ -23,8 +29,12 @@ def decode_utf8(raw: Column) -> Column:
     return F.make_valid_utf8(raw.cast("string"))
 
 
-def clean(text: Column) -> Column:
-    return F.regexp_replace(text, DROPPED_CHARACTERS, "")
+def clean(raw: Column) -> Column:
+    """Latin-1 bytes → text without the characters that cleaning removes.
+
+    Deleting listed characters gives what replacing by pattern does, several times faster.
+    """
+    return F.translate(decode_latin1(raw), _DROPPED_LATIN1, "")
 
 
 def repair(text: Column) -> Column:

@@ -44,49 +44,47 @@ def oversize_keys(rows: DataFrame, columns: Sequence[str], max_bytes: int = MAX_
     return records.groupBy(KEY).agg(size.alias("bytes")).where(F.col("bytes") > max_bytes)
 
 
-def _split(
-    rows: DataFrame, columns: Sequence[str], max_bytes: int
-) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """Rows of keys that fit, rows of keys that do not (with the ``bytes`` of the key), and those keys."""
+def fold_whole(
+    rows: DataFrame, columns: Sequence[str], max_bytes: int = MAX_CELL_BYTES, part_bytes: int = PART_BYTES
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`fold`, and ``(cnpj_basico, part, socios_json)`` with the records of the keys it leaves NULL, in
+    several arrays each. Together they hold every row; no array is collected that was not measured to fit."""
+    nothing = rows.where(F.lit(False)).withColumn("bytes", F.lit(0))
     if _most_bytes(rows, columns) <= max_bytes:
-        return rows, None, None
+        return _folded(rows, columns), _parts(nothing, columns, part_bytes)
     oversize = oversize_keys(rows, columns, max_bytes)
     n = oversize.count()
     if n == 0:
-        return rows, None, None
+        return _folded(rows, columns), _parts(nothing, columns, part_bytes)
     keys = oversize.select(F.col(KEY).alias("oversize_key"), "bytes")
     keys = F.broadcast(keys) if n <= BROADCAST_KEYS else keys
     marked = rows.join(keys, F.col(KEY).eqNullSafe(F.col("oversize_key")), "left").drop("oversize_key")
-    return marked.where(F.col("bytes").isNull()), marked.where(F.col("bytes").isNotNull()), oversize
+    folded = _folded(marked.where(F.col("bytes").isNull()), columns).unionAll(
+        oversize.select(KEY, F.lit(None).cast("array<string>").alias(FOLDED))
+    )
+    return folded, _parts(marked.where(F.col("bytes").isNotNull()), columns, part_bytes)
 
 
 def fold(rows: DataFrame, columns: Sequence[str], max_bytes: int = MAX_CELL_BYTES) -> DataFrame:
     """``(cnpj_basico, socios_json)``: a JSON object of ``columns`` for each row, all of a key in one array.
 
-    NULL is a key like any other. The order inside the array is open in the original; here it is sorted. No
-    task collects a group that was not first measured to fit: a key with more than ``max_bytes`` keeps its row,
-    with NULL for the array, and :func:`overflow` has its records.
+    NULL is a key like any other. The order inside the array is open in the original; here it is sorted. A key
+    with more than ``max_bytes`` keeps its row, with NULL for the array; :func:`fold_whole` has its records.
     """
-    fits, rest, oversize = _split(rows, columns, max_bytes)
-    records = fits.select(KEY, _record(columns))
-    folded = records.groupBy(KEY).agg(F.sort_array(F.collect_list("record")).alias(FOLDED))
-    if rest is None:
-        return folded
-    return folded.unionAll(oversize.select(KEY, F.lit(None).cast("array<string>").alias(FOLDED)))
+    return fold_whole(rows, columns, max_bytes)[0]
 
 
-def overflow(
-    rows: DataFrame, columns: Sequence[str], max_bytes: int = MAX_CELL_BYTES, part_bytes: int = PART_BYTES
-) -> DataFrame:
-    """``(cnpj_basico, part, socios_json)``: the keys too large for one array, in several arrays each."""
-    _, rest, _ = _split(rows, columns, max_bytes)
-    if rest is None:
-        rest = rows.where(F.lit(False)).withColumn("bytes", F.lit(0))
+def _folded(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    records = rows.select(KEY, _record(columns))
+    return records.groupBy(KEY).agg(F.sort_array(F.collect_list("record")).alias(FOLDED))
+
+
+def _parts(rows: DataFrame, columns: Sequence[str], part_bytes: int) -> DataFrame:
     parts = F.ceil(F.col("bytes") / part_bytes)
     # The same whenever a task is run again, and different for copies of a record read by different tasks.
     part = F.pmod(F.xxhash64(F.spark_partition_id(), "record"), parts).alias("part")
     return (
-        rest.select(KEY, _record(columns), "bytes")
+        rows.select(KEY, _record(columns), "bytes")
         .select(KEY, "record", part)
         .groupBy(KEY, "part")
         .agg(F.sort_array(F.collect_list("record")).alias(FOLDED))

@@ -23,5 +23,5 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
 
 def insert_if_absent(target: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """``target`` plus one row for each key of ``new`` it does not have. Rows already there stay as they are."""
-    absent = one_per_key(new, key).join(target.select(key), key, "left_anti")
+    absent = one_per_key(new, key).join(target.select(key).distinct(), key, "left_anti")
     return target.unionAll(absent.select(*target.columns))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import codes, dates, text
-from ledgerline.operators.fold import fold
+from ledgerline.operators.fold import fold_whole
 from ledgerline.operators.joins import lookup
 from ledgerline.schemas import PARTNER_RECORD
 
@@ -54,4 +54,11 @@ def partners_json(
     partners: DataFrame, qualifications: DataFrame, countries: DataFrame, fix_representative: bool = False
 ) -> DataFrame:
     """``(cnpj_basico, socios_json)``: the array of a company's partner records."""
-    return fold(partner_rows(partners, qualifications, countries, fix_representative), PARTNER_RECORD)
+    return partners_json_whole(partners, qualifications, countries, fix_representative)[0]
+
+
+def partners_json_whole(
+    partners: DataFrame, qualifications: DataFrame, countries: DataFrame, fix_representative: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The same, and the records of companies with more of them than one row may hold."""
+    return fold_whole(partner_rows(partners, qualifications, countries, fix_representative), PARTNER_RECORD)

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from ledgerline.operators.fold import FOLDED, KEY
 from ledgerline.plans import gates, load
-from ledgerline.plans.partners import partners_json
+from ledgerline.plans.partners import partners_json_whole
 from ledgerline.plans.publish import Tables, publish
 from ledgerline.plans.wide import registry_wide
 from ledgerline.schemas import text_schema, typed_wide_schema
@@ -24,7 +24,8 @@ def build(
 ) -> DataFrame:
     """Landed files → the warehouse tables ``socios_agg_json`` and ``registry_source``; returns the latter.
 
-    Text is parsed once: the two large datasets go to Parquet before they are used more than once.
+    Text is parsed once: the two large datasets go to Parquet before they are used more than once. A company
+    with more partners than a row may hold has NULL for them, and all of them in ``socios_overflow``.
     """
     establishments = workspace.keep(scan_cleaned(spark, landing, "establishments"), "establishments")
     partners = workspace.keep(scan(spark, landing, "partners", encoding), "partners")
@@ -32,11 +33,9 @@ def build(
         name: scan(spark, landing, name, encoding)
         for name in ("qualifications", "countries", "legal_natures", "cities", "activities")
     }
-    folded = replace_table(
-        partners_json(partners, codes["qualifications"], codes["countries"]),
-        f"{database}.socios_agg_json",
-        PARTNERS_JSON,
-    )
+    folded, overflow = partners_json_whole(partners, codes["qualifications"], codes["countries"])
+    folded = replace_table(folded, f"{database}.socios_agg_json", PARTNERS_JSON)
+    replace_table(overflow, f"{database}.socios_overflow")
     wide = registry_wide(
         establishments,
         scan(spark, landing, "companies", encoding),
@@ -53,7 +52,8 @@ def hand_over(spark: SparkSession, source: DataFrame, workspace: Workspace, tabl
     shards = export_csv(source, workspace.path("export"))
     staged = replace_table(load.stage(spark, shards), tables.stage, text_schema(source.columns))
     gates.require(gates.row_count_gate(staged, source))
-    new = replace_table(load.typed(staged), tables.new, typed_wide_schema())
+    # Sorted files take the place of an index on the activity code.
+    new = replace_table(load.typed(staged), tables.new, typed_wide_schema(), sort_by="cnae")
     gates.require(gates.distinct_key_gate(new, source, load.KEY))
     publish(spark, tables)
     return spark.table(tables.served)

@@ -42,7 +42,7 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def clean_lines(lines: DataFrame) -> DataFrame:
     """Latin-1 lines with every character outside the kept class removed."""
-    return lines.select(text.clean(text.decode_latin1(F.col("line"))).alias("line"))
+    return lines.select(text.clean(F.col("line")).alias("line"))
 
 
 def parse_lines(lines: DataFrame, columns) -> DataFrame:

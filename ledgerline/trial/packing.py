@@ -27,7 +27,7 @@ def pack(documents: DataFrame, folder: str) -> str:
                 continue
             name = f"K{ids[0]}.{MAIN}"
             raw = io.BytesIO()
-            with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
+            with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
                 with archive.open(name, "w") as member:
                     for doc_id, body in zip(ids, batch.column("text").to_pylist()):
                         for line in body.split("\n"):

@@ -136,8 +136,7 @@ def scan_by_suffix(spark, sf_dir):
 
 @query
 def clean_text(spark, sf_dir):
-    raw = F.encode(F.col("text"), "UTF-8")
-    return _table(spark, sf_dir, "documents").select("doc_id", text.clean(text.decode_latin1(raw)).alias("text"))
+    return _table(spark, sf_dir, "documents").select("doc_id", text.clean(F.encode("text", "UTF-8")).alias("text"))
 
 
 @query

@@ -72,12 +72,24 @@ def test_repair(table):
     assert mapped(table, text.repair, "PARTICIPA��O", None) == ["PARTICIPAççO", None]
 
 
+def cleaned(table, value):
+    return mapped(table, lambda v: text.clean(F.encode(v, "ISO-8859-1")), value)[0]
+
+
 def test_clean_keeps_the_class_and_is_idempotent(table):
     raw = '"0001";"SÃO JOSÉ & FILHOS (ME) \\ ç\'~";"a\rb";"x;y"\r\n'
     expected = '"0001";"SO JOS  FILHOS ME  ";"ab";"x;y"\n'
-    assert mapped(table, text.clean, raw) == [expected]
-    assert mapped(table, text.clean, expected) == [expected]
-    assert mapped(table, text.clean, ",-./:;<=>?@+_ 09azAZ") == [",-./:;<=>?@+_ 09azAZ"]
+    assert cleaned(table, raw) == expected
+    assert cleaned(table, expected) == expected
+    assert cleaned(table, None) is None
+
+
+def test_clean_is_the_pattern_on_every_byte(spark):
+    df = spark.createDataFrame([(bytes([b]),) for b in range(256)], "raw binary")
+    pattern = F.regexp_replace(text.decode_latin1(F.col("raw")), text.DROPPED_CHARACTERS, "")
+    assert df.where(text.clean(F.col("raw")) != pattern).count() == 0
+    kept = "".join(r[0] for r in df.select(text.clean(F.col("raw"))).collect())
+    assert sorted(kept) == sorted({*"0123456789,-./:;<=>?@+_ \"\n", *map(chr, range(65, 91)), *map(chr, range(97, 123))})
 
 
 def test_decode_latin1_accepts_every_byte(spark):

@@ -144,7 +144,7 @@ def test_fold_has_a_group_for_null_and_sorts(table):
     assert {r[0]: r[1] for r in fold.fold(df, ["n"]).collect()} == {
         "1": ['{"n":"a"}', '{"n":"a"}', '{"n":"b"}'], None: ['{"n":"y"}', '{"n":"z"}'],
     }
-    assert fold.overflow(df, ["n"]).count() == 0
+    assert fold.fold_whole(df, ["n"])[1].count() == 0
 
 
 def test_bound_holds_for_text_that_is_escaped(table):
@@ -158,10 +158,11 @@ def test_keys_too_large_for_a_row_keep_every_record(table):
     rows = [(key, str(i % 300)) for key, n in sizes.items() for i in range(n)]
     random.Random(1).shuffle(rows)
     df = table(["cnpj_basico", "n"], *rows).repartition(5)
-    folded = {r[0]: r[1] for r in fold.fold(df, ["n"], max_bytes=500).collect()}
+    folded, overflow = fold.fold_whole(df, ["n"], max_bytes=500, part_bytes=1000)
+    folded = {r[0]: r[1] for r in folded.collect()}
     assert folded["big"] is None and folded[None] is None and len(folded["small"]) == 3
     whole, longest = defaultdict(list), 0
-    for row in fold.overflow(df, ["n"], max_bytes=500, part_bytes=1000).collect():
+    for row in overflow.collect():
         whole[row["cnpj_basico"]] += row["socios_json"]
         longest = max(longest, sum(map(len, row["socios_json"])))
     expected = {k: sorted(f'{{"n":"{n}"}}' for key, n in rows if key == k) for k in ("big", None)}
