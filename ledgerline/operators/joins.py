@@ -16,23 +16,22 @@ ROW_OVERHEAD = 64
 FIELD_OVERHEAD = 16
 
 # A key with more rows than this gets split over several tasks.
-HOT_ROWS = 1_000_000
+HOT_ROWS = 250_000
 # At most this many keys are split, the hottest first; a key left out has fewer rows than any of them,
 # so less than 1 / MAX_HOT_KEYS of the table.
 MAX_HOT_KEYS = 10_000
 # At most this many pieces per key, which is also how often the other side's row is repeated.
-MAX_PIECES = 1_000
+MAX_PIECES = 4_000
 
 
 def measured_bytes(*tables: DataFrame) -> list[int]:
-    """Upper bound of the memory each table of text columns takes, by one aggregate job over all of them."""
+    """Upper bound of the memory each table takes, by its text, from one aggregate job over all of them."""
 
     def size(i: int, table: DataFrame) -> DataFrame:
         fixed = ROW_OVERHEAD + FIELD_OVERHEAD * len(table.columns)
-        characters = reduce(Column.__add__, (F.coalesce(F.octet_length(c), F.lit(0)) for c in table.columns))
-        return table.agg(
-            F.lit(i).alias("i"), F.coalesce(F.sum(characters + F.lit(fixed)), F.lit(0)).alias("bytes")
-        )
+        lengths = (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns)
+        row = reduce(Column.__add__, lengths).cast("long") + fixed
+        return table.agg(F.lit(i).alias("i"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes"))
 
     sizes = reduce(DataFrame.unionAll, (size(i, t) for i, t in enumerate(tables)))
     return [r["bytes"] for r in sorted(sizes.collect())]
@@ -49,13 +48,18 @@ def hot_keys(fact: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[tuple[
 
 
 def left_join(
-    fact: DataFrame, key: str, *others: tuple[DataFrame, str], hot_rows: int = HOT_ROWS
+    fact: DataFrame,
+    key: str,
+    *others: tuple[DataFrame, str],
+    hot_rows: int = HOT_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``fact`` left-joined on ``key`` with each ``(table, column)``, keeping all columns.
 
-    All joins share one shuffle of ``fact``. A hot key would put its rows into one task, so its rows are dealt
-    out over pieces and the few matching rows of the other tables are repeated once per piece; NULL keys are
-    dealt out too and match nothing. Column names must differ between the tables.
+    All joins share one shuffle of ``fact``. A hot key would put its rows into one task. If there is one, tables
+    measured to be small are broadcast; for the others its rows are dealt out over pieces and the few matching
+    rows of the table are repeated once per piece. NULL keys are dealt out too and match nothing. Column names
+    must differ between the tables.
     """
     hot = hot_keys(fact, key, hot_rows)
     if not hot:
@@ -63,25 +67,39 @@ def left_join(
             fact = fact.join(table, F.col(key) == F.col(column), "left")
         return fact
 
+    columns = fact.columns + [c for table, _ in others for c in table.columns]
+    sizes = measured_bytes(*(table for table, _ in others))
+    small = [other for other, size in zip(others, sizes) if size <= max_bytes]
+    large = [other for other, size in zip(others, sizes) if size > max_bytes]
+    if large:
+        fact = _left_join_in_pieces(fact, key, large, hot)
+    for table, column in small:
+        fact = fact.join(F.broadcast(table), F.col(key) == F.col(column), "left")
+    return fact.select(*columns)
+
+
+def _left_join_in_pieces(
+    fact: DataFrame, key: str, others: Sequence[tuple[DataFrame, str]], hot: list[tuple[str | None, int]]
+) -> DataFrame:
     # At most MAX_HOT_KEYS short rows.
     pieces = F.broadcast(fact.sparkSession.createDataFrame(hot, "hot_key string, pieces int"))
-    dealt = (
+    # The same whenever a task is run again, and different for copies of a row read by different tasks.
+    piece = F.pmod(F.xxhash64(F.spark_partition_id(), *fact.columns), F.col("pieces")).cast("int")
+    fact = (
         fact.join(pieces, F.col(key).eqNullSafe(F.col("hot_key")), "left")
-        # The same whenever a task is run again, and different for copies of a row read by different tasks.
-        .withColumn("piece", F.pmod(F.xxhash64(F.spark_partition_id(), *fact.columns), F.coalesce("pieces", F.lit(1))))
+        .withColumn("piece", F.when(F.col("pieces").isNull(), F.lit(0)).otherwise(piece))
         .drop("hot_key", "pieces")
     )
-    for i, (table, column) in enumerate(others):
-        piece = f"piece_{i}"
+    for table, column in others:
         last = F.coalesce("pieces", F.lit(1)) - 1
         repeated = (
             table.join(pieces, F.col(column) == F.col("hot_key"), "left")
-            .withColumn(piece, F.explode(F.sequence(F.lit(0), last)))
+            .withColumn("other_piece", F.explode(F.sequence(F.lit(0), last)))
             .drop("hot_key", "pieces")
         )
-        same = (F.col(key) == F.col(column)) & (F.col("piece") == F.col(piece))
-        dealt = dealt.join(repeated, same, "left").drop(piece)
-    return dealt.drop("piece")
+        same = (F.col(key) == F.col(column)) & (F.col("piece") == F.col("other_piece"))
+        fact = fact.join(repeated, same, "left").drop("other_piece")
+    return fact.drop("piece")
 
 
 def code_table(table: DataFrame, prefix: str) -> DataFrame:
@@ -117,7 +135,9 @@ def lookup_small(fact: DataFrame, roles: Sequence[Role]) -> DataFrame:
 def lookup_large(fact: DataFrame, roles: Sequence[Role], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left-join with tables of any size, by shuffle, hot codes split."""
     for r in roles:
-        fact = left_join(fact, r.column, (code_table(r.table, r.prefix), f"{r.prefix}_codigo"), hot_rows=hot_rows)
+        table = code_table(r.table, r.prefix)
+        # Known not to be small, so there is nothing to measure again.
+        fact = left_join(fact, r.column, (table, f"{r.prefix}_codigo"), hot_rows=hot_rows, max_bytes=0)
     return fact
 
 

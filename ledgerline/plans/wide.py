@@ -127,7 +127,7 @@ def _joined(
     rows = lookup_large(
         establishments.select(*_ESTABLISHMENT), [r for r in large if r.column != "legal_nature"], hot_rows
     )
-    rows = left_join(rows, "cnpj_basico", *by_company, hot_rows=hot_rows)
+    rows = left_join(rows, "cnpj_basico", *by_company, hot_rows=hot_rows, max_bytes=max_bytes)
     rows = lookup_large(rows, [r for r in large if r.column == "legal_nature"], hot_rows)
     return lookup_small(rows, small)
 

@@ -51,9 +51,10 @@ def test_left_join_with_hot_keys_gives_the_same_rows(skewed, table):
     names = table(["nk", "name"], ("hot", "H1"), ("hot", "H2"), ("k1", "one"), ("k2", "two"), (None, "never"))
     sizes = table(["sk", "size"], ("hot", "L"), ("k1", "S"), ("k1", "M"))
     plain = joins.left_join(skewed, "key", (names, "nk"), (sizes, "sk"))
-    split = joins.left_join(skewed, "key", (names, "nk"), (sizes, "sk"), hot_rows=300)
-    assert plain.columns == split.columns
-    assert counted(plain) == counted(split)
+    for max_bytes in (0, 400, joins.BROADCAST_BYTES):
+        split = joins.left_join(skewed, "key", (names, "nk"), (sizes, "sk"), hot_rows=300, max_bytes=max_bytes)
+        assert plain.columns == split.columns
+        assert counted(plain) == counted(split)
     assert plain.count() == 3000 + 1000 + skewed.where("key = 'k1'").count()
 
 
@@ -65,7 +66,7 @@ def test_hot_key_is_spread_over_tasks(spark, skewed, table):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = joins.left_join(skewed, "key", (names, "nk"), hot_rows=100)
+        out = joins.left_join(skewed, "key", (names, "nk"), hot_rows=100, max_bytes=0)
         per_task = out.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
