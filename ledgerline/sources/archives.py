@@ -27,16 +27,17 @@ def list_members(archives: DataFrame) -> DataFrame:
         import zipfile
 
         import pyarrow as pa
+        from pyarrow import fs
 
         for batch in batches:
-            for path in batch.column("path").to_pylist():
-                with _opened(path) as raw:
+            for path, place in zip(batch.column("path").to_pylist(), batch.column("place").to_pylist()):
+                system, inner = fs.FileSystem.from_uri(place)
+                with system.open_input_file(inner) as raw:
                     if raw.size() >= SMALLEST_ZIP and zipfile.is_zipfile(raw):
                         names = zipfile.ZipFile(raw).namelist()
                         yield pa.RecordBatch.from_pydict({"path": [path] * len(names), "member": names})
 
-    _opened = _opener()
-    return archives.select("path").mapInArrow(read_names, "path string, member string")
+    return archives.select("path", _place()).mapInArrow(read_names, "path string, member string")
 
 
 def expand(archives: DataFrame) -> DataFrame:
@@ -51,6 +52,7 @@ def expand(archives: DataFrame) -> DataFrame:
         import zipfile
 
         import pyarrow as pa
+        from pyarrow import fs
 
         block = 4 << 20
 
@@ -68,15 +70,20 @@ def expand(archives: DataFrame) -> DataFrame:
                 yield [last]
 
         for batch in batches:
-            for path, member in zip(batch.column("path").to_pylist(), batch.column("member").to_pylist()):
+            for row in batch.to_pylist():
+                system, inner = fs.FileSystem.from_uri(row["place"])
                 done = 0
-                with _opened(path) as raw, zipfile.ZipFile(raw) as archive, archive.open(member) as stream:
+                with (
+                    system.open_input_file(inner) as raw,
+                    zipfile.ZipFile(raw) as archive,
+                    archive.open(row["member"]) as stream,
+                ):
                     for lines in lines_of(stream):
                         n = len(lines)
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array([path] * n, pa.string()),
-                                pa.array([member] * n, pa.string()),
+                                pa.array([row["path"]] * n, pa.string()),
+                                pa.array([row["member"]] * n, pa.string()),
                                 pa.array(range(done, done + n), pa.int64()),
                                 pa.array(lines, pa.binary()),
                             ],
@@ -84,24 +91,16 @@ def expand(archives: DataFrame) -> DataFrame:
                         )
                         done += n
 
-    _opened = _opener()
     members = list_members(archives)
     # A number of its own for each member: by size, Spark would put these short rows into one task.
     tasks = max(1, min(members.count(), MAX_TASKS))
-    return members.repartition(tasks).mapInArrow(read_lines, LINES)
-
-
-def _opener():
-    """How a task opens a path. Defined inside, so that it travels with the task."""
-
-    def opened(path):
-        from pyarrow import fs
+    return members.select("path", _place(), "member").repartition(tasks).mapInArrow(read_lines, LINES)
 
-        uri = f"file://{path[len('file:'):]}" if path.startswith("file:/") and "://" not in path else path
-        system, inner = fs.FileSystem.from_uri(uri)
-        return system.open_input_file(inner)
 
-    return opened
+def _place():
+    """The path the way a task opens it: a plain one on a file system all machines share, else a URI."""
+    plain = F.regexp_replace("path", "^file:/+", "/")
+    return F.regexp_replace(plain, "^s3[an]://", "s3://").alias("place")
 
 
 def route(lines: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
 MAIN = "TEXTCSV"
@@ -19,7 +21,7 @@ def pack(documents: DataFrame, folder: str) -> str:
         import pyarrow as pa
         from pyarrow import fs
 
-        system, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        system, root = fs.FileSystem.from_uri(place)
         system.create_dir(root, recursive=True)
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
@@ -37,5 +39,6 @@ def pack(documents: DataFrame, folder: str) -> str:
                 out.write(raw.getvalue())
             yield pa.RecordBatch.from_pydict({"archive": [name]})
 
+    place = re.sub("^file:/+", "/", folder)
     documents.select("doc_id", "text").mapInArrow(write, "archive string").count()
     return folder

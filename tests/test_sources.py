@@ -64,21 +64,21 @@ def test_archives_expand_route_and_land(spark, tmp_path):
     source.mkdir()
     raw = '"1";"São"\n"2";"Não"'.encode("latin-1")
     make_zip(source / "K1.PAISCSV.zip", **{"K1.PAISCSV": raw, "notes.txt": b"extra\n"})
-    make_zip(source / "K2.MUNICCSV.zip", **{"K2.MUNICCSV": b"\n\nx\n", "empty": b""})
+    make_zip(source / "K2 $Z.MUNICCSV.zip", **{"K2 $Z.MUNICCSV": b"\n\nx\n", "empty": b""})
     (source / "K3.CNAECSV.zip").write_bytes(b"no zip file at all")
     lines = archives.expand(archives.list_files(spark, str(source)))
     found = sorted((r["member"], r["line_no"], bytes(r["line"])) for r in lines.collect())
     assert found == [
         ("K1.PAISCSV", 0, '"1";"São"'.encode("latin-1")),
         ("K1.PAISCSV", 1, '"2";"Não"'.encode("latin-1")),
-        ("K2.MUNICCSV", 0, b""),
-        ("K2.MUNICCSV", 1, b""),
-        ("K2.MUNICCSV", 2, b"x"),
+        ("K2 $Z.MUNICCSV", 0, b""),
+        ("K2 $Z.MUNICCSV", 1, b""),
+        ("K2 $Z.MUNICCSV", 2, b"x"),
         ("notes.txt", 0, b"extra"),
     ]
     routed = archives.route(lines)
     assert {(r["member"], r["dataset"]) for r in routed.collect()} == {
-        ("K1.PAISCSV", "PAISCSV"), ("K2.MUNICCSV", "MUNICCSV"),
+        ("K1.PAISCSV", "PAISCSV"), ("K2 $Z.MUNICCSV", "MUNICCSV"),
     }
     landing = str(tmp_path / "landing")
     archives.land(routed, landing)
