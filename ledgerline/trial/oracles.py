@@ -126,8 +126,8 @@ _BODIES = {
         union all
         select cnpj_basico, nome from (
           select cnpj_basico, nome_fantasia as nome,
-            row_number() over (partition by cnpj_basico order by nome_fantasia nulls first) as n from establishments)
-        where n = 1 and cnpj_basico not in (select cnpj_basico from companies)""",
+            row_number() over (partition by cnpj_basico order by nome_fantasia nulls first) as n from establishments) e
+        where n = 1 and not exists (select 1 from companies c where c.cnpj_basico = e.cnpj_basico)""",
     "partners_json_agg": f"""
         select cnpj_basico, array_to_string(list_sort(list(record)), ',') as socios_json from (
           select cnpj_basico, cast(to_json(struct_pack({', '.join(f'{c} := {c}' for c in PARTNERS)})) as varchar) as record

@@ -256,7 +256,9 @@ def test_two_refreshes_and_a_rollback(spark, reg, tmp_path):
     assert sorted(r["cnpj"] for r in served.collect()) == ["1000191", "1000272", "2000110", "3000111"]
     assert {r["nome_fantasia"] for r in served.collect()} == {"PO  A"}
     assert served.where("cnpj = '1000191'").first()["natureza_juridica"] == "Sociedade Empresçria"
-    refresh(spark, landed("B"), database, run="weekly")
+    through_files = Counter(map(tuple, served.drop("nome_fantasia").collect()))
+    straight = refresh(spark, landed("B"), database, run="weekly", through_files=False)
+    assert Counter(map(tuple, straight.drop("nome_fantasia").collect())) == through_files
     names = Tables(f"{database}.registry")
     state = {t: {r["nome_fantasia"] for r in spark.table(t).collect()} for t in (names.served, names.backup)}
     assert state == {names.served: {"PO  B"}, names.backup: {"PO  A"}}
