@@ -75,7 +75,8 @@ def fold(rows: DataFrame, columns: Sequence[str], max_bytes: int = MAX_CELL_BYTE
 
 
 def _folded(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    records = rows.select(KEY, _record(columns))
+    # Arrays are as large before the shuffle as after it, so records go first and are collected once.
+    records = rows.select(KEY, _record(columns)).repartition(KEY)
     return records.groupBy(KEY).agg(F.sort_array(F.collect_list("record")).alias(FOLDED))
 
 

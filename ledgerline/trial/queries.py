@@ -466,7 +466,8 @@ def seeded_sample(spark, sf_dir):
 
 @query
 def sample_registry(spark, sf_dir):
-    wide = _wide(Register(spark, sf_dir))
+    """A filtered sample of the stored wide table."""
+    wide = Workspace(spark, "sample_registry").keep(_wide(Register(spark, sf_dir)), "wide")
     return sampling.sample_registry(wide, {"uf": "S07"}, seed="2021")
 
 
@@ -627,9 +628,11 @@ QUERIES["registry_wide_v1"] = QUERIES.pop("registry_first_edition")
 
 @query
 def registry_second_edition(spark, sf_dir):
+    """Over the stored first edition."""
     reg = Register(spark, sf_dir)
     folded = fold_partners(reg.partners, reg.qualifications, reg.countries)
-    return registry_wide_v2(_first_edition(reg), folded)
+    first = Workspace(spark, "first_edition").keep(_first_edition(reg), "wide")
+    return registry_wide_v2(first, folded)
 
 
 QUERIES["registry_wide_v2"] = QUERIES.pop("registry_second_edition")
