@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 # A table is broadcast only if it was measured to take at most this much memory on an executor.
 BROADCAST_BYTES = 64 << 20
-# In-memory cost of a row and of a field beside its characters.
-ROW_OVERHEAD = 64
+# In-memory cost of a row and of a field beside its characters, which count twice because the join keeps its
+# key once more beside the row.
+ROW_OVERHEAD = 96
 FIELD_OVERHEAD = 16
 
 # A key with more rows than this gets split over several tasks.
@@ -30,7 +31,7 @@ def measured_bytes(*tables: DataFrame) -> list[int]:
     def size(i: int, table: DataFrame) -> DataFrame:
         fixed = ROW_OVERHEAD + FIELD_OVERHEAD * len(table.columns)
         lengths = (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns)
-        row = reduce(Column.__add__, lengths).cast("long") + fixed
+        row = reduce(Column.__add__, lengths).cast("long") * 2 + fixed
         return table.agg(F.lit(i).alias("i"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes"))
 
     sizes = reduce(DataFrame.unionAll, (size(i, t) for i, t in enumerate(tables)))

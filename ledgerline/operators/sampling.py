@@ -31,7 +31,7 @@ def seeded_sample(
 ) -> DataFrame:
     """A random sample that the seed and the keys determine: the ``n`` smallest ``md5(seed ‖ key)``."""
     drawn = df.withColumn("_draw", F.md5(F.concat(F.lit(seed), F.col(key))))
-    return _smallest(drawn, n, ["_draw", key], direct_rows, lambda share: f"{int(share * 2**32):08x}").drop("_draw")
+    return _smallest(drawn, n, ["_draw", key], direct_rows, lambda share: f"{int(share * 2**60):015x}").drop("_draw")
 
 
 def _smallest(drawn: DataFrame, n: int, order: list[str], direct_rows: int, cutoff) -> DataFrame:

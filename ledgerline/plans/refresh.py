@@ -13,7 +13,7 @@ from ledgerline.plans.wide import registry_wide
 from ledgerline.schemas import text_schema, typed_wide_schema
 from ledgerline.sinks.export import export_csv
 from ledgerline.sinks.tables import replace_table
-from ledgerline.sources.register import scan, scan_cleaned
+from ledgerline.sources.register import require_well_formed, scan, scan_cleaned
 from ledgerline.workspace import Workspace
 
 PARTNERS_JSON = T.StructType([T.StructField(KEY, T.StringType()), T.StructField(FOLDED, T.ArrayType(T.StringType()))])
@@ -24,11 +24,17 @@ def build(
 ) -> DataFrame:
     """Landed files → the warehouse tables ``socios_agg_json`` and ``registry_source``; returns the latter.
 
-    Text is parsed once: the two large datasets go to Parquet before they are used more than once. A company
-    with more partners than a row may hold has NULL for them, and all of them in ``socios_overflow``.
+    Text is parsed once: the large datasets go to Parquet, and a line without exactly its dataset's columns
+    stops the run. A company with more partners than a row may hold has NULL for them, and all of them in
+    ``socios_overflow``.
     """
-    establishments = workspace.keep(scan_cleaned(spark, landing, "establishments"), "establishments")
-    partners = workspace.keep(scan(spark, landing, "partners", encoding), "partners")
+
+    def parsed(name: str, df: DataFrame) -> DataFrame:
+        return require_well_formed(workspace.keep(df, name))
+
+    establishments = parsed("establishments", scan_cleaned(spark, landing, "establishments", bad_records=True))
+    partners = parsed("partners", scan(spark, landing, "partners", encoding, bad_records=True))
+    companies = parsed("companies", scan(spark, landing, "companies", encoding, bad_records=True))
     codes = {
         name: scan(spark, landing, name, encoding)
         for name in ("qualifications", "countries", "legal_natures", "cities", "activities")
@@ -38,7 +44,7 @@ def build(
     replace_table(overflow, f"{database}.socios_overflow")
     wide = registry_wide(
         establishments,
-        scan(spark, landing, "companies", encoding),
+        companies,
         codes["activities"],
         codes["cities"],
         codes["legal_natures"],

@@ -16,9 +16,21 @@ FILE_OPTIONS = {**FIELD_OPTIONS, "header": "false", "lineSep": "\n"}
 BAD_RECORD = "_bad_record"
 
 
-def scan_csv(spark: SparkSession, path: str, columns, encoding: str = "UTF-8") -> DataFrame:
-    """Delimited files under ``path`` (a file, a folder or a glob) with the given text columns."""
-    return spark.read.schema(text_schema(columns)).options(**FILE_OPTIONS, encoding=encoding).csv(path)
+class MalformedError(ValueError):
+    """Lines that do not have the columns of their dataset."""
+
+
+def scan_csv(
+    spark: SparkSession, path: str, columns, encoding: str = "UTF-8", bad_records: bool = False
+) -> DataFrame:
+    """Delimited files under ``path`` (a file, a folder or a glob) with the given text columns.
+
+    Short records are padded with NULLs and long ones cut; ``bad_records`` adds a column with their text.
+    """
+    options = {**FILE_OPTIONS, "encoding": encoding}
+    if bad_records:
+        columns, options["columnNameOfCorruptRecord"] = (*columns, BAD_RECORD), BAD_RECORD
+    return spark.read.schema(text_schema(columns)).options(**options).csv(path)
 
 
 def dataset_glob(root: str, dataset: str) -> str:
@@ -26,13 +38,15 @@ def dataset_glob(root: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/*[.=]{DATASETS[dataset].suffix}"
 
 
-def scan(spark: SparkSession, root: str, dataset: str, encoding: str = "UTF-8") -> DataFrame:
+def scan(
+    spark: SparkSession, root: str, dataset: str, encoding: str = "UTF-8", bad_records: bool = False
+) -> DataFrame:
     """A dataset's files: those below ``root`` whose name ends in the dataset's suffix.
 
     The files are Latin-1. Read as UTF-8, the default, every accented letter arrives as U+FFFD, which
     the transforms then repair the way the published table always had it. ``ISO-8859-1`` reads them right.
     """
-    return scan_csv(spark, dataset_glob(root, dataset), DATASETS[dataset].columns, encoding)
+    return scan_csv(spark, dataset_glob(root, dataset), DATASETS[dataset].columns, encoding, bad_records)
 
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -45,30 +59,25 @@ def clean_lines(lines: DataFrame) -> DataFrame:
     return lines.select(text.clean(F.col("line")).alias("line"))
 
 
-def parse_lines(lines: DataFrame, columns) -> DataFrame:
+def parse_lines(lines: DataFrame, columns, bad_records: bool = False) -> DataFrame:
     """Text lines → columns, by the same rules as :func:`scan_csv`."""
-    parsed = F.from_csv(F.col("line"), _ddl(columns), FIELD_OPTIONS)
+    options = dict(FIELD_OPTIONS)
+    if bad_records:
+        columns, options["columnNameOfCorruptRecord"] = (*columns, BAD_RECORD), BAD_RECORD
+    parsed = F.from_csv(F.col("line"), ", ".join(f"{c} string" for c in columns), options)
     return lines.where(F.trim("line") != "").select(parsed.alias("r")).select("r.*")
 
 
-def scan_cleaned(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+def scan_cleaned(spark: SparkSession, root: str, dataset: str, bad_records: bool = False) -> DataFrame:
     """A dataset read through cleaning. Bytes are cleaned before they are parsed: "\\r" and stray
     characters go first, so they cannot disturb the quoting."""
     lines = scan_lines(spark, dataset_glob(root, dataset))
-    return parse_lines(clean_lines(lines), DATASETS[dataset].columns)
-
-
-def malformed(lines: DataFrame, columns) -> DataFrame:
-    """The text lines that do not have exactly the given columns."""
-    options = {**FIELD_OPTIONS, "columnNameOfCorruptRecord": BAD_RECORD}
-    parsed = F.from_csv(F.col("line"), _ddl((*columns, BAD_RECORD)), options)
-    return (
-        lines.where(F.trim("line") != "")
-        .select(parsed.alias("r"))
-        .where(F.col(f"r.{BAD_RECORD}").isNotNull())
-        .select(F.col(f"r.{BAD_RECORD}").alias("line"))
-    )
+    return parse_lines(clean_lines(lines), DATASETS[dataset].columns, bad_records)
 
 
-def _ddl(columns) -> str:
-    return ", ".join(f"{c} string" for c in columns)
+def require_well_formed(df: DataFrame) -> DataFrame:
+    """``df`` without its bad-record column; :class:`MalformedError` if that has anything in it."""
+    bad = df.where(F.col(BAD_RECORD).isNotNull()).select(F.substring(BAD_RECORD, 1, 200)).limit(3).collect()
+    if bad:
+        raise MalformedError(f"malformed lines, among them: {[r[0] for r in bad]}")
+    return df.drop(BAD_RECORD)

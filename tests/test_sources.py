@@ -1,5 +1,6 @@
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text
@@ -47,10 +48,21 @@ def test_establishments_are_cleaned_before_they_are_parsed(spark, tmp_path):
 
 
 def test_malformed_lines_are_found(spark, tmp_path):
-    (tmp_path / "a").write_text("1;one\n2\n3;three;3\n4;four\n")
+    content = "1;one\n2\n3;three;3\n4;four\n"
+    (tmp_path / "F.PAISCSV").write_text(content)
     lines = register.scan_lines(spark, str(tmp_path)).select(F.col("line").cast("string").alias("line"))
-    bad = register.malformed(lines, ("codigo", "descricao"))
-    assert sorted(r["line"] for r in bad.collect()) == ["2", "3;three;3"]
+    by_line = register.parse_lines(lines, ("codigo", "descricao"), bad_records=True)
+    by_file = register.scan(spark, str(tmp_path), "countries", bad_records=True)
+    for df in (by_line, by_file):
+        assert sorted(r["codigo"] for r in df.collect()) == ["1", "2", "3", "4"]
+        bad = sorted(r[register.BAD_RECORD] for r in df.collect() if r[register.BAD_RECORD])
+        assert bad == ["2", "3;three;3"]
+    by_file.where("codigo in ('1', '4')").write.parquet(str(tmp_path / "good"))
+    good = register.require_well_formed(spark.read.parquet(str(tmp_path / "good")))
+    assert good.columns == ["codigo", "descricao"] and good.count() == 2
+    by_file.write.parquet(str(tmp_path / "all"))
+    with pytest.raises(register.MalformedError, match="3;three;3"):
+        register.require_well_formed(spark.read.parquet(str(tmp_path / "all")))
 
 
 def make_zip(path, **members):
