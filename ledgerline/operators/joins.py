@@ -83,7 +83,8 @@ def _left_join_in_pieces(
     fact: DataFrame, key: str, others: Sequence[tuple[DataFrame, str]], hot: list[tuple[str | None, int]]
 ) -> DataFrame:
     # At most MAX_HOT_KEYS short rows.
-    pieces = F.broadcast(fact.sparkSession.createDataFrame(hot, "hot_key string, pieces int"))
+    schema = f"hot_key {dict(fact.dtypes)[key]}, pieces int"
+    pieces = F.broadcast(fact.sparkSession.createDataFrame(hot, schema))
     # The same whenever a task is run again, and different for copies of a row read by different tasks.
     piece = F.pmod(F.xxhash64(F.spark_partition_id(), *fact.columns), F.col("pieces")).cast("int")
     fact = (

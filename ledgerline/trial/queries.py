@@ -141,7 +141,7 @@ def clean_text(spark, sf_dir):
 
 @query
 def decode_latin1(spark, sf_dir):
-    """Partner names and titles written as Latin-1 files and decoded from the bytes."""
+    """Trade names written as Latin-1 files and decoded from the bytes."""
     root = _landed(spark, sf_dir, "decode_latin1", "establishments")
     lines = files.scan_lines(spark, files.dataset_glob(root, "establishments"))
     decoded = lines.select(text.decode_latin1(F.col("line")).alias("line"))
