@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("ledgerline-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .config("spark.checkpoint.dir", str(base / "shared"))

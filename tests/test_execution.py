@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import joins, keys
+from ledgerline.plans import gates, load
 from ledgerline.schemas import COMPANIES, ESTABLISHMENTS, LOOKUP
 from ledgerline.trial.driver_tables import Register
 from ledgerline.trial.queries import QUERIES, _wide
@@ -85,3 +86,11 @@ def test_adapters_give_the_registers_columns(spark):
     assert reg.establishments.selectExpr("count(distinct cnpj_basico, cnpj_ordem, cnpj_dv)").first()[0] == (
         reg.establishments.count()
     )
+
+
+def test_wide_has_one_row_per_establishment_when_codes_are_unique(spark):
+    reg = Register(spark, DATA)
+    wide = _wide(reg)
+    assert wide.count() == reg.establishments.count()
+    typed = load.typed(wide)
+    assert gates.require(gates.distinct_key_gate(typed, wide, "cnpj"))[0] == wide.count()

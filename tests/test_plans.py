@@ -1,6 +1,7 @@
 """Transforms on small register rows, with results worked out by hand."""
 
 import json
+import zipfile
 from collections import Counter
 from datetime import date
 
@@ -14,6 +15,8 @@ from ledgerline.plans.refresh import refresh
 from ledgerline.plans.wide import registry_wide, registry_wide_v1, registry_wide_v2
 from ledgerline.schemas import COMPANIES, DATASETS, ESTABLISHMENTS, LOOKUP, PARTNERS, WIDE, WIDE_V1, typed_wide_schema
 from ledgerline.sinks import audit, export, tables
+from ledgerline.sources import archives
+from ledgerline.sources.register import MalformedError
 from ledgerline.workspace import Workspace
 
 
@@ -264,3 +267,28 @@ def test_two_refreshes_and_a_rollback(spark, reg, tmp_path):
     assert state == {names.served: {"PO  B"}, names.backup: {"PO  A"}}
     rollback(spark, names)
     assert {r["nome_fantasia"] for r in spark.table(names.served).collect()} == {"PO  A"}
+
+
+def test_from_archives_to_the_served_table(spark, reg, tmp_path):
+    download = tmp_path / "download"
+    download.mkdir()
+    for name, dataset in DATASETS.items():
+        rows = [["" if v is None else f'"{v}"' for v in row] for row in reg[name].collect()]
+        content = "".join(";".join(row) + "\r\n" for row in rows).replace("��", "çã").replace("�", "ç")
+        with zipfile.ZipFile(download / f"F.K1.{dataset.suffix}.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr(f"F.K1.{dataset.suffix}", content.encode("latin-1"))
+            archive.writestr("LEIAME.TXT", "extra")
+    lines = archives.expand(archives.list_files(spark, str(download)))
+    archives.land(archives.route(lines), str(tmp_path / "landing"))
+    served = refresh(spark, str(tmp_path / "landing"))
+    expected = Counter(map(tuple, load.typed(wide(reg)).collect()))
+    assert Counter(map(tuple, served.collect())) == expected
+
+
+def test_a_malformed_line_stops_a_refresh(spark, reg, tmp_path):
+    for name, dataset in DATASETS.items():
+        reg[name].write.options(sep=";", encoding="UTF-8", escape='"').csv(f"{tmp_path}/register.{dataset.suffix}")
+    table = spark.createDataFrame([("1;2;3",)], "line string")
+    table.write.mode("append").text(f"{tmp_path}/register.EMPRECSV")
+    with pytest.raises(MalformedError, match="1;2;3"):
+        refresh(spark, str(tmp_path))
