@@ -17,7 +17,9 @@ COMPANY_KEY_LENGTH = 8
 
 
 # What cleaning removes from Latin-1 text, which has no other characters than these 256.
-_DROPPED_LATIN1 = "".join(re.findall(DROPPED_CHARACTERS, bytes(range(256)).decode("latin-1")))
+_LATIN1 = bytes(range(256)).decode("latin-1")
+_DROPPED_LATIN1 = "".join(re.findall(DROPPED_CHARACTERS, _LATIN1))
+KEPT_VISIBLE = "".join(c for c in _LATIN1 if c not in _DROPPED_LATIN1 and not c.isspace())
 
 
 def decode_latin1(raw: Column) -> Column:

@@ -50,13 +50,18 @@ def scan(
 
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw lines, undecoded."""
-    return spark.read.text(path, lineSep="\n").select(F.col("value").cast("binary").alias("line"))
+    """Raw lines, undecoded, without blank ones."""
+    lines = spark.read.text(path, lineSep="\n").where(F.trim("value") != "")
+    return lines.select(F.col("value").cast("binary").alias("line"))
 
 
 def clean_lines(lines: DataFrame) -> DataFrame:
-    """Latin-1 lines with every character outside the kept class removed."""
-    return lines.select(text.clean(F.col("line")).alias("line"))
+    """Latin-1 lines with every character outside the kept class removed, without those that leaves blank."""
+    cleaned = text.clean(F.col("line"))
+    # A first character that is kept settles it, so only other lines are cleaned twice.
+    first = F.substring("line", 1, 1).cast("string")
+    not_blank = first.isin(*text.KEPT_VISIBLE) | (F.trim(cleaned) != "")
+    return lines.where(not_blank).select(cleaned.alias("line"))
 
 
 def parse_lines(lines: DataFrame, columns, bad_records: bool = False) -> DataFrame:
@@ -65,7 +70,7 @@ def parse_lines(lines: DataFrame, columns, bad_records: bool = False) -> DataFra
     if bad_records:
         columns, options["columnNameOfCorruptRecord"] = (*columns, BAD_RECORD), BAD_RECORD
     parsed = F.from_csv(F.col("line"), ", ".join(f"{c} string" for c in columns), options)
-    return lines.where(F.trim("line") != "").select(parsed.alias("r")).select("r.*")
+    return lines.select(parsed.alias("r")).select("r.*")
 
 
 def scan_cleaned(spark: SparkSession, root: str, dataset: str, bad_records: bool = False) -> DataFrame:

@@ -38,8 +38,12 @@ def test_establishments_are_cleaned_before_they_are_parsed(spark, tmp_path):
     line = establishment_line(
         cnpj_basico="00000000", nome_fantasia="SÃO \r JOSÉ; (ME)", logradouro='RUA ""A""', telefone_2=""
     )
-    (tmp_path / "K.ESTABELE").write_bytes((line + "\r\n").encode("latin-1"))
-    row = register.scan_cleaned(spark, str(tmp_path), "establishments").first()
+    blank = "\n  \n\r\n ç&\n"
+    unquoted = "2" + ";" * 29 + "\n"
+    (tmp_path / "K.ESTABELE").write_bytes((line + "\r\n" + blank + unquoted).encode("latin-1"))
+    rows = register.scan_cleaned(spark, str(tmp_path), "establishments").collect()
+    assert [r["cnpj_basico"] for r in rows] == ["00000000", "2"]
+    row = rows[0]
     assert row["cnpj_basico"] == "00000000"
     assert row["nome_fantasia"] == "SO  JOS; ME"
     assert row["logradouro"] == 'RUA "A"'
