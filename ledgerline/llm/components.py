@@ -15,6 +15,8 @@ from ledgerline.workspace import Workspace
 
 #: Rounds of :func:`components`; a star takes one, a chain of n nodes about log2(n).
 MAX_ROUNDS = 60
+#: Rows of a bitmap of :func:`only_maybe`, 64 bits each: 8 million bits, a few MB in memory.
+BITMAP_WORDS = 1 << 17
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -51,6 +53,27 @@ def components(space: Workspace, links: DataFrame, name: str) -> DataFrame:
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionAll(roots)
 
 
+def only_maybe(df: DataFrame, column: str, wanted: DataFrame, words: int = BITMAP_WORDS) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be among that column of ``wanted``: all that are, and few others.
+
+    ``wanted`` becomes a bitmap of at most ``words`` rows of 64 bits, broadcast whatever the data's size, so that rows
+    without a partner need not be shuffled to the join that follows. A very large ``wanted`` fills it and nothing is saved.
+    """
+
+    def bit(of: DataFrame) -> F.Column:
+        return F.pmod(F.xxhash64(of[column]), F.lit(words * 64))
+
+    one = F.lit(1).cast("long")
+    at = bit(wanted)
+    word, mask = F.shiftright(at, 6), F.call_function("shiftleft", one, F.pmod(at, F.lit(64)).cast("int"))
+    bitmap = wanted.select(word.alias("bitmap_word"), mask.alias("mask")).groupBy("bitmap_word")
+    bitmap = F.broadcast(bitmap.agg(F.bit_or("mask").alias("bitmap_bits")))
+    at = bit(df)
+    mask = F.call_function("shiftleft", one, F.pmod(at, F.lit(64)).cast("int"))
+    same = (F.shiftright(at, 6) == F.col("bitmap_word")) & (F.col("bitmap_bits").bitwiseAND(mask) != 0)
+    return df.join(bitmap, same).drop("bitmap_word", "bitmap_bits")
+
+
 def link_by_keys(
     space: Workspace,
     keys: DataFrame,
@@ -70,7 +93,8 @@ def link_by_keys(
     yields all its pairs.
     """
     counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = space.keep(keys.join(counts, "key"), f"{name}_shared")
+    counts = space.keep(counts, f"{name}_counts")
+    shared = space.keep(only_maybe(keys, "key", counts).join(counts, "key"), f"{name}_shared")
     central = shared.groupBy("node").agg(F.sum("n").alias("weight"))
     weighed = shared.join(central, "node").select("key", "node", "weight")
     centre = weighed.groupBy("key").agg(F.max(F.struct("weight", -F.col("node"))).alias("top"))

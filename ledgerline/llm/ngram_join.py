@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.components import link_by_keys
+from ledgerline.llm.components import link_by_keys, only_maybe
 from ledgerline.llm.text import narrow
 from ledgerline.workspace import Workspace
 
@@ -250,8 +250,11 @@ def ngram_groups(
     texts = docs.where("doc_id IS NOT NULL")
 
     def verify(pairs: DataFrame) -> DataFrame:
+        one, two = (shapes.select(F.struct("*").alias(x), F.col("node").alias(c)) for x, c in (("x", "a"), ("y", "b")))
+        pairs = space.keep(pairs.join(one, "a").join(two, "b").where(near("x", "y")).select("a", "b"), f"{name}_close")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        held = texts.join(wanted, "doc_id", "left_semi")
+        # Repeated rows would repeat their pairs.
+        held = only_maybe(texts, "doc_id", wanted).join(wanted, "doc_id", "left_semi").distinct()
         one = held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
         two = held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
         both = pairs.join(two, "b").join(one, "a")
