@@ -5,9 +5,10 @@ choice of one direction per block; a vector passes all filters whose direction i
 are decoded from the blocks' sorted scores without looking at the others, so there can be very many filters. Similar
 vectors pass many filters together; vectors that share one meet there and are compared exactly.
 
-A pair is counted only under the smallest filter both pass, so links are counted without ever listing pairs, and each
-filter hands on one link per vector, enough for the groups. Filters that very many vectors pass are cut into blocks of
-rows, so that no task holds more than two of them.
+Filters are compared in tiles: those with one direction of the first block and some of the last. A vector goes to a tile
+once, whatever the number of its filters there. A pair is counted only in the first tile in which it meets, so links are
+counted without ever listing pairs, and each tile hands on one link per vector, enough for the groups. Tiles that very
+many vectors come to are cut into blocks of rows; a block is compared with every other, and none holds more.
 """
 
 from __future__ import annotations
@@ -26,10 +27,10 @@ from ledgerline.llm.text import narrow
 from ledgerline.workspace import Workspace
 
 SIMILARITY = 0.9
-#: Filters a vector passes on average, and how many unrelated vectors pass one.
-FILTERS, STRANGERS = 30, 2.0
-#: Rows of one filter that are compared in one task; larger filters are cut.
-BLOCK_ROWS = 1_000
+#: How many unrelated vectors pass a filter, and how many rows a tile is to have.
+STRANGERS, TILE_ROWS = 32, 2_000
+#: Rows of one tile that are compared with as many others at a time; larger tiles are cut.
+BLOCK_ROWS = 4_000
 SEED = 20_240_817
 
 
@@ -40,8 +41,13 @@ class Code:
     books: tuple[np.ndarray, ...]
     threshold: float
 
-    def filters(self, unit: np.ndarray) -> list[np.ndarray]:
-        """The sorted numbers of the filters that each row passes."""
+    @property
+    def last(self) -> int:
+        """Directions of the last block; a filter's number is that of its earlier blocks times this, and its last."""
+        return len(self.books[-1])
+
+    def filters(self, unit: np.ndarray, most: int | None = None) -> list[np.ndarray]:
+        """The sorted numbers of the filters that each row passes; not all if there are more than ``most``."""
         scores, at = [], 0
         for book in self.books:
             scores.append(unit[:, at : at + book.shape[1]] @ book.T)
@@ -56,6 +62,8 @@ class Code:
                 ranked = s[row][order]
                 need = self.threshold - sums - (best_left[i][row] if i + 1 < len(scores) else 0.0)
                 counts = np.searchsorted(-ranked, -need, "right")
+                if most and counts.sum() > most:
+                    counts = np.minimum(counts, np.maximum(0, most - (np.cumsum(counts) - counts)))
                 which = np.repeat(np.arange(len(sums)), counts)
                 rank = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
                 sums = sums[which] + ranked[rank]
@@ -64,12 +72,17 @@ class Code:
         return found
 
 
-def make_code(dimensions: int, rows: int, filters: float = FILTERS, strangers: float = STRANGERS, seed: int = SEED) -> Code:
-    """A code for so many vectors. The share of vectors that pass a filter falls as their number grows, and the
-    number of filters rises, so both lists per vector and strangers per filter keep their lengths."""
-    share = min(0.02, strangers / max(rows, 1))
-    wanted = filters / share
-    blocks = 1 if dimensions < 4 else 2 if wanted <= 4_000_000 or dimensions < 8 else 3
+def wanted_filters(rows: int) -> float:
+    """Filters that a vector is to pass: the more selective filters are, the more are needed for the same recall."""
+    return max(40.0, 6 * math.log2(max(rows, 2)) - 20)
+
+
+def make_code(dimensions: int, rows: int, seed: int = SEED) -> Code:
+    """A code for so many vectors. The share of vectors that pass a filter falls as their number grows, and the number
+    of filters rises, so that the strangers that a vector meets in a filter stay as many."""
+    share = min(0.02, STRANGERS / max(rows, 1))
+    wanted = wanted_filters(rows) / share
+    blocks = 1 if dimensions < 4 else 2 if wanted <= 16_000_000 or dimensions < 8 else 3
     size = max(2, round(wanted ** (1 / blocks)))
     random = np.random.default_rng(seed)
     widths = [dimensions // blocks + (i < dimensions % blocks) for i in range(blocks)]
@@ -77,22 +90,20 @@ def make_code(dimensions: int, rows: int, filters: float = FILTERS, strangers: f
     for width in widths:
         book = random.standard_normal((size, width))
         books.append(book / np.linalg.norm(book, axis=1, keepdims=True) * math.sqrt(width / dimensions))
-    probe = random.standard_normal((4_000, dimensions))
+    # The threshold is the one at which random vectors pass the wanted share of filters.
+    probe = random.standard_normal((300, dimensions))
     probe /= np.linalg.norm(probe, axis=1, keepdims=True)
-    scores, at = [], 0
-    for book in books:
-        scores.append(probe[:, at : at + book.shape[1]] @ book.T)
-        at += book.shape[1]
-    rows_of = np.repeat(np.arange(len(probe)), 400)
-    sample = sum(s[rows_of, random.integers(0, size, len(rows_of))] for s in scores)
-    # Scores are nearly normal; their spread is measured, the far tail is taken from the normal law.
-    spread = float(sample.std())
     low, high = 0.0, 1.0
-    while high - low > 1e-6:
+    for _ in range(14):
         middle = (low + high) / 2
-        tail = 0.5 * math.erfc(middle / spread / math.sqrt(2))
-        low, high = (middle, high) if tail > share else (low, middle)
-    return Code(tuple(books), low)
+        most = 4 * wanted_filters(rows) * len(probe)
+        passed = 0
+        for i in range(0, len(probe), 20):
+            passed += sum(map(len, Code(tuple(books), middle).filters(probe[i : i + 20], 100_000)))
+            if passed > most:
+                break
+        low, high = (middle, high) if passed > wanted_filters(rows) * len(probe) else (low, middle)
+    return Code(tuple(books), high)
 
 
 def _units(vectors: pd.Series) -> np.ndarray:
@@ -102,12 +113,17 @@ def _units(vectors: pd.Series) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _assign(code: Code):
+def _assign(code: Code, width: int):
+    """Rows ``(node, tiles)``: numbers of the tiles, each ``width`` directions of the last block, with filters in them."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        per = -(-code.last // width)
         for batch in batches:
             if not len(batch):
                 continue
-            yield batch[["node"]].assign(filters=code.filters(_units(batch["vector"])))
+            found = code.filters(_units(batch["vector"]))
+            tiles = [np.unique(f // code.last * per + f % code.last // width) for f in found]
+            yield batch[["node"]].assign(tiles=tiles)
 
     return run
 
@@ -131,57 +147,65 @@ def _tiles(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Data
         yield pd.concat(held) if len(held) > 1 else held[0]
 
 
-def _earlier(left: list[np.ndarray], right: list[np.ndarray], number: int) -> np.ndarray:
-    """Which pairs of a left and a right row share a filter below ``number``."""
-    one = [x[: np.searchsorted(x, number)] for x in left]
-    two = [x[: np.searchsorted(x, number)] for x in right]
-    values, both = np.unique(np.concatenate([*one, *two]), return_inverse=True)
-    sizes = np.fromiter(map(len, [*one, *two]), np.int64)
-    rows = np.repeat(np.arange(len(sizes)), sizes)
+def _earlier(lists: list[np.ndarray], number: int) -> np.ndarray:
+    """Which pairs of rows share a filter below ``number``."""
+    lists = [x[: np.searchsorted(x, number)] for x in lists]
+    values, place = np.unique(np.concatenate(lists), return_inverse=True)
+    rows = np.repeat(np.arange(len(lists)), np.fromiter(map(len, lists), np.int64, len(lists)))
     # Only filters that more than one row has can be shared.
-    common = np.bincount(both, minlength=len(values)) > 1
-    place = np.cumsum(common) - 1
-    keep = common[both]
-    table = np.zeros((len(sizes), int(common.sum())), np.float32)
-    table[rows[keep], place[both[keep]]] = 1
-    return table[: len(left)] @ table[len(left) :].T > 0
-
-
-def _compare(similarity: float):
-    """Per tile rows ``(node, node, links)`` with the links counted under its filter, and the forest of all its links."""
+    common = np.bincount(place, minlength=len(values)) > 1
+    keep = common[place]
+    column = (np.cumsum(common) - 1)[place[keep]]
+    shared = np.zeros((len(lists), len(lists)), bool)
+    for at in range(0, int(common.sum()), 4_096):
+        part = (column >= at) & (column < at + 4_096)
+        table = np.zeros((len(lists), min(4_096, int(common.sum()) - at)), np.float32)
+        table[rows[keep][part], column[part] - at] = 1
+        shared |= table @ table.T > 0
+    return shared
+
+
+def _compare(code: Code, width: int, similarity: float):
+    """Per tile rows ``(node, node, links)`` with the links that meet there first, and the forest of all its links."""
+    per = -(-code.last // width)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for tile in _tiles(batches, ["filter", "one", "two"]):
-            number, i, j = (int(tile[c].iloc[0]) for c in ("filter", "one", "two"))
+        for tile in _tiles(batches, ["tile", "one", "two"]):
             if len(tile) < 2:
                 continue
+            number, i, j = (int(tile[c].iloc[0]) for c in ("tile", "one", "two"))
+            start = number // per * code.last + number % per * width
+            end = min(start + width, (number // per + 1) * code.last)
             unit = _units(tile["vector"])
             own = tile["block"].to_numpy()
-            a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
-            if not len(a) or not len(b):
+            lists = code.filters(unit)
+            inside = [x[np.searchsorted(x, start) : np.searchsorted(x, end)] for x in lists]
+            filters = np.concatenate(inside)
+            rows = np.repeat(np.arange(len(tile)), np.fromiter(map(len, inside), np.int64, len(inside)))
+            order = np.argsort(filters, kind="stable")
+            near = np.zeros((len(tile), len(tile)), bool)
+            for group in np.split(rows[order], np.flatnonzero(np.diff(filters[order])) + 1):
+                a, b = group[own[group] == i], group[own[group] == j]
+                if len(a) and len(b):
+                    near[np.ix_(a, b)] |= unit[a] @ unit[b].T >= similarity
+            near |= near.T
+            np.fill_diagonal(near, False)
+            some = np.flatnonzero(near.any(axis=1))
+            if not len(some):
                 continue
-            near = unit[a] @ unit[b].T >= similarity
-            if i == j:
-                np.fill_diagonal(near, False)
-            if not near.any():
-                continue
-            lists = tile["filters"].tolist()
-            counted = near & ~_earlier([lists[k] for k in a], [lists[k] for k in b], number)
-            nodes, weights = tile["node"].to_numpy(), tile["weight"].to_numpy()
-            sides = [(a, b, near, counted)] if i == j else [(a, b, near, counted), (b, a, near.T, counted.T)]
-            for x, y, linked, new in sides:
-                some = linked.any(axis=1)
-                yield pd.DataFrame({"node": nodes[x][some], "other": nodes[x][some], "links": (new @ weights[y])[some]})
-            yield _forest(nodes[a], nodes[b], near)
+            near, nodes, weights = near[np.ix_(some, some)], tile["node"].to_numpy()[some], tile["weight"].to_numpy()[some]
+            # Pairs that share a filter of an earlier tile are counted there.
+            links = (near & ~_earlier([lists[k] for k in some], start)) @ weights
+            yield pd.DataFrame({"node": nodes, "other": nodes, "links": links})
+            yield _forest(nodes, near)
 
     return run
 
 
-def _forest(left: np.ndarray, right: np.ndarray, near: np.ndarray) -> pd.DataFrame:
+def _forest(nodes: np.ndarray, near: np.ndarray) -> pd.DataFrame:
     """Links that join what all links of a tile join: each node to the smallest it reaches, without counting."""
-    nodes = np.unique(np.concatenate([left, right]))
-    x, y = np.nonzero(near)
-    x, y = np.searchsorted(nodes, left[x]), np.searchsorted(nodes, right[y])
+    order = np.argsort(nodes, kind="stable")
+    x, y = np.nonzero(near[np.ix_(order, order)])
     root = np.arange(len(nodes))
     while True:
         low = np.minimum(root[x], root[y])
@@ -192,8 +216,9 @@ def _forest(left: np.ndarray, right: np.ndarray, near: np.ndarray) -> pd.DataFra
         if (new == root).all():
             break
         root = new
-    moved = root != np.arange(len(nodes))
-    return pd.DataFrame({"node": nodes[moved], "other": nodes[root[moved]], "links": np.zeros(int(moved.sum()), np.int64)})
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    ends = nodes[order]
+    return pd.DataFrame({"node": ends[moved], "other": ends[root[moved]], "links": np.zeros(len(moved), np.int64)})
 
 
 def vector_groups(
@@ -213,8 +238,10 @@ def vector_groups(
     names no group. Other columns are ignored. An empty table gives none.
     """
     rows = narrow(vectors, id_column, column).select(
-        F.col(id_column).cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("vector")
+        F.col(id_column).cast("long").alias("vec_id"), F.col(column).alias("vector")
     )
+    if dict(rows.dtypes)["vector"] not in ("array<float>", "array<double>"):
+        rows = rows.withColumn("vector", F.col("vector").cast("array<double>"))
     largest = F.array_max(F.transform("vector", lambda x: F.abs(x)))
     finite = (largest > 0) & (largest < float("inf")) & ~F.exists("vector", lambda x: x.isNull() | F.isnan(x))
     fine = F.coalesce(finite, F.lit(False))
@@ -235,27 +262,30 @@ def vector_groups(
     nodes = used.select("vec_id", "vector", *hashes).join(same.where("node IS NOT NULL"), ["v1", "v2"])
     nodes = nodes.where("vec_id = node").select("node", "weight", "vector").dropDuplicates(["node"])
     code = code or make_code(dimensions, count)
-
-    listed = nodes.select("node", "weight", "vector")
-    filters = listed.select("node", "vector").mapInPandas(_assign(code), "node long, filters array<long>")
-    listed = space.keep(nodes.join(filters, "node"), f"{name}_listed")
-    entries = listed.select("node", F.explode("filters").alias("filter"))
-    sizes = entries.groupBy("filter").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = math.prod(len(b) for b in code.books[:-1])
+    # So many directions of the last block that random vectors fill a tile about as wanted.
+    width = max(1, min(code.last, round(TILE_ROWS * firsts * code.last / (count * wanted_filters(count)))))
+
+    found = nodes.select("node", "vector").mapInPandas(_assign(code, width), "node long, tiles array<long>")
+    listed = space.keep(nodes.join(found, "node"), f"{name}_listed")
+    entries = listed.select("node", F.explode("tiles").alias("tile"))
+    sizes = entries.groupBy("tile").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     pieces = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    shared = entries.join(sizes, "filter").select("node", "filter", pieces.alias("pieces"))
-    block = F.pmod(F.xxhash64("node", "filter"), F.col("pieces")).cast("int")
+    shared = entries.join(sizes, "tile").select("node", "tile", pieces.alias("pieces"))
+    block = F.pmod(F.xxhash64("node", "tile"), F.col("pieces")).cast("int")
     others = F.sequence(F.lit(0), F.col("pieces") - 1)
     meets = shared.withColumn("block", block).withColumn("other_block", F.explode(others))
     meets = meets.select(
         "node",
-        "filter",
+        "tile",
         "block",
         F.least("block", "other_block").alias("one"),
         F.greatest("block", "other_block").alias("two"),
     )
-    tiles = meets.join(listed, "node").repartition("filter", "one", "two").sortWithinPartitions("filter", "one", "two")
-    tiles = tiles.select("filter", "one", "two", "block", "node", "weight", "vector", "filters")
-    counts = space.keep(tiles.mapInPandas(_compare(similarity), "node long, other long, links long"), f"{name}_counts")
+    tiles = meets.join(listed.drop("tiles"), "node").repartition("tile", "one", "two")
+    tiles = tiles.sortWithinPartitions("tile", "one", "two")
+    tiles = tiles.select("tile", "one", "two", "block", "node", "weight", "vector")
+    counts = space.keep(tiles.mapInPandas(_compare(code, width, similarity), "node long, other long, links long"), f"{name}_counts")
 
     links = counts.groupBy("node").agg(F.sum("links").alias("links"))
     groups = components(space, counts.where("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")), name)

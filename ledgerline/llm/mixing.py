@@ -120,12 +120,13 @@ def _thresholds(space: Workspace, sizes: DataFrame, targets: DataFrame, name: st
     )
 
 
-def _join_thresholds(rows: DataFrame, thresholds: DataFrame, source: str) -> DataFrame:
-    """``thresholds`` beside each row, under ``mix``. Few sources are broadcast, so that a hot one moves no rows."""
+def _join_thresholds(rows: DataFrame, thresholds: DataFrame, source: str) -> tuple[DataFrame, str]:
+    """The thresholds beside each row, in a struct column of the name returned. Few sources are broadcast, so that a
+    hot one moves no rows."""
     name = free_name(rows.columns, "mix")
     table = thresholds.select(F.struct("*").alias(name))
     table = F.broadcast(table) if thresholds.count() <= BROADCAST_SOURCES else table
-    return rows.join(table, F.col(f"`{source}`").eqNullSafe(F.col(f"{name}.source"))).withColumnRenamed(name, "mix")
+    return rows.join(table, F.col(f"`{source}`").eqNullSafe(F.col(f"{name}.source"))), name
 
 
 def mix_counts(
@@ -145,10 +146,16 @@ def mix_counts(
     """
     sizes = _sizes(space, docs, name)
     thresholds = _thresholds(space, sizes, source_targets(sizes, weights, share, max_copies), name)
-    chosen = _join_thresholds(sizes, thresholds, "source")
-    copies = F.col("mix.copies") + F.when(F.col("h") <= F.col("mix.threshold"), 1).otherwise(0)
+    chosen, mixed = _join_thresholds(sizes, thresholds, "source")
+    copies = F.col(f"{mixed}.copies") + F.when(F.col("h") <= F.col(f"{mixed}.threshold"), 1).otherwise(0)
     return chosen.select(
-        "doc_id", "source", "size", "mix.source_size", "mix.target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
+        "doc_id",
+        "source",
+        "size",
+        f"{mixed}.source_size",
+        f"{mixed}.target",
+        copies.alias("copies"),
+        (F.col("size") * copies).alias("taken"),
     )
 
 
@@ -171,9 +178,9 @@ def mix(
     """``docs`` as the mix has it: each row as often as it is taken, rows that are not taken left out."""
     sizes = _sizes(space, docs, name)
     thresholds = _thresholds(space, sizes, source_targets(sizes, weights, share, max_copies), name)
-    chosen = _join_thresholds(docs, thresholds, "source")
-    more = F.when(_hash(F.col("doc_id"), F.col("text")) <= F.col("mix.threshold"), 1).otherwise(0)
-    copies = (F.col("mix.copies") + more).cast("int")
+    chosen, mixed = _join_thresholds(docs, thresholds, "source")
+    more = F.when(_hash(F.col("doc_id"), F.col("text")) <= F.col(f"{mixed}.threshold"), 1).otherwise(0)
+    copies = (F.col(f"{mixed}.copies") + more).cast("int")
     taken = F.explode(F.array_repeat(F.lit(0), copies))
     names = [F.col(f"`{c}`") for c in docs.columns]
     return chosen.select(*names, taken.alias(free_name(docs.columns, "copy"))).select(*names)

@@ -19,8 +19,11 @@ from ledgerline.llm import (
     token_counts,
     toxicity,
 )
+from ledgerline.llm.oracles import ORACLES
 from ledgerline.workspace import Workspace
 
+__all__ = ["ORACLES", "QUERIES"]
+
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
@@ -102,5 +105,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_sharding": op10_sharding,
 }
-
-ORACLES: dict[str, str] = {}

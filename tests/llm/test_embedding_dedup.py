@@ -1,0 +1,94 @@
+import numpy as np
+import pytest
+
+from ledgerline.llm import embedding_dedup
+from ledgerline.llm.embedding_dedup import make_code, vector_groups
+from ledgerline.workspace import Workspace
+
+
+def vectors(seed, n=400, d=64):
+    rng = np.random.default_rng(seed)
+    out = list(rng.standard_normal((n, d)))
+    for size, spread in ((40, 0.02), (25, 0.3), (10, 0.45)):
+        centre = rng.standard_normal(d)
+        out += [centre + spread * rng.standard_normal(d) for _ in range(size)]
+    out += [out[5].copy() for _ in range(7)] + [out[6] * 3.5, out[6] * 1e-200, out[6] * 1e200]
+    return np.array(out)
+
+
+def brute(rows, similarity=0.9):
+    unit = rows / np.abs(rows).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= similarity
+    np.fill_diagonal(near, False)
+    return near
+
+
+def groups(near):
+    label = np.arange(len(near))
+    while True:
+        new = np.array([min(label[i], *label[near[i]]) if near[i].any() else label[i] for i in range(len(near))])
+        if (new == label).all():
+            return label
+        label = new
+
+
+@pytest.mark.parametrize("block", [4_000, 9])
+def test_links_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(embedding_dedup, "BLOCK_ROWS", block)
+    monkeypatch.setattr(embedding_dedup, "TILE_ROWS", block // 2)
+    rows = vectors(1)
+    near = brute(rows)
+    df = spark.createDataFrame([(i, [float(x) for x in v], 0) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+    got = sorted(vector_groups(Workspace(spark, "v"), df.repartition(4)).collect())
+    links = np.array([r.n_links for r in got])
+    assert (links <= near.sum(axis=1)).all()
+    assert links.sum() >= 0.95 * near.sum()
+    want = groups(near)
+    assert np.mean([r.component_id == c for r, c in zip(got, want)]) > 0.97
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+
+
+def test_recall_at_the_threshold():
+    """Pairs with a cosine of 0.9 exactly, for codes of several sizes."""
+    rng = np.random.default_rng(2)
+    for n in (500, 20_000, 1_000_000):
+        code = make_code(64, n)
+        a = rng.standard_normal((400, 64))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b = rng.standard_normal((400, 64))
+        b -= (b * a).sum(axis=1, keepdims=True) * a
+        b /= np.linalg.norm(b, axis=1, keepdims=True)
+        c = 0.9 * a + np.sqrt(1 - 0.81) * b
+        one, two = code.filters(a), code.filters(c)
+        met = np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(one, two)])
+        assert met > 0.93, n
+        assert np.mean([len(x) for x in one]) < 1.5 * embedding_dedup.wanted_filters(n)
+
+
+def test_decoding_finds_all_exceeding_filters():
+    code = make_code(12, 300)
+    rng = np.random.default_rng(3)
+    unit = rng.standard_normal((20, 12))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    at, total = 0, np.zeros((20, 1))
+    for book in code.books:
+        scores = unit[:, at : at + book.shape[1]] @ book.T
+        total = (total[:, :, None] + scores[:, None, :]).reshape(20, -1)
+        at += book.shape[1]
+    for found, scores in zip(code.filters(unit), total):
+        assert found.tolist() == np.flatnonzero(scores >= code.threshold).tolist()
+
+
+def test_vectors_that_link_with_nothing(spark):
+    schema = "vec_id long, embedding array<float>, node long, vector string"
+    good = [1.0, 2.0, 3.0, 4.0]
+    odd = [None, [], [0.0] * 4, [1.0, None, 1.0, 1.0], [float("nan")] * 4, [float("inf"), 1.0, 1.0, 1.0], [1.0, 2.0]]
+    rows = [(i, v, 1, "x") for i, v in enumerate(odd)] + [(20, good, 1, "x"), (21, good, 1, "x"), (21, good, 1, "x"), (None, good, 1, "x")]
+    got = sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in vector_groups(Workspace(spark, "v"), spark.createDataFrame(rows, schema)).collect())
+    want = [(str(i), 0, str(i), True) for i in range(len(odd))]
+    want += [("20", 3, "20", True), ("21", 3, "20", False), ("21", 3, "20", False), ("None", 3, "20", True)]
+    assert got == sorted(want)
+    empty = spark.createDataFrame([], schema)
+    assert vector_groups(Workspace(spark, "v"), empty).count() == 0
+    assert vector_groups(Workspace(spark, "v"), spark.createDataFrame(rows[:3], schema)).count() == 3

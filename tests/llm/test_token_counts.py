@@ -1,0 +1,58 @@
+import json
+import random
+import re
+
+import pytest
+
+from ledgerline.llm import token_counts
+from ledgerline.llm.token_counts import Automaton
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def greedy(word, pieces):
+    n, at = 0, 0
+    longest = max(map(len, pieces), default=0)
+    while at < len(word):
+        for size in range(min(longest, len(word) - at), 0, -1):
+            if word[at : at + size] in pieces:
+                break
+        else:
+            return 1
+        n, at = n + 1, at + size
+    return n
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_the_automaton_counts_greedy_pieces(seed):
+    random.seed(seed)
+    letters = b"ab" if seed % 2 else b"abcd"
+    pieces = {bytes(random.choices(letters, k=random.randint(1, 6))) for _ in range(random.randint(1, 30))}
+    if seed > 3:
+        pieces |= {bytes([c]) for c in letters}
+    automaton = Automaton(pieces)
+    for _ in range(400):
+        word = bytes(random.choices(letters, k=random.randint(0, 25)))
+        assert automaton.count(word) == greedy(word, pieces), (word, pieces)
+
+
+def test_counts_of_documents(docs, tmp_path):
+    path = str(tmp_path / "vocabulary.json")
+    vocabulary = {"a": 0, "b": 1, "ab": 2, "abc": 3, "c</w>": 4, "Ã": 5, "©": 6, "<|end|>": 7}
+    content = {"added_tokens": [{"content": "<|end|>"}], "model": {"end_of_word_suffix": "</w>", "vocab": vocabulary}}
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(content, file)
+    rows = [(1, "ab ABC\tabca\n b"), (2, None), (3, ""), (4, " \n "), (None, "é zz"), (1, "ab"), (5, "abc" * 50_000)]
+    given = docs(rows).selectExpr("*", "1 AS n_words", "2 AS n_tokens")
+    got = token_counts.count_tokens(given, path).collect()
+    want = [("1", 4, 1 + 1 + 2 + 1), ("2", 0, 0), ("3", 0, 0), ("4", 0, 0), ("None", 2, 2 + 1), ("1", 1, 1), ("5", 1, 50_000)]
+    assert sorted((str(r.doc_id), r.n_words, r.n_tokens) for r in got) == sorted(want)
+    assert token_counts.count_tokens(docs([], 1), path).count() == 0
+
+
+def test_the_public_vocabulary(docs):
+    pieces = token_counts.vocabulary_pieces(token_counts.default_vocabulary())
+    assert len(pieces) > 20_000 and all(bytes([b]) in pieces for b in range(256))
+    texts = ["The quick brown fox, jumped; naïve café 12345 日本語", "antidisestablishmentarianism\x85x"]
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs(list(enumerate(texts)))).collect()}
+    assert got == {i: sum(greedy(w.lower().encode(), pieces) for w in WORD.findall(t)) for i, t in enumerate(texts)}

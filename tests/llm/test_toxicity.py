@@ -1,0 +1,78 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ledgerline.llm import toxicity
+
+CLEAN = ["rain", "hill", "bread", "stone", "light", "river", "table", "the", "of", "and"]
+RUDE = ["blorgface", "blorghead", "zingwit"]
+
+
+def corpus(n, seed):
+    random.seed(seed)
+    rows, labels = [], []
+    for i in range(n):
+        words = random.choices(CLEAN, k=random.randint(5, 60))
+        toxic, poor = random.random() < 0.2, random.random() < 0.2
+        if toxic:
+            words[random.randrange(len(words))] = random.choice(RUDE).upper()
+        if poor:
+            words = [w + "***" for w in words]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(not poor), int(toxic)))
+    return rows, labels
+
+
+def test_held_out_accuracy(docs, spark):
+    rows, labels = corpus(900, 1)
+    given = docs(rows)
+    told = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    chain = toxicity.train(given, told.where("doc_id < 600"))
+    held = toxicity.score(given.where("doc_id >= 600"), chain).join(told, "doc_id")
+    right = held.select(
+        F.avg(((F.col("toxicity.toxic") >= 0.5) == (F.col("toxic") == 1)).cast("int")).alias("toxic"),
+        F.avg(((F.col("toxicity.low_quality") >= 0.5) == (F.col("quality") == 0)).cast("int")).alias("poor"),
+    ).first()
+    assert right.toxic > 0.98 and right.poor > 0.98
+    kept = toxicity.keep_clean(given, told)
+    assert kept.columns == given.columns
+    assert kept.join(told.where("toxic = 1"), "doc_id").count() < 0.03 * 900 * 0.2
+    assert kept.join(told.where("toxic = 0"), "doc_id").count() > 0.98 * 900 * 0.8
+
+
+def test_later_links_use_earlier_categories():
+    rng = np.random.default_rng(1)
+    counts = np.full(600, 3)
+    numbers = rng.integers(0, 30, 1800)
+    first = (numbers.reshape(-1, 3) < 10).any(axis=1).astype(float)
+    # The second category is the first; its own features are of no use, the chain's are.
+    chain = toxicity.fit_chain(("a", "b"), {str(i): i for i in range(30)}, numbers, counts, np.column_stack([first, first]))
+    assert chain.weights[1][30] > 0.5 and len(chain.weights[1]) == 32
+    found = chain.predict(numbers, counts)
+    assert ((found[:, 1] >= 0.5) == (first == 1)).mean() > 0.97
+
+
+def test_probabilities_are_those_of_the_linear_models(docs):
+    chain = toxicity.Chain(("a", "b"), {"x": 0, "y": 1}, (np.array([2.0, -1.0, 0.5]), np.array([0.0, 1.0, 3.0, -2.0])))
+    rows = [(1, "x y x"), (2, "X"), (3, None), (4, ""), (5, "y " * 50_000), (None, "z"), (2, "X")]
+    given = docs(rows).selectExpr("*", "1 AS toxicity", "2 AS a")
+    got = {str(r.doc_id): tuple(r["_toxicity"]) for r in toxicity.score(given, chain).collect()}
+
+    def want(x, y):
+        a = 1 / (1 + np.exp(-(2 * x - y + 0.5)))
+        return a, 1 / (1 + np.exp(-(y + 3 * a - 2)))
+
+    for key, words in {"1": (1, 1), "2": (1, 0), "3": (0, 0), "4": (0, 0), "5": (0, 1), "None": (0, 0)}.items():
+        assert np.allclose(got[key], want(*words))
+    assert toxicity.score(docs([], 1), chain).count() == 0
+
+
+def test_labels_without_use(docs, spark):
+    rows, labels = corpus(60, 2)
+    schema = "doc_id long, quality int, toxic int"
+    one_sided = spark.createDataFrame([(i, 1, 0) for i, *_ in labels] + [(None, 0, 1), (10_000, 0, 1), (3, None, None), (3, 1, 0)], schema)
+    chain = toxicity.train(docs(rows), one_sided)
+    assert toxicity.score(docs(rows), chain).where("toxicity.toxic >= 0.5").count() == 0
+    nothing = toxicity.train(docs(rows), one_sided.where("doc_id < 0"))
+    assert toxicity.score(docs(rows), nothing).count() == 60
