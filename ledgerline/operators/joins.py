@@ -25,17 +25,51 @@ MAX_HOT_KEYS = 10_000
 MAX_PIECES = 4_000
 
 
-def measured_bytes(*tables: DataFrame) -> list[int]:
-    """Upper bound of the memory each table takes, by its text, from one aggregate job over all of them."""
+@dataclass(frozen=True)
+class Measure:
+    """Rows and text bytes of a table, the most of either that one value of its first column has, and of one row."""
+
+    rows: int = 0
+    text: int = 0
+    key_rows: int = 0
+    key_text: int = 0
+    row_text: int = 0
+    columns: int = 0
+
+    @property
+    def memory(self) -> int:
+        """Upper bound of what the table takes in memory."""
+        return 2 * self.text + self.rows * (ROW_OVERHEAD + FIELD_OVERHEAD * self.columns)
+
 
-    def size(i: int, table: DataFrame) -> DataFrame:
-        fixed = ROW_OVERHEAD + FIELD_OVERHEAD * len(table.columns)
+def measure(*tables: DataFrame) -> list[Measure]:
+    """Measures of all tables from one aggregate over them. Sums go before the shuffle; a row per table comes back."""
+
+    def rows(i: int, table: DataFrame) -> DataFrame:
         lengths = (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns)
-        row = reduce(Column.__add__, lengths).cast("long") * 2 + fixed
-        return table.agg(F.lit(i).alias("i"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes"))
+        text = reduce(Column.__add__, lengths).cast("long")
+        return table.select(F.lit(i).alias("i"), F.col(table.columns[0]).cast("string").alias("key"), text.alias("text"))
+
+    by_key = reduce(DataFrame.unionAll, (rows(i, t) for i, t in enumerate(tables))).groupBy("i", "key")
+    by_key = by_key.agg(F.count(F.lit(1)).alias("n"), F.sum("text").alias("text"), F.max("text").alias("longest"))
+    found = by_key.groupBy("i").agg(F.sum("n"), F.sum("text"), F.max("n"), F.max("text"), F.max("longest")).collect()
+    measures = {i: Measure(*values, len(tables[i].columns)) for i, *values in map(tuple, found)}
+    return [measures.get(i, Measure(columns=len(t.columns))) for i, t in enumerate(tables)]
+
 
-    sizes = reduce(DataFrame.unionAll, (size(i, t) for i, t in enumerate(tables)))
-    return [r["bytes"] for r in sorted(sizes.collect())]
+class Measures:
+    """Measures of tables, each table measured once however many joins ask for it."""
+
+    def __init__(self, *tables: DataFrame):
+        self._known: dict[int, tuple[DataFrame, Measure]] = {}
+        self.of(*tables)
+
+    def of(self, *tables: DataFrame) -> list[Measure]:
+        """The measure of each table; those not measured yet are, together."""
+        new = list({id(t): t for t in tables if id(t) not in self._known}.values())
+        if new:
+            self._known |= {id(t): (t, m) for t, m in zip(new, measure(*new))}
+        return [self._known[id(t)][1] for t in tables]
 
 
 def hot_keys(fact: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[tuple[str | None, int]]:
@@ -69,7 +103,7 @@ def left_join(
         return fact
 
     columns = fact.columns + [c for table, _ in others for c in table.columns]
-    sizes = measured_bytes(*(table for table, _ in others))
+    sizes = [m.memory for m in measure(*(table for table, _ in others))]
     small = [other for other, size in zip(others, sizes) if size <= max_bytes]
     large = [other for other, size in zip(others, sizes) if size > max_bytes]
     if large:
@@ -109,7 +143,7 @@ def code_table(table: DataFrame, prefix: str) -> DataFrame:
     return table.select(F.col("codigo").alias(f"{prefix}_codigo"), F.col("descricao").alias(f"{prefix}_descricao"))
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Role:
     """A column of codes, the table that describes them, and a prefix for the columns it adds."""
 
@@ -118,12 +152,13 @@ class Role:
     prefix: str
 
 
-def split_by_size(roles: Sequence[Role], max_bytes: int = BROADCAST_BYTES) -> tuple[list[Role], list[Role]]:
+def split_by_size(
+    roles: Sequence[Role], max_bytes: int = BROADCAST_BYTES, measures: Measures | None = None
+) -> tuple[list[Role], list[Role]]:
     """Roles whose table was measured to fit ``max_bytes``, and the others."""
-    tables = list({id(r.table): r.table for r in roles}.values())
-    size = dict(zip(map(id, tables), measured_bytes(*tables)))
-    small = [r for r in roles if size[id(r.table)] <= max_bytes]
-    return small, [r for r in roles if size[id(r.table)] > max_bytes]
+    measured = (measures or Measures()).of(*(r.table for r in roles))
+    small = [r for r, m in zip(roles, measured) if m.memory <= max_bytes]
+    return small, [r for r in roles if r not in small]
 
 
 def lookup_small(fact: DataFrame, roles: Sequence[Role]) -> DataFrame:
@@ -144,12 +179,16 @@ def lookup_large(fact: DataFrame, roles: Sequence[Role], hot_rows: int = HOT_ROW
 
 
 def lookup(
-    fact: DataFrame, *roles: tuple[str, DataFrame, str], max_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
+    fact: DataFrame,
+    *roles: tuple[str, DataFrame, str],
+    max_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
+    measures: Measures | None = None,
 ) -> DataFrame:
     """Left-join ``fact`` with code tables: each role is ``(fact column, code table, prefix)``.
 
     Adds ``<prefix>_codigo`` and ``<prefix>_descricao``. Several roles may use the same table. A repeated code
     repeats the row, as any left join does.
     """
-    small, large = split_by_size([Role(*r) for r in roles], max_bytes)
+    small, large = split_by_size([Role(*r) for r in roles], max_bytes, measures)
     return lookup_small(lookup_large(fact, large, hot_rows), small)

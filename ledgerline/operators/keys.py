@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,12 +13,15 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
     """One row per key: the smallest by all other columns (NULLs first).
 
-    Which row survives is open in the original, so this fixes one choice. Each task keeps at most one row per
-    key before the shuffle, so a key with very many copies costs its task one row per input partition.
+    Which row survives is open in the original, so this fixes one choice. Rows are ordered by the key alone; the
+    other columns are compared only between rows of one key. Each task keeps one row per key before the shuffle, so a
+    key with very many copies costs its task one row per input partition.
     """
-    others = [F.col(c).asc_nulls_first() for c in df.columns if c != key] or [F.col(key)]
-    window = Window.partitionBy(key).orderBy(*others)
-    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).drop("_rank")
+    others = [c for c in df.columns if c != key]
+    if not others:
+        return df.distinct()
+    smallest = df.groupBy(key).agg(F.min(F.struct(*others)).alias("_smallest"))
+    return smallest.select(*(key if c == key else F.col(f"_smallest.{c}").alias(c) for c in df.columns))
 
 
 def insert_if_absent(target: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -7,47 +7,40 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.operators.filters import where_equal
 
 SAMPLE_ROWS = 100
 # The parameters the sample query knows.
 PARAMETERS = ("cnae", "uf")
-# Below this many rows a top-n over everything is cheap enough.
-DIRECT_ROWS = 1_000_000
+# Tasks that the partitions' smallest draws meet in before the last one.
+MEETINGS = 64
 
 
-def random_sample(
-    df: DataFrame, n: int = SAMPLE_ROWS, seed: int | None = None, direct_rows: int = DIRECT_ROWS
-) -> DataFrame:
+def random_sample(df: DataFrame, n: int = SAMPLE_ROWS, seed: int | None = None) -> DataFrame:
     """``min(n, rows)`` rows, every subset equally likely."""
     seed = random.getrandbits(31) if seed is None else seed
-    drawn = df.withColumn("_draw", F.rand(seed))
-    return _smallest(drawn, n, ["_draw"], direct_rows, lambda share: share).drop("_draw")
+    return _smallest(df.withColumn("_draw", F.rand(seed)), n)
 
 
-def seeded_sample(
-    df: DataFrame, key: str, seed: str, n: int = SAMPLE_ROWS, direct_rows: int = DIRECT_ROWS
-) -> DataFrame:
-    """A random sample that the seed and the keys determine: the ``n`` smallest ``md5(seed ‖ key)``."""
-    drawn = df.withColumn("_draw", F.md5(F.concat(F.lit(seed), F.col(key))))
-    return _smallest(drawn, n, ["_draw", key], direct_rows, lambda share: f"{int(share * 2**60):015x}").drop("_draw")
+def seeded_sample(df: DataFrame, key: str, seed: str, n: int = SAMPLE_ROWS) -> DataFrame:
+    """A random sample that the seed and the keys determine: the ``min(n, rows)`` smallest ``md5(seed ‖ key)``.
 
+    A row without a key draws by its whole content instead, so such rows are picked like all others.
+    """
+    named = F.coalesce(F.col(key).cast("string"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+    return _smallest(df.withColumn("_draw", F.md5(F.concat(F.lit(seed), named))), n)
 
-def _smallest(drawn: DataFrame, n: int, order: list[str], direct_rows: int, cutoff) -> DataFrame:
-    """The ``n`` rows with the smallest ``_draw``.
 
-    On a large table every partition would send ``n`` whole rows to the one task that picks. There, only rows
-    below a draw that leaves about ``2n`` of them take part, once that draw is seen to leave ``n``: the rows
-    picked are the same.
-    """
-    total = drawn.count()
-    share = (2 * n + 100) / total if total else 1
-    if total > direct_rows and share < 1:
-        few = drawn.where(F.col("_draw") < F.lit(cutoff(share)))
-        if few.select("_draw").limit(n).count() == n:
-            drawn = few
-    return drawn.orderBy(*order).limit(n)
+def _smallest(drawn: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest ``_draw``, in one pass: every partition hands on ``n`` rows at most, groups of
+    partitions do the same, and what they hand on meets in one task. Equal draws go by the rows' content."""
+    order = [F.col("_draw"), F.xxhash64(*drawn.columns)]
+    meeting = F.pmod(F.spark_partition_id(), F.lit(MEETINGS))
+    rank = F.row_number().over(Window.partitionBy("_meeting").orderBy(*order))
+    few = drawn.withColumn("_meeting", meeting).withColumn("_rank", rank).where(F.col("_rank") <= n)
+    return few.drop("_meeting", "_rank").orderBy(*order).limit(n).drop("_draw")
 
 
 def sample_registry(
@@ -59,7 +52,8 @@ def sample_registry(
 ) -> DataFrame:
     """Up to ``n`` random rows, filtered by activity code and state where given.
 
-    Without parameters the whole table is sampled; with none of the known ones it is an error.
+    Without parameters the whole table is sampled; with none of the known ones it is an error. Any table with the
+    columns ``cnae``, ``uf`` and the key can be sampled, so wide rows need to be built only for the rows picked.
     """
     parameters = dict(parameters or {})
     wanted = {name: parameters.get(name) for name in PARAMETERS}
@@ -72,4 +66,3 @@ def sample_registry(
 def as_records(df: DataFrame) -> DataFrame:
     """One JSON object per row under ``data``."""
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("data"))
-

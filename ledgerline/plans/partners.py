@@ -6,13 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import codes, dates, text
-from ledgerline.operators.fold import fold_whole
-from ledgerline.operators.joins import lookup
+from ledgerline.operators.fold import KEY, MAX_CELL_BYTES, PART_BYTES, fold, fold_in_parts, record_bytes
+from ledgerline.operators.joins import Measures, lookup
 from ledgerline.schemas import PARTNER_RECORD
 
+# A date as text.
+DATE_BYTES = 10
+
 
 def partner_rows(
-    partners: DataFrame, qualifications: DataFrame, countries: DataFrame, fix_representative: bool = False
+    partners: DataFrame,
+    qualifications: DataFrame,
+    countries: DataFrame,
+    fix_representative: bool = False,
+    measures: Measures | None = None,
 ) -> DataFrame:
     """Partners with decoded codes, in the published field order.
 
@@ -35,6 +42,7 @@ def partner_rows(
         ("qualificacao_socio", qualifications, "own"),
         ("qualificacao_representante" if fix_representative else "qualificacao_socio", qualifications, "agent"),
         ("pais", countries, "country"),
+        measures=measures,
     )
     return looked_up.select(
         "cnpj_basico",
@@ -51,14 +59,42 @@ def partner_rows(
 
 
 def partners_json(
-    partners: DataFrame, qualifications: DataFrame, countries: DataFrame, fix_representative: bool = False
+    partners: DataFrame,
+    qualifications: DataFrame,
+    countries: DataFrame,
+    fix_representative: bool = False,
+    keyless: bool = True,
+    max_bytes: int = MAX_CELL_BYTES,
+    measures: Measures | None = None,
 ) -> DataFrame:
-    """``(cnpj_basico, socios_json)``: the array of a company's partner records."""
-    return partners_json_whole(partners, qualifications, countries, fix_representative)[0]
+    """``(cnpj_basico, socios_json)``: the array of a company's partner records, complete.
+
+    Partners without a company are a group, too, unless ``keyless`` is false, as it may be where the arrays are only
+    joined: that group matches nothing.
 
+    A company with more records than a row may hold is an error that names it; :func:`partners_in_parts` has the
+    layout for registers with such companies.
+    """
+    measures = measures or Measures(partners, qualifications, countries)
+    read, own, country = measures.of(partners, qualifications, countries)
+    partners = partners if keyless else partners.where(F.col(KEY).isNotNull())
+    rows = partner_rows(partners, qualifications, countries, fix_representative, measures)
+    # The partners as read, and for each row the longest labels and descriptions; repeated codes repeat rows.
+    repeats = max(1, own.key_rows) ** 2 * max(1, country.key_rows)
+    labels = sum(max(len(label.encode()) for label in known.values()) for known in (codes.PARTNER_TYPE, codes.AGE_BAND))
+    # A repaired mark is never longer than the one it replaces.
+    added = labels + DATE_BYTES + 2 * own.row_text + country.row_text
+    bound = repeats * record_bytes(PARTNER_RECORD, read.key_text + read.key_rows * added, read.key_rows)
+    return fold(rows, PARTNER_RECORD, max_bytes, bound)
 
-def partners_json_whole(
-    partners: DataFrame, qualifications: DataFrame, countries: DataFrame, fix_representative: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """The same, and the records of companies with more of them than one row may hold."""
-    return fold_whole(partner_rows(partners, qualifications, countries, fix_representative), PARTNER_RECORD)
+
+def partners_in_parts(
+    partners: DataFrame,
+    qualifications: DataFrame,
+    countries: DataFrame,
+    fix_representative: bool = False,
+    part_bytes: int = PART_BYTES,
+) -> DataFrame:
+    """``(cnpj_basico, part, socios_json)``: the same records in arrays of bounded size, for companies of any size."""
+    rows = partner_rows(partners, qualifications, countries, fix_representative)
+    return fold_in_parts(rows, PARTNER_RECORD, part_bytes)

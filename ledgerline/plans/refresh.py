@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerline.operators.fold import FOLDED, KEY
+from ledgerline.operators.joins import Measures
 from ledgerline.plans import gates, load
-from ledgerline.plans.partners import partners_json_whole
+from ledgerline.plans.partners import partners_json
 from ledgerline.plans.publish import Tables, publish
 from ledgerline.plans.wide import registry_wide
-from ledgerline.schemas import text_schema, typed_wide_schema
+from ledgerline.schemas import DATASETS, text_schema, typed_wide_schema
 from ledgerline.sinks.export import export_csv
 from ledgerline.sinks.tables import replace_table
 from ledgerline.sources.register import require_well_formed, scan, scan_cleaned
@@ -24,31 +25,26 @@ def build(
 ) -> DataFrame:
     """Landed files → the warehouse tables ``socios_agg_json`` and ``registry_source``; returns the latter.
 
-    Text is parsed once: the large datasets go to Parquet, and a line without exactly its dataset's columns
-    stops the run. A company with more partners than a row may hold has NULL for them, and all of them in
-    ``socios_overflow``.
+    Text is parsed once: all datasets go to Parquet, and a line without exactly its dataset's columns stops the run,
+    as does a company with more partners than a row may hold, before any table is written.
     """
 
-    def parsed(name: str, df: DataFrame) -> DataFrame:
-        return require_well_formed(workspace.keep(df, name))
+    def parsed(name: str) -> DataFrame:
+        if name == "establishments":
+            return require_well_formed(workspace.keep(scan_cleaned(spark, landing, name, bad_records=True), name))
+        return require_well_formed(workspace.keep(scan(spark, landing, name, encoding, bad_records=True), name))
 
-    establishments = parsed("establishments", scan_cleaned(spark, landing, "establishments", bad_records=True))
-    partners = parsed("partners", scan(spark, landing, "partners", encoding, bad_records=True))
-    companies = parsed("companies", scan(spark, landing, "companies", encoding, bad_records=True))
-    codes = {
-        name: scan(spark, landing, name, encoding)
-        for name in ("qualifications", "countries", "legal_natures", "cities", "activities")
-    }
-    folded, overflow = partners_json_whole(partners, codes["qualifications"], codes["countries"])
+    data = {name: parsed(name) for name in DATASETS}
+    codes = ("activities", "cities", "legal_natures")
+    measures = Measures(data["partners"], *(data[n] for n in ("qualifications", "countries", *codes)))
+    folded = partners_json(data["partners"], data["qualifications"], data["countries"], measures=measures)
     folded = replace_table(folded, f"{database}.socios_agg_json", PARTNERS_JSON)
-    replace_table(overflow, f"{database}.socios_overflow")
     wide = registry_wide(
-        establishments,
-        companies,
-        codes["activities"],
-        codes["cities"],
-        codes["legal_natures"],
+        data["establishments"],
+        data["companies"],
+        *(data[n] for n in codes),
         folded,
+        measures=measures,
     )
     return replace_table(wide, f"{database}.registry_source", typed_wide_schema())
 
@@ -83,10 +79,17 @@ def refresh(
 ) -> DataFrame:
     """Run everything on the files below ``landing``; returns the served table ``<database>.registry``.
 
-    The next refresh into the same database keeps what is served now as the backup. Without a database, one of
-    this run's own is used. Runs of the same name overwrite each other's files.
+    The next refresh into the same database keeps what is served now as the backup. The database is created if it is
+    not there; without one, one of this run's own is used. Runs of the same name overwrite each other's files.
     """
     workspace = Workspace(spark, "refresh", run)
-    database = database or workspace.database()
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    else:
+        database = workspace.database()
     source = build(spark, landing, workspace, database, encoding)
-    return hand_over(spark, source, workspace, Tables(f"{database}.registry"), through_files)
+    served = hand_over(spark, source, workspace, Tables(f"{database}.registry"), through_files)
+    # What is served is in tables; the run's own files are done with.
+    workspace.discard("kept")
+    workspace.discard("export")
+    return served

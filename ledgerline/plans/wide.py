@@ -12,6 +12,7 @@ from ledgerline.functions.records import list_text
 from ledgerline.operators.joins import (
     BROADCAST_BYTES,
     HOT_ROWS,
+    Measures,
     Role,
     left_join,
     lookup_large,
@@ -57,6 +58,7 @@ def registry_wide(
     fix_start_guard: bool = False,
     max_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    measures: Measures | None = None,
 ) -> DataFrame:
     """Establishments left-joined with their company, their code tables and their company's folded partners.
 
@@ -68,7 +70,7 @@ def registry_wide(
         F.col("cnpj_basico").alias("partner_key"), list_text(F.col("socios_json")).alias("socios_json")
     )
     by_company = [(_company(companies), "company_key"), (folded, "partner_key")]
-    joined = _joined(establishments, by_company, activities, cities, legal_natures, max_bytes, hot_rows)
+    joined = _joined(establishments, by_company, activities, cities, legal_natures, max_bytes, hot_rows, measures)
     columns = _published(WIDE, fix_start_guard)
     return joined.select(*(c.alias(name) for name, c in zip(WIDE, columns)))
 
@@ -82,11 +84,12 @@ def registry_wide_v1(
     fix_start_guard: bool = False,
     max_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    measures: Measures | None = None,
 ) -> DataFrame:
     """First edition, 25 columns. The partners it joined had one row per company and no column selected,
     so leaving them out changes nothing."""
     by_company = [(_company(companies), "company_key")]
-    joined = _joined(establishments, by_company, activities, cities, legal_natures, max_bytes, hot_rows)
+    joined = _joined(establishments, by_company, activities, cities, legal_natures, max_bytes, hot_rows, measures)
     columns = _published(WIDE_V1, fix_start_guard)
     return joined.select(*(c.alias(name) for name, c in zip(WIDE_V1, columns)))
 
@@ -115,6 +118,7 @@ def _joined(
     legal_natures: DataFrame,
     max_bytes: int,
     hot_rows: int,
+    measures: Measures | None,
 ) -> DataFrame:
     """All joins. Code tables too large to broadcast come first, while rows are still narrow; small ones come
     last, so that their descriptions are never shuffled."""
@@ -123,7 +127,7 @@ def _joined(
         Role("municipio", cities, "city"),
         Role("legal_nature", legal_natures, "nature"),
     ]
-    small, large = split_by_size(roles, max_bytes)
+    small, large = split_by_size(roles, max_bytes, measures)
     rows = lookup_large(
         establishments.select(*_ESTABLISHMENT), [r for r in large if r.column != "legal_nature"], hot_rows
     )

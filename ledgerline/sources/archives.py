@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text
+from ledgerline.workspace import Workspace
 
 LINES = "path string, member string, line_no long, line binary"
 
@@ -40,7 +41,7 @@ def list_members(archives: DataFrame) -> DataFrame:
     return archives.select("path", _place()).mapInArrow(read_names, "path string, member string")
 
 
-def expand(archives: DataFrame) -> DataFrame:
+def expand(archives: DataFrame, space: Workspace | None = None) -> DataFrame:
     """Every line of every member of every zip file, undecoded, as ``(path, member, line_no, line)``.
 
     Members go to tasks of their own. A task opens its path itself and inflates the member as a stream, so
@@ -91,14 +92,20 @@ def expand(archives: DataFrame) -> DataFrame:
                         )
                         done += n
 
-    members = list_members(archives)
+    # Kept, so that every archive's directory is read once.
+    space = space or Workspace(archives.sparkSession, "members")
+    members = space.keep(list_members(archives), "members")
     # A number of its own for each member: by size, Spark would put these short rows into one task.
     tasks = max(1, min(members.count(), MAX_TASKS))
     return members.select("path", _place(), "member").repartition(tasks).mapInArrow(read_lines, LINES)
 
 
 def _place():
-    """The path the way a task opens it: a plain one on a file system all machines share, else a URI."""
+    """The path the way a task opens it: a plain one on a file system all machines share, else a URI.
+
+    Tasks open archives with pyarrow: plain paths, ``s3:``, ``gs:`` and ``hdfs:`` work, with the credentials that pyarrow
+    finds on the machine; any other scheme fails the task with a message that names it.
+    """
     plain = F.regexp_replace("path", "^file:/+", "/")
     return F.regexp_replace(plain, "^s3[an]://", "s3://").alias("place")
 

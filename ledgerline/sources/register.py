@@ -10,8 +10,9 @@ from ledgerline.schemas import DATASETS, text_schema
 
 # A doubled quote is a quote, an unquoted empty field is NULL and a quoted one is ''.
 # Only "\n" ends a record: a lone "\r" inside quotes is data.
-FIELD_OPTIONS = {"sep": ";", "quote": '"', "escape": '"', "nullValue": "\x01", "mode": "PERMISSIVE"}
-FILE_OPTIONS = {**FIELD_OPTIONS, "header": "false", "lineSep": "\n"}
+FIELD_OPTIONS = {"sep": ";", "quote": '"', "escape": '"', "nullValue": "\x01"}
+# Whole lines are looked at, so that a line with too many or too few fields is seen whatever columns are asked for.
+FILE_OPTIONS = {**FIELD_OPTIONS, "header": "false", "lineSep": "\n", "columnPruning": "false"}
 
 BAD_RECORD = "_bad_record"
 
@@ -20,16 +21,23 @@ class MalformedError(ValueError):
     """Lines that do not have the columns of their dataset."""
 
 
+def _strictness(columns, bad_records: bool) -> tuple[tuple[str, ...], dict[str, str]]:
+    """The columns to read and the options that say what a malformed line does."""
+    if bad_records:
+        return (*columns, BAD_RECORD), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
+    return tuple(columns), {"mode": "FAILFAST"}
+
+
 def scan_csv(
     spark: SparkSession, path: str, columns, encoding: str = "UTF-8", bad_records: bool = False
 ) -> DataFrame:
     """Delimited files under ``path`` (a file, a folder or a glob) with the given text columns.
 
-    Short records are padded with NULLs and long ones cut; ``bad_records`` adds a column with their text.
+    A line without exactly these columns fails the query that reads it. With ``bad_records`` it is kept, padded with
+    NULLs or cut, and its text is in a column of its own, for :func:`require_well_formed` or a report.
     """
-    options = {**FILE_OPTIONS, "encoding": encoding}
-    if bad_records:
-        columns, options["columnNameOfCorruptRecord"] = (*columns, BAD_RECORD), BAD_RECORD
+    columns, modes = _strictness(columns, bad_records)
+    options = {**FILE_OPTIONS, **modes, "encoding": encoding}
     return spark.read.schema(text_schema(columns)).options(**options).csv(path)
 
 
@@ -66,10 +74,8 @@ def clean_lines(lines: DataFrame) -> DataFrame:
 
 def parse_lines(lines: DataFrame, columns, bad_records: bool = False) -> DataFrame:
     """Text lines → columns, by the same rules as :func:`scan_csv`."""
-    options = dict(FIELD_OPTIONS)
-    if bad_records:
-        columns, options["columnNameOfCorruptRecord"] = (*columns, BAD_RECORD), BAD_RECORD
-    parsed = F.from_csv(F.col("line"), ", ".join(f"{c} string" for c in columns), options)
+    columns, modes = _strictness(columns, bad_records)
+    parsed = F.from_csv(F.col("line"), ", ".join(f"{c} string" for c in columns), {**FIELD_OPTIONS, **modes})
     return lines.select(parsed.alias("r")).select("r.*")
 
 

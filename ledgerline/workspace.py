@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The temporary folder of each local session that names none.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a temporary one only for a local session that names none."""
     context = spark.sparkContext
@@ -15,8 +19,9 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="ledgerline-")
-        context.setCheckpointDir(root)
+        if context.applicationId not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="ledgerline-")
+        root = _LOCAL_ROOTS[context.applicationId]
     return root.rstrip("/")
 
 
@@ -41,3 +46,8 @@ class Workspace:
         """Write ``df`` once as Parquet and go on from the file: later steps neither re-parse nor recompute it."""
         df.write.mode("overwrite").parquet(self.path("kept", name))
         return self.spark.read.schema(df.schema).parquet(self.path("kept", name))
+
+    def discard(self, *parts: str) -> None:
+        """Delete one of this run's folders once nothing reads it any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(*parts))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
