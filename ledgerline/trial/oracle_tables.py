@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
-from ledgerline.functions import codes
-from ledgerline.functions.text import DROPPED_CHARACTERS, REPAIRED, UNDECODABLE
 from ledgerline.schemas import COMPANIES, ESTABLISHMENTS, PARTNERS
 
+# Written out once more, so that the SQL does not share what it checks.
+PARTNER_TYPE = {"1": "PESSOA JURÍDICA", "2": "PESSOA FÍSICA", "3": "ESTRANGEIRO"}
+AGE_BAND = {
+    "0": "Não se aplica",
+    "1": "Entre 0 a 12 anos",
+    "2": "Entre 13 a 20 anos",
+    "3": "Entre 21 a 30 anos",
+    "4": "Entre 31 a 40 anos",
+    "5": "Entre 41 a 50 anos",
+    "6": "Entre 51 a 60 anos",
+    "7": "Entre 61 a 70 anos",
+    "8": "Entre 71 a 80 anos",
+    "9": "Maiores de 80 anos",
+}
+BRANCH = {"1": "Matriz", "2": "Filial"}
+STATUS = {"01": "Nula", "02": "Ativa", "03": "Suspensa", "04": "Inapta", "08": "Baixada"}
+SIZE = {"01": "NAO INFORMADO", "02": "MICRO EMPRESA", "03": "EMPRESA DE PEQUENO PORTE", "05": "DEMAIS"}
+
 
 def padded(number: str, width: int) -> str:
     digits = f"cast({number} as varchar)"
@@ -22,11 +38,11 @@ def parse_date(value: str, guard: str | None = None) -> str:
 
 
 def repair(value: str) -> str:
-    return f"replace({value}, '{UNDECODABLE}', '{REPAIRED}')"
+    return f"replace({value}, '\ufffd', 'ç')"
 
 
 def clean(value: str) -> str:
-    return f"regexp_replace({value}, '{DROPPED_CHARACTERS}', '', 'g')"
+    return rf"""regexp_replace({value}, '[^a-zA-Z0-9,-@+_ "\n]', '', 'g')"""
 
 
 def _select(columns: dict[str, str], order, table: str) -> str:
@@ -102,11 +118,11 @@ _PARTNER = {
 }
 
 CTES = {
-    "qualifications": _code_table("nation", "n_nationkey", 2, "n_name", f"{UNDECODABLE}o"),
+    "qualifications": _code_table("nation", "n_nationkey", 2, "n_name", "\ufffdo"),
     "countries": _code_table("supplier", "s_suppkey", 3, "s_name", ""),
-    "legal_natures": _code_table("region", "r_regionkey", 4, "r_name", f"{UNDECODABLE}o"),
+    "legal_natures": _code_table("region", "r_regionkey", 4, "r_name", "\ufffdo"),
     "cities": _code_table("nation", "n_nationkey", 4, "n_name", ""),
-    "activities": _code_table("part", "p_partkey", 7, "p_name", UNDECODABLE),
+    "activities": _code_table("part", "p_partkey", 7, "p_name", "\ufffd"),
     "companies": _select(_COMPANY, COMPANIES, "customer"),
     "establishments": _select(_ESTABLISHMENT, ESTABLISHMENTS, "orders"),
     "partners": _select(_PARTNER, PARTNERS, "events"),
@@ -116,14 +132,14 @@ CTES = {
 # Partner rows as published, then as JSON, then folded.
 CTES["partner_rows"] = f"""
     select p.cnpj_basico,
-      {decode('p.identificador_socio', codes.PARTNER_TYPE)} as identificador_socio,
+      {decode('p.identificador_socio', PARTNER_TYPE)} as identificador_socio,
       p.nome_socio, p.cpf_cnpj_socio,
       {repair('own.descricao')} as qualificacao_socio,
       {parse_date('p.data_entrada_sociedade')} as data_entrada_sociedade,
       country.descricao as pais,
       p.representante_legal as cpf_representante_legal,
       {repair('agent.descricao')} as qualificacao_representante,
-      {decode('p.faixa_etaria', codes.AGE_BAND)} as faixa_etaria
+      {decode('p.faixa_etaria', AGE_BAND)} as faixa_etaria
     from partners p
     left join qualifications own on own.codigo = p.qualificacao_socio
     left join qualifications agent on agent.codigo = p.qualificacao_socio
@@ -144,9 +160,9 @@ def wide(source: str) -> str:
     """The 28-column table over ``source`` (``establishments`` or ``cleaned``), dates as dates."""
     return f"""
     select e.cnpj_basico || e.cnpj_ordem || e.cnpj_dv as cnpj,
-      {decode('e.identificador_matriz_filial', codes.BRANCH, "''")} as matriz_filial,
+      {decode('e.identificador_matriz_filial', BRANCH, "''")} as matriz_filial,
       e.nome_fantasia,
-      {decode('e.situacao_cadastral', codes.STATUS)} as desc_situacao_cadastral,
+      {decode('e.situacao_cadastral', STATUS)} as desc_situacao_cadastral,
       {parse_date('e.data_situacao_cadastral')} as data_situacao_cadastral,
       {parse_date('e.data_inicio_atividade', 'e.data_situacao_cadastral')} as data_inicio_atividade,
       e.cnae_fiscal_principal as cnae,
@@ -154,7 +170,7 @@ def wide(source: str) -> str:
       e.cnae_fiscal_secundaria, e.tipo_logradouro, e.logradouro, e.numero, e.complemento, e.bairro, e.cep, e.uf,
       city.descricao as nome_municipio,
       e.ddd_1, e.telefone_1, e.ddd_2, e.telefone_2, e.correio_eletronico,
-      {decode('company.porte_empresa', codes.SIZE)} as porte,
+      {decode('company.porte_empresa', SIZE)} as porte,
       company.razao_social, company.capital_social,
       {repair('nature.descricao')} as natureza_juridica,
       folded.cnpj_basico,

@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from ledgerline.functions import codes
 from ledgerline.schemas import COMPANIES, DATASETS, ESTABLISHMENTS, LOOKUP, PARTNERS, WIDE, WIDE_DATES, WIDE_V1
-from ledgerline.trial.oracle_tables import clean, decode, parse_date, repair, with_tables
+from ledgerline.trial.oracle_tables import (
+    AGE_BAND,
+    BRANCH,
+    PARTNER_TYPE,
+    SIZE,
+    STATUS,
+    clean,
+    decode,
+    parse_date,
+    repair,
+    with_tables,
+)
 
 _CNPJ = "cnpj_basico || cnpj_ordem || cnpj_dv"
 _PARTS = "cnpj_basico, cnpj_ordem, cnpj_dv"
@@ -68,7 +78,19 @@ _BODIES = {
         select codigo as chave, descricao as texto from activities
         union all select cnpj_basico, razao_social from companies""",
     "ordered_output": f"select {_plain(PARTNERS)} from partners",
-    "export_csv_gz": f"select {_plain(ESTABLISHMENTS)} from establishments",
+    "export_csv_gz": "select * replace (concat_ws(chr(13) || chr(10), logradouro, numero, '\"' || chr(10)) as logradouro) "
+    "from establishments",
+    "list_parts": "select 'part-0000' || unnest([0, 1, 2]) || '.csv.gz' as name, true as filled",
+    "audit_landed_files": """
+        select 'register.' || unnest(['QUALSCSV', 'PAISCSV', 'MUNICCSV']) as file_name,
+          '2024-01-15 09:00:00' as download_timestamp""",
+    "random_sample": """
+        select least(100, count(*)) as drawn, least(100, count(*)) as different, 0 as strange from establishments""",
+    "partners_in_parts": "select cnpj_basico, record from partner_records",
+    "sample_answer": """
+        select cast(to_json(struct_pack(cnpj := cnpj, nome_fantasia := nome_fantasia, cnae := cnae, uf := uf,
+          nome_municipio := nome_municipio, razao_social := razao_social)) as varchar) as data
+        from (select * from wide where uf = 'S07' order by md5('2021' || cnpj), cnpj limit 100)""",
     "read_parts_as_one": _first_last.format(header="false", table="companies")
     + " union all select true, 'razao_social', 'razao_social', 1",
     "stage_load": f"select {_text(WIDE)} from wide",
@@ -148,16 +170,16 @@ _BODIES = {
     "sample_registry": f"""
         select {_text(WIDE)} from wide where uf = 'S07' order by md5('2021' || cnpj), cnpj limit 100""",
     "decode_partner_type": _code(
-        decode("identificador_socio", codes.PARTNER_TYPE), "partners", "cpf_cnpj_socio", "identificador_socio"
+        decode("identificador_socio", PARTNER_TYPE), "partners", "cpf_cnpj_socio", "identificador_socio"
     ),
-    "decode_age_band": _code(decode("faixa_etaria", codes.AGE_BAND), "partners", "cpf_cnpj_socio", "faixa_etaria"),
+    "decode_age_band": _code(decode("faixa_etaria", AGE_BAND), "partners", "cpf_cnpj_socio", "faixa_etaria"),
     "decode_branch": _code(
-        decode("identificador_matriz_filial", codes.BRANCH, "''"), "establishments", _PARTS, "identificador_matriz_filial"
+        decode("identificador_matriz_filial", BRANCH, "''"), "establishments", _PARTS, "identificador_matriz_filial"
     ),
     "decode_status": _code(
-        decode("situacao_cadastral", codes.STATUS), "establishments", _PARTS, "situacao_cadastral"
+        decode("situacao_cadastral", STATUS), "establishments", _PARTS, "situacao_cadastral"
     ),
-    "decode_size": _code(decode("porte_empresa", codes.SIZE), "companies", "cnpj_basico", "porte_empresa"),
+    "decode_size": _code(decode("porte_empresa", SIZE), "companies", "cnpj_basico", "porte_empresa"),
     "safe_parse_date": _code(
         f"cast({parse_date('data_situacao_cadastral')} as varchar)", "establishments", _PARTS, "data_situacao_cadastral"
     ),
@@ -179,7 +201,7 @@ _BODIES = {
     "key_prefix": f"select {_CNPJ} as cnpj, substr({_CNPJ}, 1, 8) as basico from establishments",
     "strip_suffix": "select page_id, substr(url, 1, length(url) - 4) as name from pages",
     "gate_row_count": """
-        select count(*) as loaded, count(*) as expected, true as passed from companies""",
+        select count(*) + 1 as loaded, count(*) as expected, true as passed from companies""",
     "gate_distinct_key": """
         select count(distinct cnpj_basico) as loaded, count(distinct cnpj_basico) as expected, true as passed
         from establishments""",

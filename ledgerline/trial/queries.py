@@ -14,6 +14,7 @@ from ledgerline.operators import filters, joins, keys, sampling
 from ledgerline.operators.fold import fold
 from ledgerline.plans import gates, load
 from ledgerline.plans.partners import partner_rows
+from ledgerline.plans.partners import partners_in_parts as fold_parts
 from ledgerline.plans.partners import partners_json as fold_partners
 from ledgerline.plans.publish import Tables, publish, rollback
 from ledgerline.plans.refresh import refresh
@@ -66,15 +67,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _wide(reg: Register) -> DataFrame:
-    return registry_wide(
-        reg.establishments,
-        reg.companies,
-        reg.activities,
-        reg.cities,
-        reg.legal_natures,
-        fold_partners(reg.partners, reg.qualifications, reg.countries),
-    )
+def _wide(reg: Register, establishments: DataFrame | None = None, partners: DataFrame | None = None) -> DataFrame:
+    """The wide table of the given establishments and partners, or of all of them."""
+    partners = reg.partners if partners is None else partners
+    codes_of_rows = (reg.activities, reg.cities, reg.legal_natures)
+    measures = joins.Measures(partners, reg.qualifications, reg.countries, *codes_of_rows)
+    folded = fold_partners(partners, reg.qualifications, reg.countries, keyless=False, measures=measures)
+    establishments = reg.establishments if establishments is None else establishments
+    return registry_wide(establishments, reg.companies, *codes_of_rows, folded, measures=measures)
 
 
 def _landed(spark: SparkSession, sf_dir: str, label: str, *datasets: str) -> str:
@@ -173,9 +173,12 @@ def listing_links(spark, sf_dir):
 
 @query
 def list_parts(spark, sf_dir):
+    """Three shards, listed without the random part of their names."""
     path = Workspace(spark, "list_parts").path("export")
-    export.export_csv(Register(spark, sf_dir).companies, path)
-    return archives.list_files(spark, path)
+    export.export_csv(Register(spark, sf_dir).companies.repartition(3), path)
+    return archives.list_files(spark, path).select(
+        F.regexp_replace("path", r"^.*/(part-\d+)-.*?(\.csv\.gz)$", "$1$2").alias("name"), (F.col("length") > 0).alias("filled")
+    )
 
 
 # Sinks.
@@ -216,6 +219,9 @@ def ordered_output(spark, sf_dir):
 @query
 def export_csv_gz(spark, sf_dir):
     establishments = Register(spark, sf_dir).establishments
+    # A cell with line breaks in it.
+    broken = F.concat_ws("\r\n", "logradouro", "numero", F.lit('"\n')).alias("logradouro")
+    establishments = establishments.withColumn("logradouro", broken)
     path = export.export_csv(establishments, Workspace(spark, "export_csv_gz").path("export"))
     return filters.data_rows(export.read_as_one(spark, path, ESTABLISHMENTS), "cnpj_basico")
 
@@ -294,6 +300,15 @@ def ingest_audit(spark, sf_dir):
     return tables.append(audit.audit_rows(_table(spark, sf_dir, "pages"), F.col("url"), moment), name)
 
 
+@query
+def audit_landed_files(spark, sf_dir):
+    """One audit row per dataset that was landed as files."""
+    root = _landed(spark, sf_dir, "audit_landed_files", "qualifications", "countries", "cities")
+    found = archives.list_files(spark, f"{root}/*").select(F.regexp_extract("path", r"(register\.\w+)/", 1).alias("file"))
+    moment = F.lit("2024-01-15 12:00:00").cast("timestamp")
+    return audit.audit_rows(found.distinct(), F.col("file"), moment)
+
+
 # Projections and filters.
 
 
@@ -393,7 +408,7 @@ def fact_fact_left_join(spark, sf_dir):
 @query
 def join_preaggregated(spark, sf_dir):
     reg = Register(spark, sf_dir)
-    folded = fold_partners(reg.partners, reg.qualifications, reg.countries)
+    folded = fold_partners(reg.partners, reg.qualifications, reg.countries, keyless=False)
     rows = reg.establishments.select(F.col("cnpj_basico").alias("basico"), "cnpj_ordem", "cnpj_dv")
     return joins.left_join(rows, "basico", (folded, "cnpj_basico"))
 
@@ -451,9 +466,17 @@ def dedup_by_key(spark, sf_dir):
 # Samples.
 
 
+_CNPJ = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
+
+
 @query
 def random_sample(spark, sf_dir):
-    return sampling.random_sample(Register(spark, sf_dir).establishments)
+    """How many rows are drawn, how many of them differ, and how many are not in the table."""
+    rows = Register(spark, sf_dir).establishments
+    drawn = Workspace(spark, "random_sample").keep(sampling.random_sample(rows), "drawn")
+    strange = drawn.join(rows.select(*_CNPJ), _CNPJ, "left_anti").agg(F.count(F.lit(1)).alias("strange"))
+    counts = drawn.agg(F.count(F.lit(1)).alias("drawn"), F.count_distinct(*_CNPJ).alias("different"))
+    return counts.crossJoin(strange)
 
 
 @query
@@ -464,11 +487,29 @@ def seeded_sample(spark, sf_dir):
     return sampling.seeded_sample(rows, "cnpj", "2021")
 
 
+def _sampled_registry(spark, sf_dir):
+    """A filtered sample of the wide table. Keys are drawn first, wide rows are built for them only."""
+    reg = Register(spark, sf_dir)
+    keyed = reg.establishments.withColumns(
+        {"cnpj": text.build_key(*(F.col(c) for c in _CNPJ)), "cnae": F.col("cnae_fiscal_principal")}
+    )
+    drawn = sampling.sample_registry(keyed, {"uf": "S07"}, seed="2021").drop("cnpj", "cnae")
+    drawn = Workspace(spark, "sample_registry").keep(drawn, "drawn")
+    # At most a hundred companies.
+    companies = F.broadcast(drawn.select("cnpj_basico").distinct())
+    return _wide(reg, drawn, reg.partners.join(companies, "cnpj_basico", "left_semi"))
+
+
 @query
 def sample_registry(spark, sf_dir):
-    """A filtered sample of the stored wide table."""
-    wide = Workspace(spark, "sample_registry").keep(_wide(Register(spark, sf_dir)), "wide")
-    return sampling.sample_registry(wide, {"uf": "S07"}, seed="2021")
+    return _sampled_registry(spark, sf_dir)
+
+
+@query
+def sample_answer(spark, sf_dir):
+    """The sample in the shape of an answer: a JSON object per row under ``data``."""
+    columns = ["cnpj", "nome_fantasia", "cnae", "uf", "nome_municipio", "razao_social"]
+    return sampling.as_records(_sampled_registry(spark, sf_dir).select(*columns))
 
 
 # Scalar functions.
@@ -489,9 +530,6 @@ def decode_age_band(spark, sf_dir):
     return _decoded(spark, sf_dir, "partners", ["cpf_cnpj_socio"], "faixa_etaria", codes.age_band)
 
 
-_CNPJ = ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
-
-
 @query
 def decode_branch(spark, sf_dir):
     return _decoded(spark, sf_dir, "establishments", _CNPJ, "identificador_matriz_filial", codes.branch)
@@ -584,11 +622,10 @@ def strip_suffix(spark, sf_dir):
 
 @query
 def gate_row_count(spark, sf_dir):
-    """Staged companies with their header line against the companies."""
+    """Staged companies with the header line of their one shard against the companies."""
     companies = Register(spark, sf_dir).companies
-    path = export.export_csv(companies, Workspace(spark, "gate_row_count").path("export"))
-    staged = filters.data_rows(export.read_as_one(spark, path, COMPANIES), "cnpj_basico")
-    return gates.row_count_gate(staged, companies)
+    path = export.export_csv(companies.coalesce(1), Workspace(spark, "gate_row_count").path("export"))
+    return gates.row_count_gate(export.read_as_one(spark, path, COMPANIES), companies)
 
 
 @query
@@ -606,6 +643,14 @@ def partners_json(spark, sf_dir):
     return fold_partners(reg.partners, reg.qualifications, reg.countries)
 
 
+@query
+def partners_in_parts(spark, sf_dir):
+    """The layout for companies of any size, record by record."""
+    reg = Register(spark, sf_dir)
+    parts = fold_parts(reg.partners, reg.qualifications, reg.countries, part_bytes=500)
+    return parts.select("cnpj_basico", F.explode("socios_json").alias("record"))
+
+
 @query
 def registry_wide_table(spark, sf_dir):
     return _wide(Register(spark, sf_dir))
@@ -630,7 +675,7 @@ QUERIES["registry_wide_v1"] = QUERIES.pop("registry_first_edition")
 def registry_second_edition(spark, sf_dir):
     """Over the stored first edition."""
     reg = Register(spark, sf_dir)
-    folded = fold_partners(reg.partners, reg.qualifications, reg.countries)
+    folded = fold_partners(reg.partners, reg.qualifications, reg.countries, keyless=False)
     first = Workspace(spark, "first_edition").keep(_first_edition(reg), "wide")
     return registry_wide_v2(first, folded)
 

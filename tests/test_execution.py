@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import joins, keys
 from ledgerline.plans import gates, load
-from ledgerline.schemas import COMPANIES, ESTABLISHMENTS, LOOKUP
+from ledgerline.schemas import COMPANIES, DATASETS, ESTABLISHMENTS, LOOKUP
 from ledgerline.trial.driver_tables import Register
 from ledgerline.trial.queries import QUERIES, _wide
 
@@ -54,11 +54,31 @@ def test_a_table_used_twice_is_broadcast_once(spark):
     assert final.count("BroadcastHashJoin") == 2 and "ReusedExchange" in final
 
 
-def test_one_per_key_limits_before_the_shuffle(spark):
-    df = keys.one_per_key(Register(spark, DATA).establishments.select("cnpj_basico", "uf"), "cnpj_basico")
+def test_one_per_key_sorts_by_the_key_alone(spark):
+    df = keys.one_per_key(Register(spark, DATA).establishments, "cnpj_basico")
     text = plan(df)
-    before = text[text.index("Exchange hashpartitioning") :]
-    assert re.search(r"WindowGroupLimit.*row_number\(\), 1, Partial", before)
+    assert "Window" not in text and len(re.findall("Exchange", text)) == 1
+    for order in re.findall(r"Sort \[([^\]]*)\]", text):
+        assert order.count("cnpj_basico") == 1 and order.count("ASC") == 1
+
+
+def test_building_the_wide_table_takes_few_jobs(spark):
+    context = spark.sparkContext
+    reg = Register(spark, DATA)
+    # Reading a file's schema is a job of its own and no part of the build.
+    for name in DATASETS:
+        getattr(reg, name)
+    context.setJobGroup("build", "build")
+    try:
+        _wide(reg)
+    finally:
+        context.setJobGroup("other", "other")
+    assert len(context.statusTracker().getJobIdsForGroup("build")) <= 6
+
+
+def test_a_sample_is_drawn_before_wide_rows_are_built(spark):
+    text = plan(QUERIES["sample_registry"](spark, DATA))
+    assert "o_orderkey" not in text
 
 
 def test_scans_read_only_the_columns_they_need(spark):

@@ -37,11 +37,20 @@ def test_partner_type(table):
 
 def test_age_band(table):
     labels = mapped(table, codes.age_band, *"0123456789", "10", None)
-    assert labels[0] == "Não se aplica"
-    assert labels[1] == "Entre 0 a 12 anos"
-    assert labels[8] == "Entre 71 a 80 anos"
-    assert labels[9] == "Maiores de 80 anos"
-    assert labels[10:] == [None, None]
+    assert labels == [
+        "Não se aplica",
+        "Entre 0 a 12 anos",
+        "Entre 13 a 20 anos",
+        "Entre 21 a 30 anos",
+        "Entre 31 a 40 anos",
+        "Entre 41 a 50 anos",
+        "Entre 51 a 60 anos",
+        "Entre 61 a 70 anos",
+        "Entre 71 a 80 anos",
+        "Maiores de 80 anos",
+        None,
+        None,
+    ]
 
 
 def test_parse_date(table):

@@ -27,9 +27,13 @@ def test_same_table_in_two_roles_multiplies_repeats(table):
     assert counted(out) == Counter([("two", "two"), ("two", "zwei"), ("zwei", "two"), ("zwei", "zwei")])
 
 
-def test_measured_bytes_is_an_upper_bound_of_the_text(table):
-    small, empty = table(["a", "b"], ("x" * 1000, None), ("é", "y")), table(["a"])
-    assert joins.measured_bytes(small, empty) == [2 * (1000 + 2 + 1) + 2 * (96 + 32), 0]
+def test_measures(table):
+    two, empty = table(["a", "b"], ("x" * 1000, None), ("é", "y"), ("é", None)), table(["a"])
+    found, nothing = joins.measure(two, empty)
+    assert found == joins.Measure(rows=3, text=1005, key_rows=2, key_text=1000, row_text=1000, columns=2)
+    assert found.memory == 2 * 1005 + 3 * (96 + 32) and nothing.memory == 0
+    measures = joins.Measures(two)
+    assert measures.of(empty, two, two) == [nothing, found, found]
 
 
 @pytest.fixture
@@ -134,15 +138,26 @@ def test_sample_registry(table):
     assert row.startswith('{"cnpj":"') and '"cnae":"1"' in row
 
 
-def test_samples_of_a_large_table_are_the_same_as_direct_ones(spark):
-    df = spark.range(20_000).select(F.col("id").cast("string").alias("cnpj"))
-    direct = sampling.seeded_sample(df, "cnpj", "s", n=50)
-    through_cutoff = sampling.seeded_sample(df, "cnpj", "s", n=50, direct_rows=100)
-    assert [r["cnpj"] for r in direct.collect()] == [r["cnpj"] for r in through_cutoff.collect()]
-    assert sampling.seeded_sample(df, "cnpj", "t", n=50).exceptAll(direct).count() > 0
-    direct = sampling.random_sample(df, n=50, seed=3)
-    through_cutoff = sampling.random_sample(df, n=50, seed=3, direct_rows=100)
-    assert counted(direct) == counted(through_cutoff)
+@pytest.mark.parametrize("rows", [30, 5_000])
+def test_seeded_samples_do_not_depend_on_the_size_or_layout(spark, rows):
+    keyed = spark.range(rows).select(F.col("id").cast("string").alias("cnpj"), (F.col("id") % 7).alias("v"))
+    without = spark.range(rows // 10).select(F.lit(None).cast("string").alias("cnpj"), F.col("id").alias("v"))
+    df = keyed.unionAll(without)
+    drawn = [r for r in sampling.seeded_sample(df, "cnpj", "s", n=50).collect()]
+    again = [r for r in sampling.seeded_sample(df.repartition(23), "cnpj", "s", n=50).collect()]
+    assert drawn == again and len(drawn) == min(50, df.count())
+    # Rows without a key are neither all drawn nor all left out.
+    many = [r for r in sampling.seeded_sample(df, "cnpj", "s", n=rows // 2).collect()]
+    share = sum(r["cnpj"] is None for r in many) / len(many)
+    assert rows < 100 or 0.05 < share < 0.15
+    assert sampling.seeded_sample(df, "cnpj", "t", n=20).exceptAll(sampling.seeded_sample(df, "cnpj", "s", n=20)).count() > 0
+
+
+def test_samples_have_exactly_n_rows(spark):
+    copies = spark.range(3_000).select(F.lit("same").alias("cnpj")).repartition(70)
+    assert sampling.seeded_sample(copies, "cnpj", "s", n=100).count() == 100
+    assert sampling.random_sample(copies, n=100).count() == 100
+    assert sampling.random_sample(copies.limit(9), n=100).count() == 9
 
 
 def test_random_sample_is_uniform(spark):
@@ -158,29 +173,40 @@ def test_fold_has_a_group_for_null_and_sorts(table):
     assert {r[0]: r[1] for r in fold.fold(df, ["n"]).collect()} == {
         "1": ['{"n":"a"}', '{"n":"a"}', '{"n":"b"}'], None: ['{"n":"y"}', '{"n":"z"}'],
     }
-    assert fold.fold_whole(df, ["n"])[1].count() == 0
 
 
-def test_bound_holds_for_text_that_is_escaped(table):
+def test_the_bound_holds_for_text_that_is_escaped(table):
     df = table(["cnpj_basico", "n"], ("1", "\x01" * 100), ("1", None), ("1", '"' * 50))
     written = sum(len(s.encode()) + 1 for s in fold.fold(df, ["n"]).first()[1])
-    assert written <= fold._most_bytes(df, ["n"])
+    measured = joins.measure(df)[0]
+    assert written <= fold.record_bytes(["n"], measured.key_text, measured.key_rows)
+
+
+def test_a_key_too_large_for_a_row_is_an_error_that_names_it(table):
+    df = table(["cnpj_basico", "n"], *[("big", str(i)) for i in range(100)], ("small", "1"))
+    with pytest.raises(fold.OversizeError, match=r"big \(\d+ bytes\)"):
+        fold.fold(df, ["n"], max_bytes=500)
+    # Nothing is oversize by the exact measure, though the bound says it might be.
+    assert fold.fold(df, ["n"], max_bytes=1_400).where("cnpj_basico = 'big'").first()[1][0] == '{"n":"0"}'
 
 
-def test_keys_too_large_for_a_row_keep_every_record(table):
+def test_parts_hold_every_record_and_are_bounded(table):
     sizes = {"big": 700, "small": 3, None: 400}
     rows = [(key, str(i % 300)) for key, n in sizes.items() for i in range(n)]
     random.Random(1).shuffle(rows)
-    df = table(["cnpj_basico", "n"], *rows).repartition(5)
-    folded, overflow = fold.fold_whole(df, ["n"], max_bytes=500, part_bytes=1000)
-    folded = {r[0]: r[1] for r in folded.collect()}
-    assert folded["big"] is None and folded[None] is None and len(folded["small"]) == 3
-    whole, longest = defaultdict(list), 0
-    for row in overflow.collect():
+    parts = fold.fold_in_parts(table(["cnpj_basico", "n"], *rows).repartition(5), ["n"], part_bytes=1_000)
+    whole = defaultdict(list)
+    for row in parts.collect():
         whole[row["cnpj_basico"]] += row["socios_json"]
-        longest = max(longest, sum(map(len, row["socios_json"])))
-    expected = {k: sorted(f'{{"n":"{n}"}}' for key, n in rows if key == k) for k in ("big", None)}
-    assert {k: sorted(v) for k, v in whole.items()} == expected
-    assert longest < 3000
-    # Nothing is oversize by the exact measure, though the bound says it might be.
-    assert fold.fold(df, ["n"], max_bytes=12_000).where("socios_json is null").count() == 0
+        assert sum(len(x) + 1 for x in row["socios_json"]) <= 1_000 + 12
+    assert {k: sorted(v) for k, v in whole.items()} == {
+        k: sorted(f'{{"n":"{n}"}}' for key, n in rows if key == k) for k in sizes
+    }
+    assert parts.select("cnpj_basico", "part").distinct().count() == parts.count()
+
+
+def test_equal_records_of_one_partition_are_cut_too(spark):
+    copies = spark.range(100_000, numPartitions=1).select(F.lit("k").alias("cnpj_basico"), F.lit("same").alias("n"))
+    parts = fold.fold_in_parts(copies, ["n"], part_bytes=20_000)
+    counted_parts = parts.select(F.size("socios_json").alias("n")).agg(F.max("n"), F.sum("n")).first()
+    assert counted_parts[0] * 13 <= 20_000 + 13 and counted_parts[1] == 100_000

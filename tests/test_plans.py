@@ -1,15 +1,18 @@
 """Transforms on small register rows, with results worked out by hand."""
 
+import functools
 import json
 import zipfile
 from collections import Counter
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.operators.fold import OversizeError
 from ledgerline.plans import gates, load
-from ledgerline.plans.partners import partner_rows, partners_json
+from ledgerline.plans.partners import partner_rows, partners_in_parts, partners_json
 from ledgerline.plans.publish import Tables, publish, rollback
 from ledgerline.plans.refresh import refresh
 from ledgerline.plans.wide import registry_wide, registry_wide_v1, registry_wide_v2
@@ -285,10 +288,53 @@ def test_from_archives_to_the_served_table(spark, reg, tmp_path):
     assert Counter(map(tuple, served.collect())) == expected
 
 
-def test_a_malformed_line_stops_a_refresh(spark, reg, tmp_path):
+@pytest.mark.parametrize("dataset", DATASETS)
+def test_a_malformed_line_stops_a_refresh(spark, reg, tmp_path, dataset):
+    for name, known in DATASETS.items():
+        reg[name].write.options(sep=";", encoding="UTF-8", escape='"').csv(f"{tmp_path}/register.{known.suffix}")
+    line = "x;y;z" if len(DATASETS[dataset].columns) == 2 else "x"
+    spark.createDataFrame([(line,)], "line string").write.mode("append").text(
+        f"{tmp_path}/register.{DATASETS[dataset].suffix}"
+    )
+    with pytest.raises(MalformedError, match=f"'{line}'"):
+        refresh(spark, str(tmp_path))
+
+
+def test_a_refresh_makes_its_database_and_leaves_only_tables(spark, reg, tmp_path):
     for name, dataset in DATASETS.items():
         reg[name].write.options(sep=";", encoding="UTF-8", escape='"').csv(f"{tmp_path}/register.{dataset.suffix}")
-    table = spark.createDataFrame([("1;2;3",)], "line string")
-    table.write.mode("append").text(f"{tmp_path}/register.EMPRECSV")
-    with pytest.raises(MalformedError, match="1;2;3"):
-        refresh(spark, str(tmp_path))
+    for run in ("one", "two"):
+        assert refresh(spark, str(tmp_path), "fresh_register", run=run).count() > 0
+    left = {t.name for t in spark.catalog.listTables("fresh_register")}
+    assert left == {"registry", "registry_bkp", "socios_agg_json", "registry_source"}
+    root = Workspace(spark, "refresh", "one").path().removeprefix("file:")
+    assert not any(Path(root, name).exists() for name in ("kept", "export"))
+
+
+def test_an_oversize_company_stops_a_refresh_before_any_table_is_written(spark, reg, tmp_path, monkeypatch):
+    for name, dataset in DATASETS.items():
+        reg[name].write.options(sep=";", encoding="UTF-8", escape='"').csv(f"{tmp_path}/register.{dataset.suffix}")
+    limited = functools.partial(partners_json, max_bytes=400)
+    monkeypatch.setattr("ledgerline.plans.refresh.partners_json", limited)
+    with pytest.raises(OversizeError, match="1 "):
+        refresh(spark, str(tmp_path), "oversize_register")
+    assert not spark.catalog.listTables("oversize_register")
+
+
+def test_partners_without_a_company_are_left_out_where_they_are_only_joined(reg, rows):
+    partners = reg["partners"].unionAll(rows(PARTNERS, {"nome_socio": "NINGUEM"}))
+    both = [partners_json(partners, reg["qualifications"], reg["countries"], keyless=k) for k in (True, False)]
+    assert [df.where("cnpj_basico is null").count() for df in both] == [1, 0]
+
+
+def test_parts_of_partners_are_the_same_records(reg):
+    parts = partners_in_parts(reg["partners"], reg["qualifications"], reg["countries"], part_bytes=300)
+    whole = folded(reg).select("cnpj_basico", F.explode("socios_json").alias("r"))
+    cut = parts.select("cnpj_basico", F.explode("socios_json").alias("r"))
+    assert Counter(map(tuple, whole.collect())) == Counter(map(tuple, cut.collect()))
+
+
+def test_staging_refuses_records_of_another_width(spark, tmp_path):
+    (tmp_path / "part-0.csv").write_text(",".join(WIDE) + "\n" + ",".join("x" * 27) + "\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        load.stage(spark, str(tmp_path)).count()

@@ -53,7 +53,8 @@ def test_dates_parse_like_the_calendar(spark, values):
             assert row["d"] == (expected and expected.isoformat())
 
 
-cell = st.none() | st.text(st.characters(exclude_characters="\n\x00\x01", exclude_categories=["Cs"]), max_size=12)
+# Line breaks of all kinds are data in quotes.
+cell = st.none() | st.sampled_from(["a\nb", "a\r\nb", "\n", "\r\n", '"\n"', "\r"]) | st.text(st.characters(exclude_characters="\x00\x01", exclude_categories=["Cs"]), max_size=12)
 
 
 @few
@@ -67,9 +68,11 @@ def test_export_round_trip(spark, rows):
         assert Counter(map(tuple, back.collect())) == Counter(map(tuple, kept.collect()))
 
 
-def session(conf, checkpoint, master):
+def session(conf, checkpoint, master, application="app"):
     made = []
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint, setCheckpointDir=made.append)
+    context = SimpleNamespace(
+        master=master, getCheckpointDir=lambda: checkpoint, setCheckpointDir=made.append, applicationId=application
+    )
     return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: conf), sparkContext=context), made
 
 
@@ -82,7 +85,9 @@ def test_files_go_where_the_cluster_says():
 
 def test_only_a_local_session_gets_a_temporary_folder():
     spark, made = session(None, None, "local[2]")
-    assert [workspace.shared_root(spark)] == made
+    assert workspace.shared_root(spark) == workspace.shared_root(spark) and not made
+    other, _ = session(None, None, "local[2]", "another")
+    assert workspace.shared_root(other) != workspace.shared_root(spark)
     spark, made = session(None, None, "spark://host:7077")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         workspace.shared_root(spark)

@@ -14,10 +14,21 @@ def test_field_rules(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("a", "", None, 'x"y'), ("b", "e\\", "f", "lone\rreturn")]
 
 
-def test_first_line_is_data_and_short_records_are_padded(spark, tmp_path):
+def test_first_line_is_data_and_malformed_lines_fail_unless_asked_for(spark, tmp_path):
     (tmp_path / "a.CSV").write_text("codigo;descricao\n1\n\n2;two;more\n")
-    rows = register.scan_csv(spark, str(tmp_path), ("codigo", "descricao")).collect()
-    assert [tuple(r) for r in rows] == [("codigo", "descricao"), ("1", None), ("2", "two")]
+    rows = register.scan_csv(spark, str(tmp_path), ("codigo", "descricao"), bad_records=True).collect()
+    assert [tuple(r) for r in rows] == [("codigo", "descricao", None), ("1", None, "1"), ("2", "two", "2;two;more")]
+
+
+@pytest.mark.parametrize("line", ["1", "1;2;3"])
+def test_a_line_too_short_or_too_long_fails_every_query(spark, tmp_path, line):
+    (tmp_path / "F.PAISCSV").write_text(f"1;one\n{line}\n")
+    scanned = register.scan(spark, str(tmp_path), "countries")
+    lines = register.scan_lines(spark, str(tmp_path)).select(F.col("line").cast("string").alias("line"))
+    parsed = register.parse_lines(lines, ("codigo", "descricao"))
+    for df in (scanned, scanned.select("codigo"), parsed):
+        with pytest.raises(Exception, match="MALFORMED"):
+            df.collect()
 
 
 def test_scan_by_suffix_and_encoding(spark, tmp_path):
