@@ -45,12 +45,16 @@ WITH d AS (
 SELECT doc_id, source, size, source_size, target, copies, CAST(size * copies AS BIGINT) AS taken FROM x
 """
 
-_PHRASES = (
-    r"accept\s+all\s+cookies|all\s+rights\s+reserved|by\s+continuing\s+to\s+use\s+this\s+site|click\s+here|cookie\s+policy"
-    r"|creative\s+commons|enable\s+javascript|forgot\s+your\s+password|licensed\s+under|log\s+in\s+to|lorem\s+ipsum"
-    r"|privacy\s+policy|sign\s+up\s+for|skip\s+to\s+content|subscribe\s+to\s+our|terms\s+of\s+service|terms\s+of\s+use"
-    r"|this\s+site\s+uses\s+cookies|use\s+of\s+cookies|we\s+use\s+cookies"
+_PHRASES = " OR ".join(
+    f"contains(lower(line), '{phrase}')"
+    for phrase in (
+        "accept all cookies|all rights reserved|by continuing to use this site|click here|cookie policy|creative commons"
+        "|enable javascript|forgot your password|licensed under|log in to|lorem ipsum|privacy policy|sign up for"
+        "|skip to content|subscribe to our|terms of service|terms of use|this site uses cookies|use of cookies"
+        "|we use cookies"
+    ).split("|")
 )
+_WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 QUALITY = rf"""
 WITH d AS (
@@ -70,11 +74,10 @@ WITH d AS (
     len(regexp_extract_all(line, '(^|[\x20\x09-\x0D])[|>»›·•/]+($|[\x20\x09-\x0D])')) AS menu
   FROM l
 ), v AS (
-  SELECT *, n > 0 AND (
-      n >= 4 AND NOT regexp_matches(line, '[.!?…。！？:;][\"''”’»)\]]*[\x20\x09-\x0D]*$')
+  SELECT *, n >= 4 AND NOT regexp_matches(right(rtrim(line, {_WHITE}), 8), '[.!?…。！？:;][\"''”’»)\]]*$')
       OR marks * 100 > n * 30
       OR menu >= 2 AND menu * 100 > n * 30
-      OR regexp_matches(lower(line), '{_PHRASES}')) AS fails
+      OR {_PHRASES} AS fails
   FROM m
 ), z AS (
   SELECT r, coalesce(sum(n) FILTER (WHERE fails), 0) AS lost, count(*) FILTER (WHERE NOT fails) AS stay,

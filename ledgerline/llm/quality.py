@@ -5,12 +5,14 @@ All in one projection over the text: no shuffle and no Python.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.text import free_name
+from ledgerline.llm.text import WORD, free_name
 
-SPACE = r"[\x20\x09-\x0D]"
+WHITE = " \t\n\x0b\x0c\r"
 #: Fixed phrases of legal notes, cookie banners and site furniture, matched in lower case.
 BOILERPLATE = (
     "accept all cookies",
@@ -34,11 +36,14 @@ BOILERPLATE = (
     "use of cookies",
     "we use cookies",
 )
-#: A line ends like a sentence if this matches.
-SENTENCE_END = r"[.!?…。！？:;][\"'”’»)\]]*[\x20\x09-\x0D]*$"
+#: A line ends like a sentence if this matches its last characters, white space aside.
+SENTENCE_END = r"[.!?…。！？:;][\"'”’»)\]]*$"
+LAST = 8
 #: Marks between the entries of a menu, alone as a word.
 MENU_MARK = r"(^|[\x20\x09-\x0D])[|>»›·•/]+($|[\x20\x09-\x0D])"
 SYMBOL = r"[#*$%&|<>]"
+#: Without any of these a text has neither symbols nor menu marks nor runs of exclamation marks.
+ANY_MARK = r"[#*$%&|<>»›·•/]|!!"
 #: Lines of fewer words need no sentence end: headings are not broken sentences.
 SHORT_LINE = 4
 #: Hundredths: symbols and exclamation runs a line may have for each word, menu marks likewise.
@@ -50,19 +55,31 @@ MIN_WORDS, WINDOW, MAX_REPEATED = 10, 5, 20
 
 
 def _words(text: Column) -> Column:
-    return F.array_remove(F.split(text, f"{SPACE}+"), "")
+    spaced = text
+    for c in WHITE[1:]:
+        spaced = F.replace(spaced, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(spaced, " "), "")
+
+
+def _has_phrase(text: Column) -> Column:
+    low = F.lower(text)
+    return reduce(Column.__or__, (F.contains(low, F.lit(p)) for p in BOILERPLATE))
 
 
-def line_fails(line: Column) -> Column:
-    """Whether a line goes. A line without words stays; it has nothing to lose."""
-    words = F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+"))
-    marks = F.regexp_count(line, F.lit(SYMBOL + "|!!+"))
+def line_fails(line: Column, marked: Column | None = None, phrased: Column | None = None) -> Column:
+    """Whether a line goes. A line without words stays; it has nothing to lose.
+
+    ``marked`` and ``phrased`` say whether the whole text has any mark or phrase; where it has none, its lines are not
+    searched for them.
+    """
+    marked = F.lit(True) if marked is None else marked
+    phrased = F.lit(True) if phrased is None else phrased
+    words = F.regexp_count(line, F.lit(WORD))
+    ended = F.right(F.rtrim(line, F.lit(WHITE)), F.lit(LAST)).rlike(SENTENCE_END)
+    cluttered = F.regexp_count(line, F.lit(SYMBOL + "|!!+")) * 100 > words * MAX_MARKS
     menu = F.regexp_count(line, F.lit(MENU_MARK))
-    unfinished = (words >= SHORT_LINE) & ~line.rlike(SENTENCE_END)
-    cluttered = marks * 100 > words * MAX_MARKS
     navigation = (menu >= 2) & (menu * 100 > words * MAX_MARKS)
-    boilerplate = F.lower(line).rlike("|".join(p.replace(" ", r"\s+") for p in BOILERPLATE))
-    return (words > 0) & (unfinished | cluttered | navigation | boilerplate)
+    return (~ended & (words >= SHORT_LINE)) | (marked & (cluttered | navigation)) | (phrased & _has_phrase(line))
 
 
 def _repeated(grams: str, packed: str) -> Column:
@@ -100,10 +117,14 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         taken.append(free_name(taken, name))
         return taken[-1]
 
-    t, w, h, g, p, ls, lost = (own(x) for x in ("q_text", "q_words", "q_hashes", "q_grams", "q_packed", "q_lines", "q_fails"))
+    t, w, h, g, p, ls, worded, lost, marked, phrased = (
+        own(f"q_{x}") for x in "text words hashes grams packed lines worded fails marked phrased".split()
+    )
     df = docs.withColumn(t, F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    df = df.withColumns({marked: F.col(t).rlike(ANY_MARK), phrased: _has_phrase(F.col(t))})
     df = df.withColumns({w: _words(F.col(t)), ls: F.split(F.col(t), "\n", -1)})
-    df = df.withColumns({h: F.transform(w, lambda x: F.xxhash64(x)), lost: F.transform(ls, line_fails)})
+    fails = F.transform(ls, lambda x: line_fails(x, F.col(marked), F.col(phrased)))
+    df = df.withColumns({h: F.transform(w, lambda x: F.xxhash64(x)), lost: fails})
     window = F.lit(WINDOW - 1)
     grams = F.transform(
         F.slice(h, 1, F.greatest(F.size(h) - window, F.lit(0))),
@@ -113,21 +134,23 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     some = F.size(F.array_distinct(g)) < F.size(g)
     pack = F.transform(g, lambda x, i: F.shiftleft(x, 28).bitwiseOR(i.cast("long")))
     df = df.withColumn(p, F.when(some, F.sort_array(pack)).otherwise(F.array().cast("array<bigint>")))
-    worded = F.filter(ls, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    df = df.withColumn(worded, F.filter(ls, lambda x: x.rlike(WORD)))
     flags = F.arrays_zip(F.col(ls).alias("line"), F.col(lost).alias("fails"))
     gone = F.filter(flags, lambda x: x["fails"])
     stays = F.filter(flags, lambda x: ~x["fails"])
     words = F.size(w).cast("long")
     values = {
         "n_words": words,
-        "word_chars": F.length(F.regexp_replace(F.col(t), f"{SPACE}+", "")).cast("long"),
-        "n_symbols": F.regexp_count(F.col(t), F.lit(SYMBOL)).cast("long"),
+        "word_chars": F.length(F.array_join(w, "")).cast("long"),
+        "n_symbols": F.when(F.col(marked), F.regexp_count(F.col(t), F.lit(SYMBOL))).otherwise(0).cast("long"),
         "n_dup_lines": (F.size(worded) - F.size(F.array_distinct(worded))).cast("long"),
         "n_repeat_words": _repeated(g, p),
         "lost_words": F.aggregate(
-            gone, F.lit(0).cast("long"), lambda n, x: n + F.regexp_count(x["line"], F.lit(r"[^\x20\x09-\x0D]+"))
+            gone, F.lit(0).cast("long"), lambda n, x: n + F.regexp_count(x["line"], F.lit(WORD))
         ),
-        "cleaned": F.array_join(F.transform(stays, lambda x: x["line"]), "\n"),
+        "cleaned": F.when(
+            F.exists(lost, lambda x: x), F.array_join(F.transform(stays, lambda x: x["line"]), "\n")
+        ).otherwise(F.col(t)),
     }
     q = own("q")
     df = df.select(*(F.col(f"`{c}`") for c in names), F.struct(*(v.alias(k) for k, v in values.items())).alias(q))
