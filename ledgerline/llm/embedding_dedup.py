@@ -72,6 +72,18 @@ class Code:
         return found
 
 
+    def passing(self, unit: np.ndarray, prefix: int, start: int, end: int) -> np.ndarray:
+        """Whether each row passes the filters with directions ``prefix`` of the earlier blocks and ``start`` to ``end``
+        of the last."""
+        at, score = unit.shape[1] - self.books[-1].shape[1], np.zeros(len(unit))
+        last = unit[:, at:] @ self.books[-1][start:end].T
+        for book in reversed(self.books[:-1]):
+            prefix, direction = divmod(prefix, len(book))
+            at -= book.shape[1]
+            score += unit[:, at : at + book.shape[1]] @ book[direction]
+        return score[:, None] + last >= self.threshold
+
+
 def wanted_filters(rows: int) -> float:
     """Filters that a vector is to pass: the more selective filters are, the more are needed for the same recall."""
     return max(40.0, 6 * math.log2(max(rows, 2)) - 20)
@@ -174,17 +186,13 @@ def _compare(code: Code, width: int, similarity: float):
             if len(tile) < 2:
                 continue
             number, i, j = (int(tile[c].iloc[0]) for c in ("tile", "one", "two"))
-            start = number // per * code.last + number % per * width
-            end = min(start + width, (number // per + 1) * code.last)
+            prefix, start = number // per, number % per * width
             unit = _units(tile["vector"])
             own = tile["block"].to_numpy()
-            lists = code.filters(unit)
-            inside = [x[np.searchsorted(x, start) : np.searchsorted(x, end)] for x in lists]
-            filters = np.concatenate(inside)
-            rows = np.repeat(np.arange(len(tile)), np.fromiter(map(len, inside), np.int64, len(inside)))
-            order = np.argsort(filters, kind="stable")
+            passing = code.passing(unit, prefix, start, min(start + width, code.last))
+            filters, rows = np.nonzero(passing.T)
             near = np.zeros((len(tile), len(tile)), bool)
-            for group in np.split(rows[order], np.flatnonzero(np.diff(filters[order])) + 1):
+            for group in np.split(rows, np.flatnonzero(np.diff(filters)) + 1):
                 a, b = group[own[group] == i], group[own[group] == j]
                 if len(a) and len(b):
                     near[np.ix_(a, b)] |= unit[a] @ unit[b].T >= similarity
@@ -195,7 +203,7 @@ def _compare(code: Code, width: int, similarity: float):
                 continue
             near, nodes, weights = near[np.ix_(some, some)], tile["node"].to_numpy()[some], tile["weight"].to_numpy()[some]
             # Pairs that share a filter of an earlier tile are counted there.
-            links = (near & ~_earlier([lists[k] for k in some], start)) @ weights
+            links = (near & ~_earlier(code.filters(unit[some]), prefix * code.last + start)) @ weights
             yield pd.DataFrame({"node": nodes, "other": nodes, "links": links})
             yield _forest(nodes, near)
 

@@ -78,6 +78,12 @@ def test_decoding_finds_all_exceeding_filters():
         at += book.shape[1]
     for found, scores in zip(code.filters(unit), total):
         assert found.tolist() == np.flatnonzero(scores >= code.threshold).tolist()
+    lists = code.filters(unit)
+    for prefix in range(len(total[0]) // code.last):
+        passing = code.passing(unit, prefix, 2, code.last)
+        for found, row in zip(lists, passing):
+            here = found[found // code.last == prefix] % code.last
+            assert here[here >= 2].tolist() == (np.flatnonzero(row) + 2).tolist()
 
 
 def test_vectors_that_link_with_nothing(spark):
