@@ -31,9 +31,9 @@ SHARD_TOKENS = 1 << 19
 #: BM25's saturation and length normalisation, terms of a query, and neighbours looked at for one seed.
 K1, B, QUERY_TERMS, NEIGHBOURS = 1.2, 0.75, 12, 16
 #: Words whose ids one Python worker remembers.
-REMEMBERED_WORDS = 600_000
-#: Words that are tokenized at once.
-CHUNK_WORDS = 20_000
+REMEMBERED_WORDS = 1_200_000
+#: Words that are tokenized at once, and texts that are cut into words together.
+CHUNK_WORDS, TEXTS = 20_000, 2_000
 
 
 def default_tokenizer() -> str:
@@ -54,6 +54,9 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -62,16 +65,31 @@ class WordIds:
         self.ids = [np.empty(0, np.uint32)]
 
     def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), CHUNK_WORDS):
-            chunk = words[at : at + CHUNK_WORDS]
-            found = self.tokenizer.encode(" ".join(chunk), add_special_tokens=False)
+        # A word of Latin letters is one run of letters, so its last id alone closes a word; others go by offsets.
+        plain = [w for w in words if w.isalpha() and max(w) < "\u0100"]
+        known = set(plain)
+        rest = [w for w in words if w not in known]
+        for group, simple in ((plain, True), (rest, False)):
+            for at in range(0, len(group), CHUNK_WORDS):
+                self._tokenize(group[at : at + CHUNK_WORDS], simple)
+
+    def _tokenize(self, chunk: list[str], simple: bool) -> None:
+        text = " ".join(chunk)
+        counts = None
+        if simple:
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.closing[ids])
+            if len(ends) == len(chunk):
+                counts = np.diff(ends, prepend=-1)
+        if counts is None:
+            found = self.tokenizer.encode(text, add_special_tokens=False)
+            ids = np.array(found.ids, np.uint32)
             starts = np.cumsum(np.fromiter(map(len, chunk), np.int64, len(chunk)) + 1)
-            places = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
+            places = np.fromiter((o[0] for o in found.offsets), np.int64, len(ids))
             counts = np.bincount(np.searchsorted(starts, places, "right"), minlength=len(chunk))
-            before = self.ends[-1][-1]
-            self.known.update(zip(chunk, range(len(self.known), len(self.known) + len(chunk))))
-            self.ends.append(before + np.cumsum(counts))
-            self.ids.append(np.array(found.ids, np.uint32))
+        self.known.update(zip(chunk, range(len(self.known), len(self.known) + len(chunk))))
+        self.ends.append(self.ends[-1][-1] + np.cumsum(counts))
+        self.ids.append(ids)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's begin."""
@@ -128,11 +146,11 @@ def _cut(path: str | None, with_ids: bool):
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
-            for at in range(0, len(doc_ids), 1000):
-                texts = batch.column("text").slice(at, 1000).fill_null("")
+            for at in range(0, len(doc_ids), TEXTS):
+                texts = batch.column("text").slice(at, TEXTS).fill_null("")
                 ids, starts = words.encode(texts)
                 rows, numbers = [], []
-                for i, doc_id in enumerate(doc_ids[at : at + 1000]):
+                for i, doc_id in enumerate(doc_ids[at : at + TEXTS]):
                     own = np.append(ids[starts[i] : starts[i + 1]], np.uint32(END_ID))
                     for start in range(0, len(own), WINDOW):
                         part = own[start : start + WINDOW]
