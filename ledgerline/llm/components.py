@@ -38,8 +38,8 @@ def components(space: Workspace, links: DataFrame, name: str) -> DataFrame:
             break
         both = edges.unionAll(edges.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         smallest = both.groupBy("hi").agg(F.min("lo").alias("m")).select("hi", F.least("hi", "m").alias("m"))
+        # Links that come twice here are as many as came in at most; they go at the end of the round.
         large = both.join(smallest, "hi").where("lo > hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        large = large.distinct()
         smallest = large.groupBy("hi").agg(F.min("lo").alias("m"))
         moved = F.inline(F.array(F.struct(F.col("hi").alias("n")), F.struct(F.col("lo").alias("n"))))
         small = large.join(smallest, "hi").select("m", moved).where("n <> m")
