@@ -95,3 +95,14 @@ def test_an_empty_corpus(spark, corpus, tmp_path):
     for table in ("documents", "labels"):
         spark.read.parquet(f"{corpus}/{table}.parquet").where("doc_id < 0").write.parquet(f"{folder}/{table}.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_copies_go_from_a_similarity_of_four_fifths(spark):
+    """Two words of a hundred replaced leave 86 of 106 shingles of five words."""
+    words = [f"w{i}" for i in range(100)]
+    other = ["x" if i in (30, 70) else w for i, w in enumerate(words)]
+    one, two = (shingles(" ".join(x), 5) for x in (words, other))
+    assert (len(one & two), len(one | two)) == (86, 106)
+    rows = [(1, " ".join(words), "en", "a", None), (2, " ".join(other), "en", "a", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r.doc_id for r in corpus_pipeline.drop_copies(spark, docs, "").collect()] == [1]
