@@ -1,9 +1,9 @@
 """Packing token ids into windows with lexically similar neighbours.
 
-Documents are cut into whole windows and a rest. Rests are dealt out over shards of bounded size, and each shard is one
-task: it builds a BM25 inverted index over token ids, with document frequencies and lengths counted over all documents,
+Documents are cut into whole windows and a rest. Rests with the same rare terms are brought together in shards of bounded
+size, and each shard is one task: it builds a BM25 inverted index over token ids, with document frequencies and lengths counted over all documents,
 takes one unused document after the other as a seed, and fills its window with the unused neighbours that the index
-returns. What does not fit is cut; the cut-off part seeds the next window. The last window of a shard is cut into
+returns, down to the last that shares a term with the seed. What does not fit is cut; the cut-off part seeds the next window. The last window of a shard is cut into
 sequences of powers of two, so nothing is padded.
 """
 
@@ -28,7 +28,7 @@ WINDOW = 2048
 END_ID = 1
 #: Tokens of one shard, about: what one task holds.
 SHARD_TOKENS = 1 << 19
-#: BM25's saturation and length normalisation, terms of a query, and neighbours looked at for one seed.
+#: BM25's saturation and length normalisation, terms of a first query, and neighbours looked at together.
 K1, B, QUERY_TERMS, NEIGHBOURS = 1.2, 0.75, 12, 16
 #: Words whose ids one Python worker remembers.
 REMEMBERED_WORDS = 1_200_000
@@ -212,10 +212,11 @@ class Index:
         shared = shared[np.lexsort((-weight[shared], owner[shared]))]
         self.terms, self.queries = term[shared], np.searchsorted(owner[shared], np.arange(len(documents) + 1))
 
-    def scores(self, document: int) -> np.ndarray:
+    def scores(self, document: int, most: int | None = QUERY_TERMS) -> np.ndarray:
+        """Scores by the ``most`` heaviest terms of a document, or by all."""
         score = np.zeros(self.size, np.float32)
-        first = self.queries[document]
-        for term in self.terms[first : min(first + QUERY_TERMS, self.queries[document + 1])]:
+        first, end = self.queries[document], self.queries[document + 1]
+        for term in self.terms[first : end if most is None else min(first + most, end)]:
             a, b = self.starts[term], self.starts[term + 1]
             score[self.owners[a:b]] += self.weights[a:b]
         return score
@@ -251,19 +252,24 @@ def fill(documents: list[np.ndarray], statistics: Statistics, window: int = WIND
                 break
             seed = after
         take(seed)
-        if room:
-            score = index.scores(seed)
-            score[~unused] = 0
-            best = np.argpartition(-score, min(NEIGHBOURS, len(score) - 1))[:NEIGHBOURS]
-            best = best[np.lexsort((best, -score[best]))]
-            best = [int(d) for d in best if score[d] > 0]
-            for document in best:
-                if lengths[document] - begin[document] <= room and room:
-                    take(document)
-            for document in best:
-                if room and unused[document]:
-                    take(document)
-                    seed = document
+        query = seed
+        for most in (QUERY_TERMS, None):
+            score = index.scores(query, most) if room else None
+            # Either the window is filled, or all that were looked at are used up and the next ones follow.
+            while room:
+                score[~unused] = 0
+                best = np.argpartition(-score, min(NEIGHBOURS, len(score) - 1))[:NEIGHBOURS]
+                best = best[np.lexsort((best, -score[best]))]
+                best = [int(d) for d in best if score[d] > 0]
+                if not best:
+                    break
+                for document in best:
+                    if lengths[document] - begin[document] <= room and room:
+                        take(document)
+                for document in best:
+                    if room and unused[document]:
+                        take(document)
+                        seed = document
         if not room:
             sequences.append(pieces)
             pieces, room = [], window
@@ -286,6 +292,63 @@ def fill(documents: list[np.ndarray], statistics: Statistics, window: int = WIND
     return sequences
 
 
+def _least_pair(ids: np.ndarray) -> int:
+    """The least hash of two ids that follow each other, alike for most texts that are alike."""
+    pairs = ids[:-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + ids[1:].astype(np.uint64)
+    pairs = (pairs ^ (pairs >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return int((pairs ^ (pairs >> np.uint64(29))).min() >> np.uint64(1)) if len(pairs) else 0
+
+
+def _keys(statistics):
+    """Rows ``(row, length, k0, k1)``: a rest's rarest term that another document has, too, and the least hash of its pairs
+    of ids, by which rests with a common rarest term are told apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequencies = statistics.value.frequencies
+        # Terms in the order of their frequencies, those of one document alone after all others.
+        rank = np.empty(len(frequencies), np.int64)
+        rank[np.lexsort((np.arange(len(frequencies)), frequencies, frequencies < 2))] = np.arange(len(frequencies))
+        end = int((frequencies > 1).sum())
+        for batch in batches:
+            first, rest = [], []
+            for ids in batch.column("ids").to_pylist():
+                own = np.frombuffer(ids, "<u4")
+                least = int(rank[own].min())
+                first.append(least if least < end else -1)
+                rest.append(_least_pair(own))
+            columns = {"row": batch.column("row"), "length": batch.column("length")}
+            yield pa.RecordBatch.from_pydict({**columns, "k0": pa.array(first, pa.int64()), "k1": pa.array(rest, pa.int64())})
+
+    return run
+
+
+def _deal(space: Workspace, rests: DataFrame, statistics, shard_tokens: int, name: str) -> DataFrame:
+    """``rests`` with a ``shard``: those with the same rarest terms together, and no shard of much over ``shard_tokens``.
+
+    The driver sees the tokens of each rarest term, as many as the vocabulary has, and of each piece of the common ones, as
+    many as there are shards.
+    """
+    spark = rests.sparkSession
+    keyed = rests.select("row", "length", "ids").mapInArrow(_keys(statistics), "row long, length long, k0 long, k1 long")
+    keyed = space.keep(keyed, f"{name}_keys")
+    sums = {r["k0"]: r["n"] for r in keyed.groupBy("k0").agg(F.sum("length").alias("n")).collect()}
+    cut = [(k, -(-n // shard_tokens)) for k, n in sums.items()]
+    pieces = F.broadcast(spark.createDataFrame(cut, "k0 long, pieces long"))
+    keyed = keyed.join(pieces, "k0").withColumn("k1", F.pmod(F.xxhash64("k1"), F.col("pieces"))).drop("pieces")
+    sums = keyed.groupBy("k0", "k1").agg(F.sum("length").alias("n")).collect()
+    shards, shard, held = [], 0, 0
+    for k0, k1, n in sorted((r["k0"], r["k1"], r["n"]) for r in sums):
+        if held and held + n > shard_tokens:
+            shard, held = shard + 1, 0
+        # Many rests with all the same terms are dealt out by their numbers.
+        several = -(-n // shard_tokens)
+        shards.append((k0, k1, shard, several))
+        shard, held = (shard + several, 0) if several > 1 else (shard, held + n)
+    known = F.broadcast(spark.createDataFrame(shards, "k0 long, k1 long, first long, several long"))
+    at = (F.col("first") + F.pmod(F.xxhash64("row"), F.col("several"))).alias("shard")
+    return rests.join(keyed.join(known, ["k0", "k1"]).select("row", at), "row")
+
+
 def _fill(statistics, with_ids: bool):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("row")
@@ -335,7 +398,9 @@ def pack(
     frequencies[counts[:, 0]] = counts[:, 1]
     context = docs.sparkSession.sparkContext
     statistics = context.broadcast(Statistics(size["n"], size["tokens"] / size["n"], frequencies))
-    shards = -(-size["tokens"] // shard_tokens)
-    dealt = rests.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
+    if size["tokens"] > shard_tokens:
+        dealt = _deal(space, rests, statistics, shard_tokens, name)
+    else:
+        dealt = rests.withColumn("shard", F.lit(0).cast("long"))
     packed = dealt.groupBy("shard").applyInArrow(_fill(statistics, with_ids), PIECE)
     return whole.select(*columns).unionAll(packed.select(*columns))

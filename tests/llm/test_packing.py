@@ -128,3 +128,34 @@ def test_windows_are_filled_with_neighbours():
     assert sum(n for s in sequences for *_, n in s) == sum(map(len, documents))
     pure = [len({d % 6 for d, *_ in s}) for s in sequences if sum(n for *_, n in s) == 256]
     assert np.mean(pure) < 3
+
+
+def test_near_copies_meet_in_one_shard(docs, spark):
+    """Of near-copies among many documents most share a sequence, however many shards there are; copies that are too
+    many for a shard are dealt out."""
+    random.seed(5)
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
+    vocabulary = sorted({w for r in texts for w in (r.text or "").split()})
+    rows = []
+    for i in range(400):
+        words = random.choices(vocabulary, k=60)
+        rows.append((2 * i, " ".join(words)))
+        words[random.randrange(60)] = random.choice(vocabulary)
+        rows.append((2 * i + 1, " ".join(words)))
+    rows += [(10_000 + i, "many the same words here " * 10) for i in range(400)]
+    pieces = packing.pack(Workspace(spark, "p"), docs(rows), shard_tokens=8_000).collect()
+    shards, held = {}, {}
+    for p in pieces:
+        shard = p.sequence_id >> 41
+        held[shard] = held.get(shard, 0) + p.length
+        shards.setdefault(p.doc_id, set()).add(shard)
+    assert len(held) > 10 and max(held.values()) < 16_000
+    assert np.mean([shards[2 * i] == shards[2 * i + 1] for i in range(400)]) > 0.8
+
+
+def test_the_ranking_is_followed_until_the_window_is_full():
+    """Forty short neighbours of a seed come before documents without a common term."""
+    documents = [np.array([1, 2, 3])] + [np.array([50 + i] * 3) for i in range(60)] + [np.array([1, 2, 200 + i]) for i in range(40)]
+    frequencies = np.bincount(np.concatenate([np.unique(d) for d in documents]), minlength=300)
+    first = packing.fill(documents, packing.Statistics(len(documents), 3.0, frequencies), 128)[0]
+    assert {d for d, *_ in first} >= set(range(61, 101))
