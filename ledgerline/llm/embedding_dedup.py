@@ -1,7 +1,9 @@
 """Near-copies of vectors by spherical-cap filters with structured random product codes.
 
-The vector's components are cut into blocks, and each block has a small book of random unit directions. A filter is a
-choice of one direction per block; a vector passes all filters whose direction it exceeds by a threshold. Passing filters
+Vectors are turned by one random rotation, so that no direction of the table's own matters to what follows; their cosines
+are taken without it. The vector's components are cut into blocks, and each block has a small book of random unit directions. A filter is a
+choice of one direction per block; a vector passes all filters whose direction it exceeds by a threshold, which is lowered
+for each vector in equal steps until it passes enough. Passing filters
 are decoded from the blocks' sorted scores without looking at the others, so there can be very many filters. Similar
 vectors pass many filters together; vectors that share one meet there and are compared exactly.
 
@@ -32,6 +34,8 @@ STRANGERS, TILE_ROWS = 32, 2_000
 #: Rows of one tile that are compared with as many others at a time; larger tiles are cut.
 BLOCK_ROWS = 4_000
 SEED = 20_240_817
+#: A vector's threshold is lowered by steps until it passes this share of the wanted filters.
+STEP, LEAST_SHARE = 0.01, 0.5
 
 
 @dataclass(frozen=True)
@@ -46,8 +50,12 @@ class Code:
         """Directions of the last block; a filter's number is that of its earlier blocks times this, and its last."""
         return len(self.books[-1])
 
-    def filters(self, unit: np.ndarray, most: int | None = None) -> list[np.ndarray]:
-        """The sorted numbers of the filters that each row passes; not all if there are more than ``most``."""
+    def filters(
+        self, unit: np.ndarray, most: int | None = None, lower: np.ndarray | None = None
+    ) -> list[np.ndarray]:
+        """The sorted numbers of the filters that each row passes; not all if there are more than ``most``. Thresholds are
+        by ``lower`` steps lower."""
+        thresholds = np.full(len(unit), self.threshold) if lower is None else self.threshold - STEP * lower
         scores, at = [], 0
         for book in self.books:
             scores.append(unit[:, at : at + book.shape[1]] @ book.T)
@@ -60,7 +68,7 @@ class Code:
             for i, s in enumerate(scores):
                 order = np.argsort(-s[row])
                 ranked = s[row][order]
-                need = self.threshold - sums - (best_left[i][row] if i + 1 < len(scores) else 0.0)
+                need = thresholds[row] - sums - (best_left[i][row] if i + 1 < len(scores) else 0.0)
                 counts = np.searchsorted(-ranked, -need, "right")
                 if most and counts.sum() > most:
                     counts = np.minimum(counts, np.maximum(0, most - (np.cumsum(counts) - counts)))
@@ -71,8 +79,18 @@ class Code:
             found.append(np.sort(numbers))
         return found
 
-
-    def passing(self, unit: np.ndarray, prefix: int, start: int, end: int) -> np.ndarray:
+    def levels(self, unit: np.ndarray, least: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """Filters of each row, and the steps by which its threshold is lowered so that there are ``least``."""
+        least = min(least, math.prod(map(len, self.books)))
+        lower = np.zeros(len(unit), np.int64)
+        found = self.filters(unit)
+        while len(few := np.flatnonzero(np.fromiter(map(len, found), np.int64, len(found)) < least)):
+            lower[few] += 1
+            for i, x in zip(few, self.filters(unit[few], lower=lower[few])):
+                found[i] = x
+        return found, lower
+
+    def passing(self, unit: np.ndarray, prefix: int, start: int, end: int, lower: np.ndarray | int = 0) -> np.ndarray:
         """Whether each row passes the filters with directions ``prefix`` of the earlier blocks and ``start`` to ``end``
         of the last."""
         at, score = unit.shape[1] - self.books[-1].shape[1], np.zeros(len(unit))
@@ -81,7 +99,8 @@ class Code:
             prefix, direction = divmod(prefix, len(book))
             at -= book.shape[1]
             score += unit[:, at : at + book.shape[1]] @ book[direction]
-        return score[:, None] + last >= self.threshold
+        thresholds = self.threshold - STEP * np.broadcast_to(lower, len(unit))
+        return score[:, None] + last >= thresholds[:, None]
 
 
 def wanted_filters(rows: int) -> float:
@@ -118,6 +137,12 @@ def make_code(dimensions: int, rows: int, seed: int = SEED) -> Code:
     return Code(tuple(books), high)
 
 
+def rotation(dimensions: int, seed: int = SEED) -> np.ndarray:
+    """A random orthogonal matrix."""
+    q, upper = np.linalg.qr(np.random.default_rng(seed).standard_normal((dimensions, dimensions)))
+    return q * np.sign(np.diag(upper))
+
+
 def _units(vectors: pd.Series) -> np.ndarray:
     """Vectors of length 1 as rows, scaled first so that no square is lost or too large."""
     rows = np.array(vectors.tolist(), np.float64).reshape(len(vectors), -1)
@@ -125,17 +150,19 @@ def _units(vectors: pd.Series) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _assign(code: Code, width: int):
-    """Rows ``(node, tiles)``: numbers of the tiles, each ``width`` directions of the last block, with filters in them."""
+def _assign(code, width: int, least: int):
+    """Rows ``(node, tiles, lower)``: numbers of the tiles, each ``width`` directions of the last block, with filters in
+    them, and the steps of the threshold."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        per = -(-code.last // width)
+        books, turn = code.value
+        per = -(-books.last // width)
         for batch in batches:
             if not len(batch):
                 continue
-            found = code.filters(_units(batch["vector"]))
-            tiles = [np.unique(f // code.last * per + f % code.last // width) for f in found]
-            yield batch[["node"]].assign(tiles=tiles)
+            found, lower = books.levels(_units(batch["vector"]) @ turn, least)
+            tiles = [np.unique(f // books.last * per + f % books.last // width) for f in found]
+            yield batch[["node"]].assign(tiles=tiles, lower=lower)
 
     return run
 
@@ -177,19 +204,21 @@ def _earlier(lists: list[np.ndarray], number: int) -> np.ndarray:
     return shared
 
 
-def _compare(code: Code, width: int, similarity: float):
+def _compare(shared, width: int, similarity: float):
     """Per tile rows ``(node, node, links)`` with the links that meet there first, and the forest of all its links."""
-    per = -(-code.last // width)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        code, turn = shared.value
+        per = -(-code.last // width)
         for tile in _tiles(batches, ["tile", "one", "two"]):
             if len(tile) < 2:
                 continue
             number, i, j = (int(tile[c].iloc[0]) for c in ("tile", "one", "two"))
             prefix, start = number // per, number % per * width
             unit = _units(tile["vector"])
+            turned, lower = unit @ turn, tile["lower"].to_numpy()
             own = tile["block"].to_numpy()
-            passing = code.passing(unit, prefix, start, min(start + width, code.last))
+            passing = code.passing(turned, prefix, start, min(start + width, code.last), lower)
             filters, rows = np.nonzero(passing.T)
             near = np.zeros((len(tile), len(tile)), bool)
             for group in np.split(rows, np.flatnonzero(np.diff(filters)) + 1):
@@ -203,7 +232,7 @@ def _compare(code: Code, width: int, similarity: float):
                 continue
             near, nodes, weights = near[np.ix_(some, some)], tile["node"].to_numpy()[some], tile["weight"].to_numpy()[some]
             # Pairs that share a filter of an earlier tile are counted there.
-            links = (near & ~_earlier(code.filters(unit[some]), prefix * code.last + start)) @ weights
+            links = (near & ~_earlier(code.filters(turned[some], lower=lower[some]), prefix * code.last + start)) @ weights
             yield pd.DataFrame({"node": nodes, "other": nodes, "links": links})
             yield _forest(nodes, near)
 
@@ -274,15 +303,17 @@ def vector_groups(
     # So many directions of the last block that random vectors fill a tile about as wanted.
     width = max(1, min(code.last, round(TILE_ROWS * firsts * code.last / (count * wanted_filters(count)))))
 
-    found = nodes.select("node", "vector").mapInPandas(_assign(code, width), "node long, tiles array<long>")
+    shared = vectors.sparkSession.sparkContext.broadcast((code, rotation(dimensions)))
+    least = math.ceil(LEAST_SHARE * wanted_filters(count))
+    found = nodes.select("node", "vector").mapInPandas(_assign(shared, width, least), "node long, tiles array<long>, lower long")
     listed = space.keep(nodes.join(found, "node"), f"{name}_listed")
     entries = listed.select("node", F.explode("tiles").alias("tile"))
     sizes = entries.groupBy("tile").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     pieces = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    shared = entries.join(sizes, "tile").select("node", "tile", pieces.alias("pieces"))
+    several = entries.join(sizes, "tile").select("node", "tile", pieces.alias("pieces"))
     block = F.pmod(F.xxhash64("node", "tile"), F.col("pieces")).cast("int")
     others = F.sequence(F.lit(0), F.col("pieces") - 1)
-    meets = shared.withColumn("block", block).withColumn("other_block", F.explode(others))
+    meets = several.withColumn("block", block).withColumn("other_block", F.explode(others))
     meets = meets.select(
         "node",
         "tile",
@@ -292,8 +323,9 @@ def vector_groups(
     )
     tiles = meets.join(listed.drop("tiles"), "node").repartition("tile", "one", "two")
     tiles = tiles.sortWithinPartitions("tile", "one", "two")
-    tiles = tiles.select("tile", "one", "two", "block", "node", "weight", "vector")
-    counts = space.keep(tiles.mapInPandas(_compare(code, width, similarity), "node long, other long, links long"), f"{name}_counts")
+    tiles = tiles.select("tile", "one", "two", "block", "node", "weight", "vector", "lower")
+    compared = tiles.mapInPandas(_compare(shared, width, similarity), "node long, other long, links long")
+    counts = space.keep(compared, f"{name}_counts")
 
     links = counts.groupBy("node").agg(F.sum("links").alias("links"))
     groups = components(space, counts.where("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")), name)

@@ -98,3 +98,35 @@ def test_vectors_that_link_with_nothing(spark):
     empty = spark.createDataFrame([], schema)
     assert vector_groups(Workspace(spark, "v"), empty).count() == 0
     assert vector_groups(Workspace(spark, "v"), spark.createDataFrame(rows[:3], schema)).count() == 3
+
+
+def skewed(rng, n, d=64):
+    """Pairs with a cosine of 0.9 exactly, with nothing in the second half of the components."""
+    a, b = (np.hstack([rng.standard_normal((n, d // 2)), np.zeros((n, d // 2))]) for _ in range(2))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (b * a).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    return a, 0.9 * a + np.sqrt(1 - 0.81) * b
+
+
+def test_recall_of_skewed_vectors():
+    rng = np.random.default_rng(4)
+    for n in (2_000, 20_000, 1_000_000):
+        code, turn = make_code(64, n), embedding_dedup.rotation(64)
+        least = int(embedding_dedup.wanted_filters(n) / 2)
+        one, two = (code.levels(x @ turn, least)[0] for x in skewed(rng, 200))
+        assert min(map(len, one + two)) >= least
+        met = np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(one, two)])
+        print("recall", n, met, np.mean(list(map(len, one))) / embedding_dedup.wanted_filters(n))
+        assert met > 0.93, n
+
+
+def test_skewed_links_against_brute_force(spark):
+    one, two = skewed(np.random.default_rng(5), 1_000)
+    rows = np.concatenate([one, two + 1e-3 * one])
+    near = brute(rows)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = sorted(vector_groups(Workspace(spark, "v"), df.repartition(4)).collect())
+    links = np.array([r.n_links for r in got])
+    assert (links <= near.sum(axis=1)).all()
+    assert links.sum() >= 0.95 * near.sum()
