@@ -108,6 +108,27 @@ def wanted_filters(rows: int) -> float:
     return max(40.0, 6 * math.log2(max(rows, 2)) - 20)
 
 
+@dataclass(frozen=True)
+class Plan:
+    """How vectors of one length are compared: their code, the directions of a tile, and the least filters of a vector."""
+
+    code: Code
+    width: int
+    least: int
+    turn: np.ndarray
+
+
+def make_plan(dimensions: int, rows: int, code: Code | None = None) -> Plan:
+    """Vectors that fit in one tile are all compared, by a code of one filter that all pass."""
+    if code is None and rows <= TILE_ROWS // 10:
+        code = Code((np.zeros((1, dimensions)),), -1.0)
+    code = code or make_code(dimensions, rows)
+    firsts = math.prod(len(b) for b in code.books[:-1])
+    # So many directions of the last block that random vectors fill a tile about as wanted.
+    width = max(1, min(code.last, round(TILE_ROWS * firsts * code.last / (rows * wanted_filters(rows)))))
+    return Plan(code, width, math.ceil(LEAST_SHARE * wanted_filters(rows)), rotation(dimensions))
+
+
 def make_code(dimensions: int, rows: int, seed: int = SEED) -> Code:
     """A code for so many vectors. The share of vectors that pass a filter falls as their number grows, and the number
     of filters rises, so that the strangers that a vector meets in a filter stay as many."""
@@ -150,19 +171,18 @@ def _units(vectors: pd.Series) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _assign(code, width: int, least: int):
-    """Rows ``(node, tiles, lower)``: numbers of the tiles, each ``width`` directions of the last block, with filters in
-    them, and the steps of the threshold."""
+def _assign(plans):
+    """Rows ``(node, tiles, lower)``: numbers of the tiles, each some directions of the last block, with filters in them, and
+    the steps of the threshold."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        books, turn = code.value
-        per = -(-books.last // width)
         for batch in batches:
-            if not len(batch):
-                continue
-            found, lower = books.levels(_units(batch["vector"]) @ turn, least)
-            tiles = [np.unique(f // books.last * per + f % books.last // width) for f in found]
-            yield batch[["node"]].assign(tiles=tiles, lower=lower)
+            for length, part in batch.groupby("length"):
+                plan = plans.value[length]
+                last, per = plan.code.last, -(-plan.code.last // plan.width)
+                found, lower = plan.code.levels(_units(part["vector"]) @ plan.turn, plan.least)
+                tiles = [np.unique(f // last * per + f % last // plan.width) for f in found]
+                yield part[["node"]].assign(tiles=tiles, lower=lower)
 
     return run
 
@@ -204,15 +224,16 @@ def _earlier(lists: list[np.ndarray], number: int) -> np.ndarray:
     return shared
 
 
-def _compare(shared, width: int, similarity: float):
+def _compare(plans, similarity: float):
     """Per tile rows ``(node, node, links)`` with the links that meet there first, and the forest of all its links."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code, turn = shared.value
-        per = -(-code.last // width)
-        for tile in _tiles(batches, ["tile", "one", "two"]):
+        for tile in _tiles(batches, ["length", "tile", "one", "two"]):
             if len(tile) < 2:
                 continue
+            plan = plans.value[int(tile["length"].iloc[0])]
+            code, width, turn = plan.code, plan.width, plan.turn
+            per = -(-code.last // width)
             number, i, j = (int(tile[c].iloc[0]) for c in ("tile", "one", "two"))
             prefix, start = number // per, number % per * width
             unit = _units(tile["vector"])
@@ -270,9 +291,9 @@ def vector_groups(
     """``(vec_id, n_links, component_id, kept)`` for every row.
 
     Links join vectors with cosine at least ``similarity`` in double precision. Null and zero vectors and those with null
-    or non-finite components link with nothing; vectors of another length than the commonest (the longer on a tie) link
-    with nothing either. Equal vectors are one node, linked with each other; each row counts. A null id stays null and
-    names no group. Other columns are ignored. An empty table gives none.
+    or non-finite components link with nothing; vectors link with those of their own length. ``code`` is for the commonest
+    length (the longer on a tie). Equal vectors are one node, linked with each other; each row counts, also if an id comes
+    with several vectors. A null id stays null and names no group. Other columns are ignored. An empty table gives none.
     """
     rows = narrow(vectors, id_column, column).select(
         F.col(id_column).cast("long").alias("vec_id"), F.col(column).alias("vector")
@@ -284,33 +305,29 @@ def vector_groups(
     fine = F.coalesce(finite, F.lit(False))
     rows = space.keep(rows.select("vec_id", F.when(fine, F.col("vector")).alias("vector")), f"{name}_rows")
     lengths = rows.where("vector IS NOT NULL").groupBy(F.size("vector").alias("n")).agg(F.count(F.lit(1)).alias("rows"))
-    commonest = lengths.orderBy(F.desc("rows"), F.desc("n")).first()
+    lengths = sorted(((r["rows"], r["n"]) for r in lengths.collect()), reverse=True)
     alone = rows.select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
     )
-    if commonest is None:
+    if not lengths:
         return alone
-    dimensions, count = commonest
-    used = rows.where(F.size("vector") == dimensions)
+    plans = {n: make_plan(n, count, code if i == 0 else None) for i, (count, n) in enumerate(lengths)}
+    plans = vectors.sparkSession.sparkContext.broadcast(plans)
+    used = rows.where("vector IS NOT NULL")
     hashes = [F.xxhash64(F.lit(i), "vector").alias(f"v{i}") for i in (1, 2)]
-    keyed = used.select("vec_id", *hashes)
-    same = keyed.groupBy("v1", "v2").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("weight"))
+    same = used.select("vec_id", "vector", *hashes).groupBy("v1", "v2")
+    # Equal hashes are equal vectors, so any of them stands for all.
+    same = same.agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("weight"), F.first("vector").alias("vector"))
+    same = same.withColumn("length", F.size("vector")).withColumn("node", F.monotonically_increasing_id())
     same = space.keep(same, f"{name}_same")
-    nodes = used.select("vec_id", "vector", *hashes).join(same.where("node IS NOT NULL"), ["v1", "v2"])
-    nodes = nodes.where("vec_id = node").select("node", "weight", "vector").dropDuplicates(["node"])
-    code = code or make_code(dimensions, count)
-    firsts = math.prod(len(b) for b in code.books[:-1])
-    # So many directions of the last block that random vectors fill a tile about as wanted.
-    width = max(1, min(code.last, round(TILE_ROWS * firsts * code.last / (count * wanted_filters(count)))))
+    nodes = same.select("node", "weight", "length", "vector")
 
-    shared = vectors.sparkSession.sparkContext.broadcast((code, rotation(dimensions)))
-    least = math.ceil(LEAST_SHARE * wanted_filters(count))
-    found = nodes.select("node", "vector").mapInPandas(_assign(shared, width, least), "node long, tiles array<long>, lower long")
+    found = nodes.select("node", "length", "vector").mapInPandas(_assign(plans), "node long, tiles array<long>, lower long")
     listed = space.keep(nodes.join(found, "node"), f"{name}_listed")
-    entries = listed.select("node", F.explode("tiles").alias("tile"))
-    sizes = entries.groupBy("tile").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    entries = listed.select("node", "length", F.explode("tiles").alias("tile"))
+    sizes = entries.groupBy("length", "tile").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     pieces = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    several = entries.join(sizes, "tile").select("node", "tile", pieces.alias("pieces"))
+    several = entries.join(sizes, ["length", "tile"]).select("node", "tile", pieces.alias("pieces"))
     block = F.pmod(F.xxhash64("node", "tile"), F.col("pieces")).cast("int")
     others = F.sequence(F.lit(0), F.col("pieces") - 1)
     meets = several.withColumn("block", block).withColumn("other_block", F.explode(others))
@@ -321,22 +338,23 @@ def vector_groups(
         F.least("block", "other_block").alias("one"),
         F.greatest("block", "other_block").alias("two"),
     )
-    tiles = meets.join(listed.drop("tiles"), "node").repartition("tile", "one", "two")
-    tiles = tiles.sortWithinPartitions("tile", "one", "two")
-    tiles = tiles.select("tile", "one", "two", "block", "node", "weight", "vector", "lower")
-    compared = tiles.mapInPandas(_compare(shared, width, similarity), "node long, other long, links long")
+    tiles = meets.join(listed.drop("tiles"), "node").repartition("length", "tile", "one", "two")
+    tiles = tiles.sortWithinPartitions("length", "tile", "one", "two")
+    tiles = tiles.select("length", "tile", "one", "two", "block", "node", "weight", "vector", "lower")
+    compared = tiles.mapInPandas(_compare(plans, similarity), "node long, other long, links long")
     counts = space.keep(compared, f"{name}_counts")
 
     links = counts.groupBy("node").agg(F.sum("links").alias("links"))
     groups = components(space, counts.where("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")), name)
-    known = same.join(links, "node", "left").join(groups, "node", "left")
-    known = known.select("v1", "v2", "node", "weight", "links", "component")
-    with_keys = rows.select("vec_id", "vector").select(
-        "vec_id", *(F.when(F.size("vector") == dimensions, h).alias(f"v{i}") for i, h in zip((1, 2), hashes))
-    )
+    known = same.drop("vector").join(links, "node", "left").join(groups, "node", "left")
+    known = known.withColumn("group", F.coalesce("component", "node"))
+    # A group is named by its smallest id.
+    names = known.groupBy("group").agg(F.min("first").alias("named"))
+    known = known.join(names, "group").select("v1", "v2", "weight", "links", "named")
+    with_keys = rows.select("vec_id", *(F.when(F.col("vector").isNotNull(), h).alias(f"v{i}") for i, h in zip((1, 2), hashes)))
     found = with_keys.join(known, ["v1", "v2"], "left")
     n = F.coalesce("links", F.lit(0)) + F.coalesce(F.col("weight") - 1, F.lit(0))
-    group = F.coalesce("component", "node", "vec_id")
+    group = F.coalesce("named", "vec_id")
     return found.select(
         "vec_id",
         n.cast("long").alias("n_links"),

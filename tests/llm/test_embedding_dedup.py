@@ -130,3 +130,14 @@ def test_skewed_links_against_brute_force(spark):
     links = np.array([r.n_links for r in got])
     assert (links <= near.sum(axis=1)).all()
     assert links.sum() >= 0.95 * near.sum()
+
+
+def test_all_lengths_ids_and_vectors_are_compared(spark):
+    good, other = [1.0, 2.0, 3.0, 4.0], [-4.0, 3.0, 2.0, -1.0]
+    rows = [(1, good), (2, good), (3, [1.0, 2.0]), (4, [1.0, 2.0]), (5, [2.0, 4.1]), (6, other), (1, other)]
+    rows += [(None, [3.0, -4.0, 5.0]), (8, [3.0, -4.0, 5.1]), (None, [9.0]), (None, [8.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(str, (tuple(r) for r in vector_groups(Workspace(spark, "v"), df).collect())))
+    want = [(1, 1, 1, True), (2, 1, 1, False), (3, 2, 3, True), (4, 2, 3, False), (5, 2, 3, False), (6, 1, 1, False), (1, 1, 1, True)]
+    want += [(None, 1, 8, True), (8, 1, 8, True), (None, 1, None, True), (None, 1, None, True)]
+    assert got == sorted(map(str, want))
