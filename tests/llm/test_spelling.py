@@ -1,0 +1,112 @@
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import pytest
+
+from ledgerline.llm import spelling
+from ledgerline.workspace import Workspace
+
+ANY = "abcdeé"
+
+
+def near(a, b):
+    """Whether one inserted, deleted or replaced code point makes the words equal."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(a) + 1 == len(b) and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            counts[run[: h % len(run)] + run[h % len(run) + 1 :] if h % 199 == 0 else run] += 1
+    counts = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+    around = defaultdict(set)
+    for a, b in combinations(counts, 2):
+        if near(a, b):
+            around[a].add(b)
+            around[b].add(a)
+    form = {}
+    for w, n in counts.items():
+        best = min(around[w], key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best is not None and counts[best] >= 5 * n else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {w: (form[w], root(w), n, len(around[w]), counts.get(form[w])) for w, n in counts.items()}
+
+
+def result(df):
+    rows = df.collect()
+    found = {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def corpus(seed):
+    random.seed(seed)
+    roots = ["".join(random.choices(ANY, k=random.choice([6, 7, 9, 14]))) for _ in range(25)]
+    words = list(roots)
+    for _ in range(150):
+        w = list(random.choice(words))
+        at = random.randrange(len(w))
+        kind = random.random()
+        if kind < 0.4:
+            w[at] = random.choice(ANY)
+        elif kind < 0.7:
+            w.insert(at, random.choice(ANY))
+        else:
+            del w[at]
+        words.append("".join(w))
+    rows = []
+    for i, w in enumerate(words):
+        rows += [(i * 7 + j, f"{w.capitalize()}, {w}\n{w.upper()}1{w}") for j in range(random.choice([1, 2, 5, 30, 160]))]
+    return rows + [(None, "Überall überall " * 5), (9, None), (10, ""), (11, "a b c"), (12, "x" * 5000 + " ")] + rows[:20]
+
+
+@pytest.mark.parametrize("seed,key_pairs", [(1, 2000), (2, 3), (3, 0)])
+def test_like_brute_force(docs, spark, seed, key_pairs):
+    rows = corpus(seed)
+    got = result(spelling.spelling_forms(Workspace(spark, "s"), docs(rows), key_pairs=key_pairs))
+    expected = brute(rows)
+    assert got == expected
+    assert any(v[0] and v[1] != v[0] for v in expected.values())
+
+
+@pytest.mark.parametrize("key_pairs", [0, 4, 10_000])
+def test_every_near_pair_is_met_once(spark, key_pairs):
+    random.seed(8)
+    words = {"".join(random.choices("ab", k=k)) for k in (2, 3, 6, 7, 8, 9) for _ in range(60)}
+    words |= {"interword" + "".join(random.choices("xyz", k=5)) for _ in range(80)} | {"😀abcdé", "😀abcde", "abcde", "abcdé"}
+    df = spark.createDataFrame([(w,) for w in sorted(words)], "word string")
+    pairs = [(r.a, r.b) for r in spelling.near_words(Workspace(spark, "s"), df, key_pairs).collect()]
+    assert len(pairs) == len(set(pairs))
+    assert {frozenset(p) for p in pairs} == {frozenset(p) for p in combinations(words, 2) if near(*p)}
+
+
+def test_a_key_of_very_many_words_is_cut_again(spark):
+    # A thousand words share their first half and nothing else: without a second cut a million pairs.
+    words = [f"thousand{chr(97 + i // 100)}x{chr(97 + i // 10 % 10)}y{chr(97 + i % 10)}zzz" for i in range(1000)]
+    space = Workspace(spark, "s")
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    assert spelling.near_words(space, df, 2000).count() == sum(near(*p) for p in combinations(words, 2))
+    keys = spark.read.parquet(space.path("kept", "spelling_keys_1"))
+    assert keys.count() > 0
+
+
+def test_no_words_and_clashing_columns(docs, spark):
+    assert result(spelling.spelling_forms(Workspace(spark, "s"), docs([]))) == {}
+    rows = [(1, "wonderful " * 30 + "wonderfull " * 5)]
+    clashing = docs(rows).selectExpr("doc_id", "text", "1 AS word", "2 AS n", "3 AS key", "'x' AS rest", "'y' AS form")
+    assert result(spelling.spelling_forms(Workspace(spark, "s"), clashing)) == brute(rows)
