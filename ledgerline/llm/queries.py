@@ -14,9 +14,12 @@ from ledgerline.llm import (
     mixing,
     ngram_join,
     packing,
+    phrases,
     quality,
     sharding,
+    spelling,
     token_counts,
+    topk_search,
     toxicity,
 )
 from ledgerline.llm.oracles import ORACLES
@@ -93,6 +96,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.manifest(Workspace(spark, "op10"), _read(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(Workspace(spark, "op11"), _read(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_forms(Workspace(spark, "op12"), _read(spark, sf_dir, "documents"))
+
+
+def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_inner(Workspace(spark, "op13"), _read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_token_counts": op2_token_counts,
@@ -104,4 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_sharding": op10_sharding,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_topk_search": op13_topk_search,
 }
