@@ -36,9 +36,9 @@ TOP = 2_000
 #: Words of 64 bits of the bitmap that tells which phrases may be frequent: 4 MB, whatever the corpus.
 BITMAP_WORDS = 1 << 19
 #: Words that a task counts together, and distinct ones among them, before it hands its counts on.
-RUN_WORDS, RUN_DISTINCT = 3_000_000, 500_000
-#: Texts are split in slices of about so many bytes.
-SLICE_BYTES = 4_000_000
+RUN_WORDS, RUN_DISTINCT = 1_000_000, 200_000
+#: Texts are split in slices of about so many bytes, and counts handed on in batches of so many rows.
+SLICE_BYTES, BATCH_ROWS = 2_000_000, 1 << 16
 #: Language of documents that name none.
 NO_LANG = "und"
 
@@ -86,12 +86,13 @@ class _Run:
     def add(self, text: bytes) -> None:
         words = text.translate(_PLAIN).replace(_BREAK, b" . ").split(b" ")
         # Empty strings between spaces are no words; filter() is quicker than split() is with other white space.
-        ids = np.fromiter(map(self.numbers.__getitem__, filter(None, words)), np.int64)
-        self.parts += [ids, np.zeros(1, np.int64)]
+        ids = np.fromiter(map(self.numbers.__getitem__, filter(None, words)), np.int32)
+        self.parts += [ids, np.zeros(1, np.int32)]
         self.size += len(ids) + 1
 
-    def counts(self, n: int, bitmap: np.ndarray | None) -> pa.RecordBatch | None:
-        ids, words = np.concatenate(self.parts), list(self.numbers)
+    def counts(self, n: int, bitmap: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+        ids, words = np.concatenate(self.parts or [np.zeros(1, np.int32)]).astype(np.int64), list(self.numbers)
+        self.parts = []
         if n == 1:
             f = np.bincount(ids, minlength=len(words))
             f[0] = 0
@@ -111,12 +112,13 @@ class _Run:
                 triples, f = np.unique(which[next_to] * len(words) + ids[at[next_to] + 2], return_counts=True)
                 pair = triples // len(words)
                 found = [found[0][pair], found[1][pair], triples % len(words)]
-        if not len(f):
-            return None
         texts = pa.array([w.decode("utf-8", "surrogatepass") for w in words])
-        columns = [texts.take(pa.array(x)) for x in found] + [pa.nulls(len(f), pa.string())] * (3 - n)
-        lang = pa.repeat(pa.scalar(self.lang), len(f))
-        return pa.RecordBatch.from_arrays([lang, *columns, pa.array(f)], ["lang", "w1", "w2", "w3", "f"])
+        for start in range(0, len(f), BATCH_ROWS):
+            some = slice(start, start + BATCH_ROWS)
+            size = len(f[some])
+            columns = [texts.take(pa.array(x[some])) for x in found] + [pa.nulls(size, pa.string())] * (3 - n)
+            lang = pa.repeat(pa.scalar(self.lang), size)
+            yield pa.RecordBatch.from_arrays([lang, *columns, pa.array(f[some])], ["lang", "w1", "w2", "w3", "f"])
 
 
 def _slices(texts: list[bytes]) -> Iterator[bytes]:
@@ -143,14 +145,15 @@ def _count(n: int, bitmap=None):
                 for text in _slices(texts.filter(pc.equal(langs, lang)).to_pylist()):
                     own.add(text)
                     if own.size >= RUN_WORDS or len(own.numbers) >= RUN_DISTINCT:
-                        if (counted := own.counts(n, marks)) is not None:
-                            yield counted
+                        yield from own.counts(n, marks)
                         own = runs[lang] = _Run(lang)
             # Very many languages: together they hold no more than two runs.
             if sum(r.size for r in runs.values()) >= 2 * RUN_WORDS:
-                yield from (c for r in runs.values() if (c := r.counts(n, marks)) is not None)
+                for own in runs.values():
+                    yield from own.counts(n, marks)
                 runs = {}
-        yield from (c for r in runs.values() if r.parts and (c := r.counts(n, marks)) is not None)
+        for own in runs.values():
+            yield from own.counts(n, marks)
 
     return run
 

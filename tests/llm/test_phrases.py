@@ -75,6 +75,7 @@ def test_like_brute_force(spark, min_count, top):
 def test_runs_and_partitions_do_not_matter(spark, monkeypatch):
     rows = corpus(60)
     monkeypatch.setattr(phrases, "SLICE_BYTES", 500)
+    monkeypatch.setattr(phrases, "BATCH_ROWS", 7)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "37")  # ranges end within words
@@ -87,9 +88,6 @@ def test_runs_and_partitions_do_not_matter(spark, monkeypatch):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="aAbÉ .,\t\n\r\x0b\x0c\xa0;", max_size=40), min_size=1, max_size=5))
 def test_runs_count_like_brute_force(texts):
-    run = phrases._Run("en")
-    for text in phrases._slices([t.encode() for t in texts]):
-        run.add(text)
     every = np.full(4, (1 << 64) - 1, np.uint64)
     expected = Counter()
     for text in texts:
@@ -100,8 +98,10 @@ def test_runs_count_like_brute_force(texts):
                 expected.update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
     got = Counter()
     for k in (1, 2, 3):
-        counted = run.counts(k, every)
-        for row in counted.to_pylist() if counted is not None else []:
+        run = phrases._Run("en")
+        for text in phrases._slices([t.encode() for t in texts]):
+            run.add(text)
+        for row in (row for counted in run.counts(k, every) for row in counted.to_pylist()):
             got[tuple(row[w] for w in ("w1", "w2", "w3") if row[w] is not None)] += row["f"]
     assert got == expected
 
