@@ -6,22 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: How many rows the one that was kept stands for.
+COPIES = "_copies"
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def one_per_key(df: DataFrame, key: str) -> DataFrame:
-    """One row per key: the smallest by all other columns (NULLs first).
+def one_per_key(df: DataFrame, key: str, copies: bool = False) -> DataFrame:
+    """One row per key: the smallest by all other columns (NULLs first), with ``copies`` also how many rows it came from.
 
     Which row survives is open in the original, so this fixes one choice. Rows are ordered by the key alone; the
     other columns are compared only between rows of one key. Each task keeps one row per key before the shuffle, so a
     key with very many copies costs its task one row per input partition.
     """
     others = [c for c in df.columns if c != key]
-    if not others:
+    if not others and not copies:
         return df.distinct()
-    smallest = df.groupBy(key).agg(F.min(F.struct(*others)).alias("_smallest"))
-    return smallest.select(*(key if c == key else F.col(f"_smallest.{c}").alias(c) for c in df.columns))
+    counted = [F.count(F.lit(1)).alias(COPIES)] if copies else []
+    found = [F.min(F.struct(*others)).alias("_smallest")] if others else []
+    smallest = df.groupBy(key).agg(*found, *counted)
+    columns = (key if c == key else F.col(f"_smallest.{c}").alias(c) for c in df.columns)
+    return smallest.select(*columns, *([COPIES] if copies else []))
 
 
 def insert_if_absent(target: DataFrame, new: DataFrame, key: str) -> DataFrame:

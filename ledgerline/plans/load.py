@@ -19,12 +19,13 @@ def stage(spark: SparkSession, path: str) -> DataFrame:
     return read_as_one(spark, path, WIDE)
 
 
-def typed(staged: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def typed(staged: DataFrame, existing: DataFrame | None = None, copies: bool = False) -> DataFrame:
     """Staged rows without header lines and keyless rows, dates cast, one row per key.
 
-    Picking one row per key also removes exact duplicates. With ``existing`` its rows win over new ones.
+    Picking one row per key also removes exact duplicates. With ``existing`` its rows win over new ones. Without it,
+    ``copies`` adds how many staged rows each row stands for.
     """
     rows = data_rows(staged, KEY).select(
         *(strict_date(F.col(c)).alias(c) if c in WIDE_DATES else F.col(c) for c in staged.columns)
     )
-    return one_per_key(rows, KEY) if existing is None else insert_if_absent(existing, rows, KEY)
+    return one_per_key(rows, KEY, copies) if existing is None else insert_if_absent(existing, rows, KEY)

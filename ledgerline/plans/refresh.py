@@ -7,9 +7,10 @@ from pyspark.sql import types as T
 
 from ledgerline.operators.fold import FOLDED, KEY
 from ledgerline.operators.joins import Measures
+from ledgerline.operators.keys import COPIES
 from ledgerline.plans import gates, load
 from ledgerline.plans.partners import partners_json
-from ledgerline.plans.publish import Tables, publish
+from ledgerline.plans.publish import Tables, next_version, publish
 from ledgerline.plans.wide import registry_wide
 from ledgerline.schemas import DATASETS, text_schema, typed_wide_schema
 from ledgerline.sinks.export import export_csv
@@ -22,8 +23,8 @@ PARTNERS_JSON = T.StructType([T.StructField(KEY, T.StringType()), T.StructField(
 
 def build(
     spark: SparkSession, landing: str, workspace: Workspace, database: str, encoding: str = "UTF-8"
-) -> DataFrame:
-    """Landed files → the warehouse tables ``socios_agg_json`` and ``registry_source``; returns the latter.
+) -> tuple[DataFrame, gates.Counted]:
+    """Landed files → the warehouse tables ``socios_agg_json`` and ``registry_source``; returns the latter and its counts.
 
     Text is parsed once: all datasets go to Parquet, and a line without exactly its dataset's columns stops the run,
     as does a company with more partners than a row may hold, before any table is written.
@@ -46,26 +47,37 @@ def build(
         folded,
         measures=measures,
     )
-    return replace_table(wide, f"{database}.registry_source", typed_wide_schema())
+    counting = gates.Counting(wide, load.KEY)
+    source = replace_table(counting.rows, f"{database}.registry_source", typed_wide_schema())
+    return source, counting.found()
 
 
 def hand_over(
-    spark: SparkSession, source: DataFrame, workspace: Workspace, tables: Tables, through_files: bool = True
+    spark: SparkSession,
+    source: DataFrame,
+    expected: gates.Counted,
+    workspace: Workspace,
+    tables: Tables,
+    through_files: bool = True,
 ) -> DataFrame:
-    """Load ``source`` as the new table, check it and publish it; returns the served table.
+    """Load ``source`` as a new version, check it and publish it; returns the served table.
 
     Loading goes through exported shards and a staging table, as it must when another system takes over the
-    files. Without that, the same rows are loaded straight from ``source``.
+    files. Without that, the same rows are loaded straight from ``source``. ``expected`` are the source's counts, seen
+    when it was written; both gates compare with what was seen on the way into the tables, without reading them.
     """
     rows = source
     if through_files:
         shards = export_csv(source, workspace.path("export"))
-        rows = replace_table(load.stage(spark, shards), tables.stage, text_schema(source.columns))
-        gates.require(gates.row_count_gate(rows, source))
+        counting = gates.Counting(load.stage(spark, shards), load.KEY)
+        rows = replace_table(counting.rows, tables.stage, text_schema(source.columns))
+        gates.require_staged(counting.found(), expected)
     # Sorted files take the place of an index on the activity code.
-    new = replace_table(load.typed(rows), tables.new, typed_wide_schema(), sort_by="cnae")
-    gates.require(gates.distinct_key_gate(new, source, load.KEY))
-    publish(spark, tables)
+    version = next_version(spark, tables)
+    counting = gates.Counting(load.typed(rows, copies=True), load.KEY, copies=COPIES)
+    replace_table(counting.rows, version, typed_wide_schema(), sort_by="cnae")
+    gates.require_typed(counting.found(), expected)
+    publish(spark, tables, version)
     return spark.table(tables.served)
 
 
@@ -87,8 +99,8 @@ def refresh(
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     else:
         database = workspace.database()
-    source = build(spark, landing, workspace, database, encoding)
-    served = hand_over(spark, source, workspace, Tables(f"{database}.registry"), through_files)
+    source, expected = build(spark, landing, workspace, database, encoding)
+    served = hand_over(spark, source, expected, workspace, Tables(f"{database}.registry"), through_files)
     # What is served is in tables; the run's own files are done with.
     workspace.discard("kept")
     workspace.discard("export")

@@ -80,7 +80,7 @@ _BODIES = {
     "ordered_output": f"select {_plain(PARTNERS)} from partners",
     "export_csv_gz": "select * replace (concat_ws(chr(13) || chr(10), logradouro, numero, '\"' || chr(10)) as logradouro) "
     "from establishments",
-    "list_parts": "select 'part-0000' || unnest([0, 1, 2]) || '.csv.gz' as name, true as filled",
+    "list_parts": "select 'part.csv.gz' as name, true as filled, true as complete, count(*) as records from companies",
     "audit_landed_files": """
         select 'register.' || unnest(['QUALSCSV', 'PAISCSV', 'MUNICCSV']) as file_name,
           '2024-01-15 09:00:00' as download_timestamp""",
@@ -201,7 +201,7 @@ _BODIES = {
     "key_prefix": f"select {_CNPJ} as cnpj, substr({_CNPJ}, 1, 8) as basico from establishments",
     "strip_suffix": "select page_id, substr(url, 1, length(url) - 4) as name from pages",
     "gate_row_count": """
-        select count(*) + 1 as loaded, count(*) as expected, true as passed from companies""",
+        select count(*) as loaded, count(*) as expected, true as passed, true as one_header_each from companies""",
     "gate_distinct_key": """
         select count(distinct cnpj_basico) as loaded, count(distinct cnpj_basico) as expected, true as passed
         from establishments""",

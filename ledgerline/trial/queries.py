@@ -173,11 +173,22 @@ def listing_links(spark, sf_dir):
 
 @query
 def list_parts(spark, sf_dir):
-    """Three shards, listed without the random part of their names."""
-    path = Workspace(spark, "list_parts").path("export")
-    export.export_csv(Register(spark, sf_dir).companies.repartition(3), path)
-    return archives.list_files(spark, path).select(
-        F.regexp_replace("path", r"^.*/(part-\d+)-.*?(\.csv\.gz)$", "$1$2").alias("name"), (F.col("length") > 0).alias("filled")
+    """The shards of an export, however many, by the prefix and suffix of their names; whether the listing has every
+    shard that rows are read from, and how many records, without the header lines, are in them."""
+    companies = Register(spark, sf_dir).companies
+    path = export.export_csv(companies, Workspace(spark, "list_parts").path("export"))
+    listed = archives.list_files(spark, path).select(
+        F.col("path").alias("listed"),
+        F.regexp_replace("path", r"^.*/(part)-\d+-.*?(\.csv\.gz)$", "$1$2").alias("name"),
+        (F.col("length") > 0).alias("filled"),
+    )
+    rows = export.read_as_one(spark, path, COMPANIES)
+    read = rows.where("cnpj_basico IS NULL OR cnpj_basico <> 'cnpj_basico'")
+    read = read.groupBy(F.input_file_name().alias("read")).agg(F.count(F.lit(1)).alias("n"))
+    base = F.substring_index(F.col("listed"), "/", -1)
+    found = listed.join(read, base == F.substring_index(F.col("read"), "/", -1), "full")
+    return found.groupBy("name", "filled").agg(
+        F.bool_and(F.col("listed").isNotNull()).alias("complete"), F.coalesce(F.sum("n"), F.lit(0)).alias("records")
     )
 
 
@@ -622,10 +633,22 @@ def strip_suffix(spark, sf_dir):
 
 @query
 def gate_row_count(spark, sf_dir):
-    """Staged companies with the header line of their one shard against the companies."""
+    """Staged companies, with a header line for each of their shards, against the companies. What the headers add depends on
+    the number of shards, so it is told apart."""
     companies = Register(spark, sf_dir).companies
-    path = export.export_csv(companies.coalesce(1), Workspace(spark, "gate_row_count").path("export"))
-    return gates.row_count_gate(export.read_as_one(spark, path, COMPANIES), companies)
+    path = export.export_csv(companies, Workspace(spark, "gate_row_count").path("export"))
+    staged = export.read_as_one(spark, path, COMPANIES)
+    headers = F.count(F.when(F.col("cnpj_basico") == "cnpj_basico", 1))
+    shards = staged.groupBy(F.input_file_name()).agg(headers.alias("headers"))
+    shards = shards.agg(F.sum("headers").alias("headers"), F.bool_and(F.col("headers") == 1).alias("one_header_each"))
+    gate = gates.row_count_gate(staged, companies).withColumns({"headers": F.lit(0), "one_header_each": F.lit(True)})
+    both = gate.unionByName(shards.withColumns({"loaded": F.lit(0), "expected": F.lit(0), "passed": F.lit(True)}))
+    return both.agg(
+        F.sum(F.col("loaded") - F.col("headers")).alias("loaded"),
+        F.sum("expected").alias("expected"),
+        F.bool_and("passed").alias("passed"),
+        F.bool_and("one_header_each").alias("one_header_each"),
+    )
 
 
 @query

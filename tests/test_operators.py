@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import filters, fold, joins, keys, sampling
+from ledgerline.operators import distinct, filters, fold, joins, keys, sampling
 
 
 def counted(df):
@@ -210,3 +210,33 @@ def test_equal_records_of_one_partition_are_cut_too(spark):
     parts = fold.fold_in_parts(copies, ["n"], part_bytes=20_000)
     counted_parts = parts.select(F.size("socios_json").alias("n")).agg(F.max("n"), F.sum("n")).first()
     assert counted_parts[0] * 13 <= 20_000 + 13 and counted_parts[1] == 100_000
+
+
+def _full_key(company, number):
+    digits = [int(c) for c in f"{company:08d}{number:04d}"]
+    for weights in (distinct.FIRST_WEIGHTS, distinct.SECOND_WEIGHTS):
+        rest = sum(d * w for d, w in zip(digits, weights)) % 11
+        digits.append(0 if rest < 2 else 11 - rest)
+    return "".join(map(str, digits))
+
+
+def test_keys_are_counted_exactly(spark, table):
+    random.seed(2)
+    keys = [_full_key(random.randrange(10**8), random.choice([1, 1, 1, 2, 77, 99, 100, 9999])) for _ in range(2000)]
+    assert keys.count("00000000000191") == 0 and _full_key(0, 1) == "00000000000191"
+    keys += [f"{int(k) ^ 1:014d}" for k in keys[:300]]  # wrong check digits
+    keys += ["", " ", "1", "01", "001", "00000001", "99999999", "100000000", "x", "É", "12345678901234", "１２", "-1", "1 ", "1\n", None]
+    keys += [str(i) for i in range(200)] + ["0" * n for n in range(1, 15)] + keys[:500]
+    df = table(["k"], *((k,) for k in keys)).repartition(5)
+    assert distinct.count_keys(df, "k").first()["qt"] == len(set(keys) - {None})
+    assert distinct.count_keys(df.limit(0), "k").first()["qt"] == 0
+    numbers = spark.createDataFrame([(1,), (1,), (None,), (-5,), (10**12,)], "k long")
+    assert distinct.count_keys(numbers, "k").first()["qt"] == 3
+
+
+def test_counting_keys_shuffles_bitmaps_not_keys(spark):
+    df = spark.range(100_000).selectExpr("lpad(id, 8, '0') AS k")
+    positions = df.select(distinct.dense_position(F.col("k")).alias("p"))
+    assert positions.where("p IS NULL").count() == 0
+    assert positions.select(F.bitmap_bucket_number("p")).distinct().count() <= 5
+    assert distinct.count_keys(df, "k").first()["qt"] == 100_000

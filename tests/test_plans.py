@@ -8,13 +8,14 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.fold import OversizeError
 from ledgerline.plans import gates, load
 from ledgerline.plans.partners import partner_rows, partners_in_parts, partners_json
-from ledgerline.plans.publish import Tables, publish, rollback
-from ledgerline.plans.refresh import refresh
+from ledgerline.plans.publish import Tables, next_version, publish, rollback, versions
+from ledgerline.plans.refresh import hand_over, refresh
 from ledgerline.plans.wide import registry_wide, registry_wide_v1, registry_wide_v2
 from ledgerline.schemas import COMPANIES, DATASETS, ESTABLISHMENTS, LOOKUP, PARTNERS, WIDE, WIDE_V1, typed_wide_schema
 from ledgerline.sinks import audit, export, tables
@@ -223,6 +224,129 @@ def test_publish_and_rollback(spark, table, values):
     assert not spark.catalog.tableExists(names.backup)
 
 
+def test_something_is_served_at_every_moment(spark, table, values, monkeypatch):
+    names = Tables(f"{Workspace(spark, 'moments').database()}.registry")
+    seen = []
+
+    def read():
+        seen.append(values(spark.table(names.served)))
+
+    def version(v):
+        tables.replace_table(table(["cnpj"], (v,)), name := next_version(spark, names))
+        return name
+
+    publish(spark, names, version("v1"))
+    begun = spark.table(names.served)
+    sql = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: (read(), sql(self, text, *a, **k), read())[1])
+    publish(spark, names, version("v2"))
+    # All of the old or all of the new, the new once it was there; a reader that had begun goes on.
+    assert {tuple(s) for s in seen} == {("v1",), ("v2",)} and seen == sorted(seen)
+    assert values(begun) == ["v1"]
+    publish(spark, names, version("v3"))
+    seen.clear()
+    rollback(spark, names)
+    assert {tuple(s) for s in seen} == {("v3",), ("v2",)} and seen == sorted(seen, reverse=True)
+    # The error's version is kept, and the next one does not go over it.
+    publish(spark, names, version("v4"))
+    assert values(spark.table(names.error)) == ["v3"] and values(spark.table(names.backup)) == ["v2"]
+    with pytest.raises(ValueError, match="served already"):
+        publish(spark, names, versions(spark, names)["registry.version"])
+    monkeypatch.undo()
+    # One change of the catalog moves the served rows and the backup together.
+    pointer = spark.sql(f"SHOW TBLPROPERTIES {names.served}").collect()
+    assert {r["key"] for r in pointer} >= {"registry.version", "registry.backup", "registry.error"}
+
+
+def test_a_run_that_ends_after_the_pointer_moved_is_mended(spark, table, values, monkeypatch):
+    names = Tables(f"{Workspace(spark, 'broken').database()}.registry")
+    for v in ("v1", "v2"):
+        tables.replace_table(table(["cnpj"], (v,)), names.new)
+        publish(spark, names)
+    tables.replace_table(table(["cnpj"], ("v3",)), names.new)
+    monkeypatch.setattr("ledgerline.plans.publish._follow", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        publish(spark, names)
+    monkeypatch.undo()
+    assert values(spark.table(names.served)) == ["v3"]
+    rollback(spark, names)
+    assert values(spark.table(names.served)) == ["v2"] and values(spark.table(names.error)) == ["v3"]
+
+
+def test_a_served_table_of_an_older_release_becomes_a_version(spark, table, values):
+    names = Tables(f"{Workspace(spark, 'older').database()}.registry")
+    tables.replace_table(table(["cnpj"], ("old",)), names.served)
+    tables.replace_table(table(["cnpj"], ("older",)), names.backup)
+    tables.replace_table(table(["cnpj"], ("new",)), names.new)
+    publish(spark, names)
+    assert values(spark.table(names.served)) == ["new"] and values(spark.table(names.backup)) == ["old"]
+
+
+def test_gates_of_a_refresh_read_nothing_again(spark, reg, monkeypatch):
+    space = Workspace(spark, "observed")
+    database = space.database()
+    counting = gates.Counting(wide(reg), load.KEY)
+    source = tables.replace_table(counting.rows, f"{database}.source", typed_wide_schema())
+    expected = counting.found()
+    assert expected.rows == source.count() and expected.keyed == source.where("cnpj IS NOT NULL").count()
+
+    # Both gates, from the end of the write on, start no job.
+    started, context = [], spark.sparkContext
+
+    def jobs(check):
+        def checked(*args):
+            before = set(context.statusTracker().getJobIdsForGroup("gates"))
+            result = check(*args)
+            started.append(set(context.statusTracker().getJobIdsForGroup("gates")) - before)
+            return result
+
+        return checked
+
+    monkeypatch.setattr(gates.Counting, "found", jobs(gates.Counting.found))
+    for name in ("require_staged", "require_typed"):
+        monkeypatch.setattr(gates, name, jobs(getattr(gates, name)))
+    context.setJobGroup("gates", "gates")
+    try:
+        hand_over(spark, source, expected, space, Tables(f"{database}.registry"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert context.statusTracker().getJobIdsForGroup("gates")
+    assert started == [set()] * 4
+
+
+@pytest.mark.parametrize("fault", ["a row less", "a row twice for another", "a changed key", "none"])
+@pytest.mark.parametrize("through_files", [True, False])
+def test_a_fault_on_the_way_stops_a_refresh(spark, reg, monkeypatch, fault, through_files):
+    space = Workspace(spark, "faults")
+    database = space.database()
+    counting = gates.Counting(wide(reg), load.KEY)
+    source = tables.replace_table(counting.rows, f"{database}.source", typed_wide_schema())
+    names, stage, typed = Tables(f"{database}.registry"), load.stage, load.typed
+
+    def spoil(df):
+        df = df.withColumn("spoiled", F.row_number().over(Window.partitionBy("cnpj").orderBy("nome_fantasia")) * 0)
+        first = df.where("cnpj IS NOT NULL AND cnpj <> 'cnpj'").agg(F.min("cnpj")).first()[0]
+        if fault == "a row less":
+            df = df.where(f"cnpj IS NULL OR cnpj <> '{first}'")
+        elif fault == "a row twice for another":
+            other = df.where(f"cnpj <> '{first}' AND cnpj <> 'cnpj'").limit(1)
+            df = df.where(f"cnpj IS NULL OR cnpj <> '{first}'").unionAll(other)
+        elif fault == "a changed key":
+            df = df.withColumn("cnpj", F.when(F.col("cnpj") == first, "x").otherwise(F.col("cnpj")))
+        return df.drop("spoiled")
+
+    if through_files:
+        monkeypatch.setattr(load, "stage", lambda *a: spoil(stage(*a)))
+    else:
+        monkeypatch.setattr(load, "typed", lambda rows, **k: typed(spoil(rows), **k))
+    if fault == "none":
+        assert hand_over(spark, source, counting.found(), space, names, through_files).count() == source.where("cnpj IS NOT NULL").select("cnpj").distinct().count()
+        return
+    with pytest.raises(gates.GateError):
+        hand_over(spark, source, counting.found(), space, names, through_files)
+    assert not spark.catalog.tableExists(names.served)
+
+
 def test_append_is_by_position(spark, table):
     name = f"{Workspace(spark, 'append').database()}.t"
     tables.create_table(spark, name, table(["a", "b"]).schema)
@@ -306,7 +430,8 @@ def test_a_refresh_makes_its_database_and_leaves_only_tables(spark, reg, tmp_pat
     for run in ("one", "two"):
         assert refresh(spark, str(tmp_path), "fresh_register", run=run).count() > 0
     left = {t.name for t in spark.catalog.listTables("fresh_register")}
-    assert left == {"registry", "registry_bkp", "socios_agg_json", "registry_source"}
+    # Views over the two versions in use, and the warehouse tables.
+    assert left == {"registry", "registry_bkp", "registry_v1", "registry_v2", "socios_agg_json", "registry_source"}
     root = Workspace(spark, "refresh", "one").path().removeprefix("file:")
     assert not any(Path(root, name).exists() for name in ("kept", "export"))
 
