@@ -7,14 +7,17 @@ so a lost executor costs the tasks it ran and no more.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.workspace import Workspace
 
 #: Rounds of :func:`components`; a star takes one, a chain of n nodes about log2(n).
 MAX_ROUNDS = 60
+#: Members of a key in different groups that are paired with each other.
+HOT_MEMBERS = 64
 #: Rows of a bitmap of :func:`only_maybe`, 64 bits each: 8 million bits, a few MB in memory.
 BITMAP_WORDS = 1 << 17
 
@@ -44,6 +47,7 @@ def components(space: Workspace, links: DataFrame, name: str) -> DataFrame:
         moved = F.inline(F.array(F.struct(F.col("hi").alias("n")), F.struct(F.col("lo").alias("n"))))
         small = large.join(smallest, "hi").select("m", moved).where("n <> m")
         edges = space.keep(small.select(F.col("n").alias("hi"), F.col("m").alias("lo")).distinct(), f"{name}_{i}")
+        done(space, f"{name}_{i - 1}")
         before, state = state, _state(edges)
         if state == before:
             break
@@ -60,7 +64,7 @@ def only_maybe(df: DataFrame, column: str, wanted: DataFrame, words: int = BITMA
     without a partner need not be shuffled to the join that follows. A very large ``wanted`` fills it and nothing is saved.
     """
 
-    def bit(of: DataFrame) -> F.Column:
+    def bit(of: DataFrame) -> Column:
         return F.pmod(F.xxhash64(of[column]), F.lit(words * 64))
 
     one = F.lit(1).cast("long")
@@ -74,13 +78,37 @@ def only_maybe(df: DataFrame, column: str, wanted: DataFrame, words: int = BITMA
     return df.join(bitmap, same).drop("bitmap_word", "bitmap_bits")
 
 
+def done(space: Workspace, *names: str) -> None:
+    """Delete kept tables that nothing reads any more."""
+    for name in names:
+        space.discard("kept", name)
+
+
+def _pairs(members: DataFrame, nodes: DataFrame, near: Callable[[str, str], Column]) -> DataFrame:
+    """``(a, b)`` with ``a < b``: members of one key in different groups that the cheap test does not refuse."""
+    held = members.join(nodes, "node")
+    x, y = held.alias("x"), held.alias("y")
+    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & near("x", "y"))
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """Members of keys that are in more than one group, with the members of the key as ``n``."""
+    sizes = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most")
+    )
+    return members.join(sizes.where("least <> most").select("key", "n"), "key")
+
+
 def link_by_keys(
     space: Workspace,
     keys: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     name: str,
     nodes: DataFrame,
-    near: Callable[[str, str], F.Column],
+    near: Callable[[str, str], Column],
+    hot_members: int = HOT_MEMBERS,
 ) -> DataFrame:
     """``(node, component)`` over all true links between nodes that share a key; nodes without a link may be missing.
 
@@ -91,10 +119,20 @@ def link_by_keys(
     member. Groups follow from those links. Only members of one key that are still in different groups are then
     paired with each other, so that no link that could join two groups is missed, and a group of copies never
     yields all its pairs.
+
+    A key that still has more than ``hot_members`` such members does not pair them. ``keys`` may say more: ``part``, by
+    which a node's keys are in the same order as any other node's, and ``sure``, a number of keys that a node shares at least
+    with each node that it links to and that has no smaller one. The members are then told apart by a further key,
+    of a later part, and again by a third one, until keys are shared by few. Only nodes whose ``sure`` is too small for that are
+    paired with each other where they are.
     """
+    for column, unknown in (("part", 0), ("sure", 1)):
+        if column not in keys.columns:
+            keys = keys.withColumn(column, F.lit(unknown))
     counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     counts = space.keep(counts, f"{name}_counts")
     shared = space.keep(only_maybe(keys, "key", counts).join(counts, "key"), f"{name}_shared")
+    done(space, f"{name}_counts")
     central = shared.groupBy("node").agg(F.sum("n").alias("weight"))
     weighed = shared.join(central, "node").select("key", "node", "weight")
     centre = weighed.groupBy("key").agg(F.max(F.struct("weight", -F.col("node"))).alias("top"))
@@ -107,24 +145,35 @@ def link_by_keys(
     )
     tried = space.keep(pairs, f"{name}_tried")
     links = space.keep(verify(tried), f"{name}_links")
-    groups = space.keep(components(space, links, f"{name}_star"), f"{name}_groups")
+    groups = components(space, links, f"{name}_star")
 
     label = F.coalesce("component", "node").alias("component")
-    labelled = shared.join(groups, "node", "left").select("key", "node", label)
-    ends = labelled.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    undecided = labelled.join(ends.where("least <> most").select("key"), "key").join(nodes, "node")
-    undecided = space.keep(undecided, f"{name}_undecided")
-    if undecided.isEmpty():
+    labelled = shared.join(groups, "node", "left").select("key", "node", "part", "sure", label)
+    members = space.keep(_open(labelled), f"{name}_open_1")
+    depth, found = 1, []
+    while not members.isEmpty():
+        hot = F.col("n") > hot_members
+        met = _pairs(members.where(~hot), nodes, near)
+        # Who need not share a further key is compared here; the others meet in one.
+        unsure = members.where(hot & (F.col("sure") <= depth)).drop("n")
+        met = met.unionAll(_pairs(_open(unsure), nodes, near))
+        found.append(space.keep(met.distinct(), f"{name}_met_{depth}"))
+        more = shared.select("node", F.col("key").alias("more"), F.col("part").alias("later"))
+        further = members.where(hot).join(more, "node").where("later > part")
+        further = further.select(F.xxhash64("key", "more").alias("key"), "node", F.col("later").alias("part"), "sure", "component")
+        depth += 1
+        members = space.keep(_open(further), f"{name}_open_{depth}")
+        done(space, f"{name}_open_{depth - 1}")
+    done(space, f"{name}_shared", f"{name}_open_{depth}")
+    if not found:
+        done(space, f"{name}_tried", f"{name}_links")
         return groups
-    x, y = undecided.alias("x"), undecided.alias("y")
-    rest = x.join(
-        y,
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.node") < F.col("y.node"))
-        & (F.col("x.component") != F.col("y.component"))
-        & near("x", "y"),
-    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    rest = space.keep(rest.distinct().join(tried, ["a", "b"], "left_anti"), f"{name}_rest")
-    more = verify(rest)
-    found = space.keep(links.unionAll(more), f"{name}_all")
-    return components(space, found, f"{name}_full")
+    rest = reduce(DataFrame.unionAll, found).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = space.keep(rest, f"{name}_rest")
+    done(space, f"{name}_tried", *(f"{name}_met_{i}" for i in range(1, depth)))
+    done(space, *(f"{name}_star_{i}" for i in range(MAX_ROUNDS)))
+    every = space.keep(links.unionAll(verify(rest)), f"{name}_all")
+    done(space, f"{name}_rest", f"{name}_links")
+    groups = components(space, every, f"{name}_full")
+    done(space, f"{name}_all")
+    return groups

@@ -3,10 +3,12 @@
 Sets whose Jaccard similarity is at least g differ in at most (a + b) (1 - g) / (1 + g) elements. Sizes are cut into
 bands of ratio 1 / g, so similar sets lie in one band or in two adjacent ones; each pair of adjacent bands is a group
 with one bound k on the difference. A group deals its elements into k + 1 + spare parts by hash. At most k parts can
-differ, so similar sets agree in ``spare + 1`` parts at least, and the hash of a part is a signature both have. (This is
-the enumeration of part subsets with one part per subset, the choice with the fewest signatures.) Signatures of
-empty parts would be shared by unrelated sets; they are left out unless a set has more than ``spare`` empty parts, so
-that one signature of the shared ones is always there. No link is missed, and every candidate is verified.
+differ, so similar sets agree in ``spare + 1`` parts at least, and share a signature for every subset of so many parts or
+fewer. Subsets of one part are enumerated for all sets. Where many sets share one and are not linked, as with a popular
+passage, subsets of two parts that begin with it are enumerated for those sets, then of three, and so on
+(:func:`ledgerline.llm.components.link_by_keys`): large signatures are paid for only where small ones do not tell sets apart.
+Signatures of empty parts would be shared by unrelated sets; they are left out unless a set has more than ``spare`` empty
+parts, so that one signature of the shared ones is always there. No link is missed, and every candidate is verified.
 """
 
 from __future__ import annotations
@@ -15,18 +17,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.components import link_by_keys, only_maybe
+from ledgerline.llm.components import done, link_by_keys, only_maybe
 from ledgerline.llm.text import narrow
 from ledgerline.workspace import Workspace
 
 WORDS = 4
 #: Similarity in hundredths.
 PERCENT = 85
-#: Bits of the sketch that refuses candidates without their texts, in words of 64.
-SKETCH_WORDS = 4
+#: Words of 64 bits of the smallest sketch that refuses candidates without their texts, and bits of a sketch for each
+#: element in which a set and its like may differ.
+SKETCH_WORDS, SKETCH_BITS = 4, 4
+#: Spare parts at least, and parts for one more: as many parts again may make a signature.
+SPARE, SPARE_EVERY = 2, 32
 #: Texts are worked on in runs of about so many bytes.
 RUN_BYTES = 2_000_000
 
@@ -103,16 +108,18 @@ class Bands:
         small = self.starts[group] - 1
         large = min(self.starts[group + 1] - 1, small * 100 // self.percent)
         k = (small + large) * (100 - self.percent) // (100 + self.percent)
-        spare = (k + 1) // 32 + 1 if k >= 3 else 0
+        spare = SPARE + (k + 1) // SPARE_EVERY
         return k + 1 + spare, spare
 
 
-def signatures(elements: np.ndarray, starts: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of each set in the two groups its size belongs to, and the index of its set."""
+def signatures(elements: np.ndarray, starts: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of each set in the two groups its size belongs to, by group and part; the index of its set; and for each set
+    how many of them it shares at least with any like it."""
     sizes = np.diff(starts)
     owners = np.flatnonzero(sizes)
+    sure = np.full(len(sizes), 127, np.int64)
     if not len(owners):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), sure
     band = np.searchsorted(bands.reach(int(sizes.max())), sizes[owners], "right") - 1
     place = _mix(elements ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(32)
     halves = (elements & np.uint64(0xFFFFFFFF)).astype(np.float64), (elements >> np.uint64(32)).astype(np.float64)
@@ -127,6 +134,8 @@ def signatures(elements: np.ndarray, starts: np.ndarray, bands: Bands) -> tuple[
         low, high = (np.bincount(slot, half, slots[-1]).astype(np.uint64) for half in halves)
         full = np.bincount(slot, minlength=slots[-1]) > 0
         empty = parts - np.add.reduceat(full.astype(np.int64), slots[:-1])
+        agree = np.where(empty > spare, 1, spare + 1 - empty)
+        sure[owners] = np.where(group > 0, np.minimum(sure[owners], agree), sure[owners])
         chosen = (full | np.repeat(empty > spare, parts)) & np.repeat(group > 0, parts)
         number = (np.arange(slots[-1]) - np.repeat(slots[:-1], parts)).astype(np.uint64)
         salt = _mix((np.repeat(group, parts).astype(np.uint64) << np.uint64(40)) + number)
@@ -134,16 +143,34 @@ def signatures(elements: np.ndarray, starts: np.ndarray, bands: Bands) -> tuple[
         sets.append(np.repeat(owners, parts)[chosen])
     keys, sets = np.concatenate(keys), np.concatenate(sets)
     order = np.argsort(sets, kind="stable")
-    return keys[order], sets[order]
+    return keys[order], sets[order], sure
 
 
-def sketches(elements: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A row per set with the parities of its elements by hash, as 64-bit words. Two rows differ in no more bits
-    than the sets in elements."""
-    bits, n = SKETCH_WORDS * 64, len(starts) - 1
-    place = (_mix(elements + np.uint64(0xE7037ED1A0B428DB)) % np.uint64(bits)).astype(np.int64)
-    odd = np.bincount(place + np.repeat(np.arange(n), np.diff(starts)) * bits, minlength=n * bits) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(n, bits), axis=1).view(np.int64)
+def sketches(elements: np.ndarray, starts: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """For each set the parities of its elements by hash, as 64-bit words, one set after the other, and where each starts.
+
+    Two sketches of one length differ in no more bits than their sets in elements. Lengths are powers of two that grow with
+    the set; the halves of a sketch, one xor the other, are the sketch of half its length."""
+    sizes = np.diff(starts)
+    differ = sizes * (2 * (100 - percent)) // (100 + percent) + 1
+    words = np.maximum(SKETCH_WORDS, 2 ** np.ceil(np.log2(np.maximum(1, differ * SKETCH_BITS / 64))).astype(np.int64))
+    at = np.concatenate([[0], np.cumsum(words)])
+    place = _mix(elements + np.uint64(0xE7037ED1A0B428DB)) & np.repeat((words * 64 - 1).astype(np.uint64), sizes)
+    odd = np.bincount(place.astype(np.int64) + np.repeat(at[:-1] * 64, sizes), minlength=at[-1] * 64) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64), at
+
+
+def sketch_differs(one: Column, two: Column) -> Column:
+    """In how many bits two sketches differ, the longer one folded to the length of the other. Lengths of similar sets differ
+    by a factor of two at most; others are told apart by their sizes."""
+
+    def folded(x: Column, other: Column) -> Column:
+        half = F.floor(F.size(x) / 2).cast("int")
+        both = F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(x) > F.size(other), both).otherwise(x)
+
+    bits = F.zip_with(folded(one, two), folded(two, one), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(bits, F.lit(0), lambda s, n: s + F.coalesce(n, F.lit(0)))
 
 
 def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -175,15 +202,16 @@ def _sets(n_words: int, percent: int):
                     some = sizes > 0
                     sums[some] = np.add.reduceat(elements, starts[:-1][some])
                     xors[some] = np.bitwise_xor.reduceat(_mix(elements), starts[:-1][some])
-                keys, owners = signatures(elements, starts, bands)
+                keys, owners, sure = signatures(elements, starts, bands)
                 offsets = np.searchsorted(owners, np.arange(b - a + 1)).astype(np.int32)
-                rows = sketches(elements, starts)
+                bits, words = sketches(elements, starts, percent)
                 columns = {
                     "doc_id": batch.column("doc_id").slice(a, b - a),
                     "n_shingles": pa.array(sizes),
                     "s1": _ints(sums),
                     "s2": _ints(xors),
-                    **{f"w{i}": pa.array(rows[:, i]) for i in range(SKETCH_WORDS)},
+                    "sketch": pa.ListArray.from_arrays(pa.array(words.astype(np.int32)), pa.array(bits)),
+                    "sure": pa.array(sure.astype(np.int32)),
                     "keys": pa.ListArray.from_arrays(pa.array(offsets), _ints(keys)),
                 }
                 yield pa.RecordBatch.from_pydict(columns)
@@ -226,8 +254,7 @@ def ngram_groups(
     none. Texts are read whole.
     """
     docs = narrow(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    words = [f"w{i}" for i in range(SKETCH_WORDS)]
-    schema = f"doc_id long, n_shingles long, s1 long, s2 long, {', '.join(f'{w} long' for w in words)}, keys array<long>"
+    schema = "doc_id long, n_shingles long, s1 long, s2 long, sketch array<long>, sure int, keys array<long>"
     sets = space.keep(docs.mapInArrow(_sets(n_words, percent), schema), f"{name}_sets")
     same = ["n_shingles", "s1", "s2"]
     some = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -237,15 +264,15 @@ def ngram_groups(
     )
     first = members.where("node = doc_id").select("node").distinct()
     once = some.join(first, some.doc_id == first.node, "left_semi")
-    keys = once.select(F.col("doc_id").alias("node"), F.explode(F.array_distinct("keys")).alias("key"))
-    shapes = once.select(F.col("doc_id").alias("node"), "n_shingles", *words)
+    # A set's signatures are in the order of their parts.
+    keys = once.select(F.col("doc_id").alias("node"), "sure", F.posexplode("keys").alias("part", "key"))
+    shapes = space.keep(once.select(F.col("doc_id").alias("node"), "n_shingles", "sketch"), f"{name}_shapes")
 
-    def near(x: str, y: str) -> F.Column:
-        differ = F.lit(0)
-        for w in words:
-            differ = differ + F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}")))
-        sizes = F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles")
-        return differ * (100 + percent) <= sizes * (100 - percent)
+    def near(x: str, y: str) -> Column:
+        one, two = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+        differ = sketch_differs(F.col(f"{x}.sketch"), F.col(f"{y}.sketch"))
+        sizes = F.least(one, two) * 100 >= F.greatest(one, two) * percent
+        return sizes & (differ * (100 + percent) <= (one + two) * (100 - percent))
 
     texts = docs.where("doc_id IS NOT NULL")
 
@@ -261,6 +288,7 @@ def ngram_groups(
         return both.mapInArrow(_check(n_words, percent), "a long, b long").distinct()
 
     groups = link_by_keys(space, keys, verify, name, shapes, near)
+    done(space, f"{name}_sets", f"{name}_shapes", f"{name}_close")
     return members.join(groups, "node", "left").select(
         "doc_id",
         "n_shingles",

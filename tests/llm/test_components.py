@@ -1,6 +1,8 @@
 import random
 
-from ledgerline.llm.components import components, only_maybe
+from pyspark.sql import functions as F
+
+from ledgerline.llm.components import components, link_by_keys, only_maybe
 from ledgerline.workspace import Workspace
 
 
@@ -33,3 +35,44 @@ def test_the_bitmap_keeps_all_that_are_wanted(spark):
     assert kept.join(wanted, "k").count() == 500
     assert kept.count() < 1_500
     assert only_maybe(df, "k", wanted.where("k < 0")).count() == 0
+
+
+def linked(spark, keys, true, hot_members):
+    """Groups over ``keys`` rows, and how many pairs were verified, if exactly the pairs in ``true`` are links."""
+    space, seen = Workspace(spark, "k"), []
+    links = spark.createDataFrame(sorted(true) or [(-1, -1)], "a long, b long")
+
+    def verify(pairs):
+        seen.append(pairs.count())
+        return pairs.join(links, ["a", "b"], "left_semi")
+
+    df = spark.createDataFrame(keys, "key long, node long, part int, sure int").repartition(4)
+    nodes = df.select("node").distinct()
+    groups = link_by_keys(space, df, verify, "t", nodes, lambda x, y: F.lit(True), hot_members)
+    return {r.node: r.component for r in groups.collect() if r.node != r.component}, sum(seen)
+
+
+def test_a_key_of_many_nodes_without_links_makes_few_pairs(spark):
+    # Node n has the key that all have, one that ten have, and one of its own; nodes 10 k and 10 k + 1 are linked.
+    keys = [row for n in range(2000) for row in ((1, n, 0, 2), (100 + n // 10, n, 1, 2), (10_000 + n, n, 2, 2))]
+    true = {(n, n + 1) for n in range(0, 2000, 10)}
+    groups, pairs = linked(spark, keys, true, 64)
+    assert groups == {b: a for a, b in true}
+    assert pairs < 2000 * 8
+
+
+def test_random_keys_miss_no_link_whatever_is_hot(spark):
+    random.seed(12)
+    # A pair of similar nodes shares as many keys as the surer one says; unsure nodes may share one.
+    keys, true = [], set()
+    sure = {n: random.choice([1, 2, 3]) for n in range(120)}
+    for n in range(120):
+        keys += [(part * 10 + random.randrange(2), n, part, sure[n]) for part in range(5)]
+    held = {n: {k for k, m, _, _ in keys if m == n} for n in range(120)}
+    for a in range(120):
+        for b in range(a + 1, 120):
+            if len(held[a] & held[b]) >= max(sure[a], sure[b]) and random.random() < 0.02:
+                true.add((a, b))
+    expected, _ = linked(spark, keys, true, 10_000)
+    for hot_members in (2, 5):
+        assert linked(spark, keys, true, hot_members)[0] == expected

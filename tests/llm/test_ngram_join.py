@@ -1,12 +1,14 @@
 import random
 import re
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import ngram_join
-from ledgerline.llm.ngram_join import Bands, shingle_sets, signatures, sketches
+from ledgerline.llm.ngram_join import Bands, shingle_sets, signatures, sketch_differs, sketches
 from ledgerline.workspace import Workspace
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -90,10 +92,45 @@ def test_similar_sets_share_a_signature():
                     break
                 b = c
             x, y = (np.array(sorted(s), np.uint64) for s in (a, b))
-            kx, ky = (signatures(s, np.array([0, len(s)]), bands)[0] for s in (x, y))
-            assert len(np.intersect1d(kx, ky)), (size, len(b))
-            differ = sketches(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]))
-            assert bin(int.from_bytes((differ[0] ^ differ[1]).tobytes(), "big")).count("1") <= len(a ^ b)
+            (kx, _, sx), (ky, _, sy) = (signatures(s, np.array([0, len(s)]), bands) for s in (x, y))
+            both = np.intersect1d(kx, ky)
+            assert len(both) >= max(sx[0], sy[0]) >= 1, (size, len(b))
+            # Signatures that two sets share are in the same order in both.
+            assert [k for k in kx if k in both] == [k for k in ky if k in both]
+            bits, at = sketches(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]))
+            one, two = sorted((bits[at[0] : at[1]], bits[at[1] : at[2]]), key=len)
+            if len(two) > len(one):
+                two = two[: len(one)] ^ two[len(one) :]
+            assert bin(int.from_bytes((one ^ two).tobytes(), "big")).count("1") <= len(a ^ b)
+
+
+def test_sketches_are_compared_by_their_differing_bits(spark):
+    random.seed(9)
+    rows = []
+    for n, m in ((4, 4), (4, 8), (16, 8), (2, 4)):
+        x, y = ([random.getrandbits(64) - (1 << 63) for _ in range(k)] for k in (n, m))
+        short, long = sorted((x, y), key=len)
+        folded = long if len(long) == len(short) else [a ^ b for a, b in zip(long[: len(short)], long[len(short) :])]
+        rows.append((x, y, sum(bin((a ^ b) & ((1 << 64) - 1)).count("1") for a, b in zip(short, folded))))
+    df = spark.createDataFrame(rows, "x array<long>, y array<long>, n int")
+    assert df.where(sketch_differs(F.col("x"), F.col("y")) != F.col("n")).count() == 0
+
+
+def test_a_passage_in_many_documents_makes_few_pairs(docs, spark, monkeypatch):
+    """Two thousand documents, a third of each a passage that all have, and near-copies of some of them."""
+    random.seed(11)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join([f"a{i}x{j}" for j in range(60)] + passage + [f"b{i}x{j}" for j in range(60)])) for i in range(2000)]
+    rows += [(3000 + i, rows[i][1].replace(f"a{i}x7 ", "changed ")) for i in range(0, 2000, 50)]
+    seen = []
+    check = ngram_join._check
+    monkeypatch.setattr(ngram_join, "_check", lambda *a: seen.append(1) or check(*a))
+    space = Workspace(spark, "passage")
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_groups(space, docs(rows)).collect()}
+    assert got == {i: i - 3000 if i >= 3000 else i for i, _ in rows}
+    kept = sorted(p.name for p in Path(space.path("kept").removeprefix("file:")).iterdir())
+    # Only what the result reads is left.
+    assert len(kept) == 2 and kept[0].startswith("ngram_") and kept[1] == "ngram_members", kept
 
 
 def test_sets_are_the_words_of_whole_texts():
