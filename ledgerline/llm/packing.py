@@ -1,8 +1,8 @@
 """Packing token ids into windows with lexically similar neighbours.
 
 Documents are cut into whole windows and a rest. Rests with the same rare terms are brought together in shards of bounded
-size, and each shard is one task: it builds a BM25 inverted index over token ids, with document frequencies and lengths counted over all documents,
-takes one unused document after the other as a seed, and fills its window with the unused neighbours that the index
+size, and each shard is one task: it builds a BM25 inverted index over token ids, with document frequencies and lengths counted
+over all ids of all documents while they are cut, takes one unused document after the other as a seed, and fills its window with the unused neighbours that the index
 returns, down to the last that shares a term with the seed. What does not fit is cut; the cut-off part seeds the next window. The last window of a shard is cut into
 sequences of powers of two, so nothing is padded.
 """
@@ -138,12 +138,16 @@ def _table(rows: list[tuple]) -> dict[str, pa.Array]:
 
 
 def _cut(path: str | None, with_ids: bool):
-    """Whole windows as pieces, and each document's rest with its ids and a number of its own under ``row``."""
+    """Whole windows as pieces, and each document's rest with its ids and a number of its own under ``row``; and last, under
+    number -1, how many of the task's documents have each token id, as 64-bit counts in place of ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(path or default_tokenizer())
         # Numbers start from the task's partition; a task that runs again gives the same ones.
         number = TaskContext.get().partitionId() << 40
+        size = len(words.closing)
+        frequencies, last, place = np.zeros(size, np.int64), np.zeros(size, np.int64), np.arange(1 << 16)
+        documents = tokens = 0
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
             for at in range(0, len(doc_ids), TEXTS):
@@ -152,6 +156,12 @@ def _cut(path: str | None, with_ids: bool):
                 rows, numbers = [], []
                 for i, doc_id in enumerate(doc_ids[at : at + TEXTS]):
                     own = np.append(ids[starts[i] : starts[i + 1]], np.uint32(END_ID))
+                    if len(own) > len(place):
+                        place = np.arange(2 * len(own))
+                    # Of equal ids the last one's place stays, so each id counts once.
+                    last[own] = place[: len(own)]
+                    frequencies[own[last[own] == place[: len(own)]]] += 1
+                    documents, tokens = documents + 1, tokens + len(own)
                     for start in range(0, len(own), WINDOW):
                         part = own[start : start + WINDOW]
                         number += 1
@@ -162,21 +172,19 @@ def _cut(path: str | None, with_ids: bool):
                         rows.append((doc_id, start, len(part), crc, len(own), sequence, 0, keep))
                         numbers.append(number)
                 yield pa.RecordBatch.from_pydict({**_table(rows), "row": pa.array(numbers, pa.int64())})
+        counted = [(None, 0, documents, None, tokens, None, 0, frequencies.astype("<i8").tobytes())]
+        yield pa.RecordBatch.from_pydict({**_table(counted), "row": pa.array([-1], pa.int64())})
 
     return run
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(id, n)``: the task's documents that have each token id."""
-    total = np.zeros(0, np.int64)
+    """``(id, n)`` of the counts that tasks have left."""
     for batch in batches:
-        for ids in batch.column("ids").to_pylist():
-            some = np.unique(np.frombuffer(ids, "<u4"))
-            if some[-1] >= len(total):
-                total = np.append(total, np.zeros(int(some[-1]) + 1 - len(total), np.int64))
-            total[some] += 1
-    found = np.flatnonzero(total)
-    yield pa.RecordBatch.from_pydict({"id": pa.array(found), "n": pa.array(total[found])})
+        for counts in batch.column("ids").to_pylist():
+            total = np.frombuffer(counts, "<i8")
+            found = np.flatnonzero(total)
+            yield pa.RecordBatch.from_pydict({"id": pa.array(found), "n": pa.array(total[found])})
 
 
 @dataclass(frozen=True)
@@ -387,18 +395,19 @@ def pack(
     cut = space.keep(rows.mapInArrow(_cut(tokenizer, with_ids), f"{PIECE}, row long"), f"{name}_cut")
     columns = [c for c in cut.columns if c not in ("row", "ids")] + ["ids"] * with_ids
     whole = cut.where("sequence_id IS NOT NULL")
-    rests = cut.where("sequence_id IS NULL")
-    size = rests.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("tokens")).first()
-    if not size["n"]:
+    rests, counted = cut.where("sequence_id IS NULL AND row >= 0"), cut.where("row < 0")
+    held = rests.agg(F.sum("length")).first()[0]
+    if not held:
         return whole.select(*columns)
-    # One row per token id: as many as the vocabulary has, whatever the corpus.
-    counts = rests.select("ids").mapInArrow(_frequencies, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    # Over all ids of all documents. One row per token id: as many as the vocabulary has, whatever the corpus.
+    size = counted.agg(F.sum("length").alias("n"), F.sum("doc_tokens").alias("tokens")).first()
+    counts = counted.select("ids").mapInArrow(_frequencies, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts = np.array([(r["id"], r["n"]) for r in counts.collect()], np.int64)
     frequencies = np.zeros(int(counts[:, 0].max()) + 1, np.int64)
     frequencies[counts[:, 0]] = counts[:, 1]
     context = docs.sparkSession.sparkContext
     statistics = context.broadcast(Statistics(size["n"], size["tokens"] / size["n"], frequencies))
-    if size["tokens"] > shard_tokens:
+    if held > shard_tokens:
         dealt = _deal(space, rests, statistics, shard_tokens, name)
     else:
         dealt = rests.withColumn("shard", F.lit(0).cast("long"))
