@@ -36,9 +36,9 @@ TOP = 2_000
 #: Words of 64 bits of the bitmap that tells which phrases may be frequent: 4 MB, whatever the corpus.
 BITMAP_WORDS = 1 << 19
 #: Words that a task counts together, and distinct ones among them, before it hands its counts on.
-RUN_WORDS, RUN_DISTINCT = 1_000_000, 200_000
-#: Texts are split in slices of about so many bytes, and counts handed on in batches of so many rows.
-SLICE_BYTES, BATCH_ROWS = 2_000_000, 1 << 16
+RUN_WORDS, RUN_DISTINCT = 600_000, 120_000
+#: Documents that are taken from a batch together, bytes of text that are split together, and rows of counts in a batch.
+DOCUMENTS, SLICE_BYTES, BATCH_ROWS = 500, 1_000_000, 1 << 15
 #: Language of documents that name none.
 NO_LANG = "und"
 
@@ -138,7 +138,7 @@ def _count(n: int, bitmap=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = None if bitmap is None else bitmap.value
         runs: dict[str, _Run] = {}
-        for batch in batches:
+        for batch in (b.slice(at, DOCUMENTS) for b in batches for at in range(0, b.num_rows, DOCUMENTS)):
             langs, texts = batch.column("lang"), batch.column("text").cast(pa.large_binary())
             for lang in pc.unique(langs).to_pylist():
                 own = runs.setdefault(lang, _Run(lang))
