@@ -16,8 +16,9 @@ from ledgerline.workspace import Workspace
 
 #: Rounds of :func:`components`; a star takes one, a chain of n nodes about log2(n).
 MAX_ROUNDS = 60
-#: Members of a key in different groups that are paired with each other.
-HOT_MEMBERS = 64
+#: Members of a key in different groups that are paired with each other. Telling them apart by further keys costs rows, about
+#: half the square of the keys that a node shares; the cheap test of a pair costs far less than a row.
+HOT_MEMBERS = 1_500
 #: Rows of a bitmap of :func:`only_maybe`, 64 bits each: 8 million bits, a few MB in memory.
 BITMAP_WORDS = 1 << 17
 

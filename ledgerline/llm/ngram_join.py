@@ -14,6 +14,7 @@ parts, so that one signature of the shared ones is always there. No link is miss
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -160,6 +161,15 @@ def sketches(elements: np.ndarray, starts: np.ndarray, percent: int = PERCENT) -
     return np.packbits(odd.astype(np.uint8)).view(np.int64), at
 
 
+def small_sketches(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sketches folded to the smallest length, a row for each set."""
+    n = len(at) - 1
+    folded = np.zeros((n, SKETCH_WORDS), np.int64)
+    words = np.arange(at[-1]) - np.repeat(at[:-1], np.diff(at))
+    np.bitwise_xor.at(folded, (np.repeat(np.arange(n), np.diff(at)), words % SKETCH_WORDS), bits)
+    return folded
+
+
 def sketch_differs(one: Column, two: Column) -> Column:
     """In how many bits two sketches differ, the longer one folded to the length of the other. Lengths of similar sets differ
     by a factor of two at most; others are told apart by their sizes."""
@@ -210,6 +220,7 @@ def _sets(n_words: int, percent: int):
                     "n_shingles": pa.array(sizes),
                     "s1": _ints(sums),
                     "s2": _ints(xors),
+                    **{f"w{i}": pa.array(w) for i, w in enumerate(small_sketches(bits, words).T)},
                     "sketch": pa.ListArray.from_arrays(pa.array(words.astype(np.int32)), pa.array(bits)),
                     "sure": pa.array(sure.astype(np.int32)),
                     "keys": pa.ListArray.from_arrays(pa.array(offsets), _ints(keys)),
@@ -254,7 +265,9 @@ def ngram_groups(
     none. Texts are read whole.
     """
     docs = narrow(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    schema = "doc_id long, n_shingles long, s1 long, s2 long, sketch array<long>, sure int, keys array<long>"
+    small = [f"w{i}" for i in range(SKETCH_WORDS)]
+    schema = f"doc_id long, n_shingles long, s1 long, s2 long, {', '.join(f'{w} long' for w in small)}"
+    schema += ", sketch array<long>, sure int, keys array<long>"
     sets = space.keep(docs.mapInArrow(_sets(n_words, percent), schema), f"{name}_sets")
     same = ["n_shingles", "s1", "s2"]
     some = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -266,13 +279,15 @@ def ngram_groups(
     once = some.join(first, some.doc_id == first.node, "left_semi")
     # A set's signatures are in the order of their parts.
     keys = once.select(F.col("doc_id").alias("node"), "sure", F.posexplode("keys").alias("part", "key"))
-    shapes = space.keep(once.select(F.col("doc_id").alias("node"), "n_shingles", "sketch"), f"{name}_shapes")
+    shapes = space.keep(once.select(F.col("doc_id").alias("node"), "n_shingles", *small, "sketch"), f"{name}_shapes")
 
     def near(x: str, y: str) -> Column:
         one, two = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
-        differ = sketch_differs(F.col(f"{x}.sketch"), F.col(f"{y}.sketch"))
+        most = F.floor((one + two) * (100 - percent) / (100 + percent))
         sizes = F.least(one, two) * 100 >= F.greatest(one, two) * percent
-        return sizes & (differ * (100 + percent) <= (one + two) * (100 - percent))
+        # The smallest sketches, which are compared within generated code, refuse most pairs of sets that are not large.
+        first = reduce(Column.__add__, (F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in small))
+        return sizes & (first <= most) & (sketch_differs(F.col(f"{x}.sketch"), F.col(f"{y}.sketch")) <= most)
 
     texts = docs.where("doc_id IS NOT NULL")
 
