@@ -276,10 +276,13 @@ def ngram_groups(
         sets.select("doc_id", *same).join(nodes, same, "left").select("doc_id", "n_shingles", "node"), f"{name}_members"
     )
     first = members.where("node = doc_id").select("node").distinct()
-    once = some.join(first, some.doc_id == first.node, "left_semi")
+    # The signatures of one document for each set. Joins of signatures and texts are sort-merge joins at every size.
+    once = some.join(first.hint("merge"), some.doc_id == first.node, "left_semi").drop(*same[1:])
+    once = space.keep(once.withColumnRenamed("doc_id", "node"), f"{name}_once")
+    done(space, f"{name}_sets")
     # A set's signatures are in the order of their parts.
-    keys = once.select(F.col("doc_id").alias("node"), "sure", F.posexplode("keys").alias("part", "key"))
-    shapes = space.keep(once.select(F.col("doc_id").alias("node"), "n_shingles", *small, "sketch"), f"{name}_shapes")
+    keys = once.select("node", "sure", F.posexplode("keys").alias("part", "key"))
+    shapes = once.select("node", "n_shingles", *small, "sketch")
 
     def near(x: str, y: str) -> Column:
         one, two = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
@@ -296,14 +299,14 @@ def ngram_groups(
         pairs = space.keep(pairs.join(one, "a").join(two, "b").where(near("x", "y")).select("a", "b"), f"{name}_close")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         # Repeated rows would repeat their pairs.
-        held = only_maybe(texts, "doc_id", wanted).join(wanted, "doc_id", "left_semi").distinct()
+        held = only_maybe(texts, "doc_id", wanted).join(wanted.hint("merge"), "doc_id", "left_semi").distinct()
         one = held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
         two = held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-        both = pairs.join(two, "b").join(one, "a")
+        both = pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a")
         return both.mapInArrow(_check(n_words, percent), "a long, b long").distinct()
 
     groups = link_by_keys(space, keys, verify, name, shapes, near)
-    done(space, f"{name}_sets", f"{name}_shapes", f"{name}_close")
+    done(space, f"{name}_once", f"{name}_close")
     return members.join(groups, "node", "left").select(
         "doc_id",
         "n_shingles",
