@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 #: How many rows the one that was kept stands for.
 COPIES = "_copies"
+#: Whether a table may have the row's key.
+MAYBE = "_maybe"
+#: Rows of a bitmap of keys, 64 bits each: 8 million bits, a few MB in memory.
+BITMAP_WORDS = 1 << 17
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -31,7 +35,36 @@ def one_per_key(df: DataFrame, key: str, copies: bool = False) -> DataFrame:
     return smallest.select(*columns, *([COPIES] if copies else []))
 
 
-def insert_if_absent(target: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """``target`` plus one row for each key of ``new`` it does not have. Rows already there stay as they are."""
-    absent = one_per_key(new, key).join(target.select(key).distinct(), key, "left_anti")
-    return target.unionAll(absent.select(*target.columns))
+def maybe_in(df: DataFrame, key: str, held: DataFrame, words: int = BITMAP_WORDS) -> DataFrame:
+    """``df`` with a column :data:`MAYBE`: whether ``held`` may have the row's ``key``. It is false only for keys that
+    ``held`` does not have, NULL among them.
+
+    ``held`` becomes a bitmap of hashes, at most ``words`` rows of 64 bits whatever its size, and is broadcast as that. A bitmap
+    that fills up calls every key possible and saves nothing; no answer changes.
+    """
+
+    def place(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column.cast("string")), F.lit(words * 64))
+
+    def mask(at: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
+
+    keys = held.where(F.col(key).isNotNull()).select(place(F.col(key)).alias("at"))
+    bitmap = keys.groupBy(F.shiftright("at", 6).alias("_word")).agg(F.bit_or(mask(F.col("at"))).alias("_bits"))
+    at = place(F.col(key))
+    found = df.join(F.broadcast(bitmap), F.col(key).isNotNull() & (F.shiftright(at, 6) == F.col("_word")), "left")
+    set_ = F.coalesce(F.col("_bits").bitwiseAND(mask(at)) != 0, F.lit(False))
+    return found.withColumn(MAYBE, set_).drop("_word", "_bits")
+
+
+def insert_if_absent(target: DataFrame, new: DataFrame, key: str, words: int = BITMAP_WORDS) -> DataFrame:
+    """``target`` plus one row for each key of ``new`` it does not have. Rows already there stay as they are.
+
+    Most new keys are told from a bitmap of the target's, without a join; only rows whose key the target may have are
+    shuffled to the anti join with it."""
+    told = maybe_in(one_per_key(new, key), key, target, words)
+    columns = [F.col(f"`{c}`") for c in target.columns]
+    surely = told.where(~F.col(MAYBE)).select(*columns)
+    maybe = told.where(MAYBE).select(*columns)
+    held = maybe_in(target.select(key), key, maybe, words).where(MAYBE).select(key).distinct()
+    return target.unionAll(surely).unionAll(maybe.join(held, key, "left_anti").select(*columns))

@@ -240,3 +240,25 @@ def test_counting_keys_shuffles_bitmaps_not_keys(spark):
     assert positions.where("p IS NULL").count() == 0
     assert positions.select(F.bitmap_bucket_number("p")).distinct().count() <= 5
     assert distinct.count_keys(df, "k").first()["qt"] == 100_000
+
+
+@pytest.mark.parametrize("words", [1, 1 << 10])
+def test_insert_if_absent_is_exact_whatever_the_bitmap(table, words):
+    random.seed(13)
+    target = [(f"k{i}", "old") for i in range(0, 900, 3)] + [(None, "keyless"), ("k0", "twice")]
+    new = [(f"k{random.randrange(1500)}", f"new{i}") for i in range(600)] + [(None, "b"), (None, "a")]
+    out = keys.insert_if_absent(table(["k", "v"], *target).repartition(3), table(["k", "v"], *new).repartition(3), "k", words)
+    held = {k for k, _ in target if k is not None}
+    least = {}
+    for k, v in new:
+        least[k] = min(v, least.get(k, v))
+    assert counted(out) == Counter(target) + Counter((k, v) for k, v in least.items() if k is None or k not in held)
+
+
+def test_only_possible_matches_are_shuffled_to_the_anti_join(spark):
+    target = spark.range(0, 20_000).selectExpr("concat('t', id) AS k", "id AS v")
+    new = spark.range(19_000, 40_000).selectExpr("concat('t', id) AS k", "id AS v")
+    told = keys.maybe_in(new, "k", target)
+    possible = told.where(keys.MAYBE).count()
+    assert 1_000 <= possible < 1_200
+    assert keys.insert_if_absent(target, new, "k").count() == 40_000
