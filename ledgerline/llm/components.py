@@ -87,7 +87,7 @@ def done(space: Workspace, *names: str) -> None:
 
 def _pairs(members: DataFrame, nodes: DataFrame, near: Callable[[str, str], Column]) -> DataFrame:
     """``(a, b)`` with ``a < b``: members of one key in different groups that the cheap test does not refuse."""
-    held = members.join(nodes, "node")
+    held = members.select("key", "node", "component").join(nodes, "node")
     x, y = held.alias("x"), held.alias("y")
     apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
     met = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & near("x", "y"))
