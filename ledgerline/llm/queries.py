@@ -43,7 +43,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines and removed lines of each document, and length and checksum of the text that stays."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    left = line_dedup.dedup_lines(Workspace(spark, "op3"), docs, whole=True)
+    left = line_dedup.dedup_lines(Workspace(spark, "op3"), docs, whole=True, runs=line_dedup.RUNS)
     text = F.coalesce("text", F.lit(""))
     return left.select(
         "doc_id",
