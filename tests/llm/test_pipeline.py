@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 import pytest
-from test_line_dedup import brute as brute_lines
+from test_line_dedup import distance, words
 from test_mixing import brute as brute_mix
 from test_ngram_join import shingles
 from test_packing import check
@@ -33,7 +33,11 @@ def corpus(spark, tmp_path_factory):
         if toxic:
             lines[0] = "You blorghead, " + lines[0]
         if i % 10 == 3:
-            lines.insert(1, passage)
+            changed = passage.split(" ")
+            changed[i % 60] = changed[-1 - i % 60] = "other"
+            lines.insert(1, passage if i % 20 == 3 else " ".join(changed))
+        if i % 10 == 6:
+            lines += ["Read more", "READ MORE!"]
         rows.append((i, "\n".join(lines), "en", "ab"[i % 3 == 0], None))
         labels.append((i, 1, int(toxic)))
     rows += [(200 + i, rows[i][1], "en", "b", None) for i in (1, 2, 4)]
@@ -46,6 +50,23 @@ def corpus(spark, tmp_path_factory):
     return folder
 
 
+def brute_lines(rows):
+    """Texts that stay, by the edit distance of the words of all pairs of lines; short lines by equal words."""
+    lines = [(i, k, words(x)) for i, t in sorted(rows) for k, x in enumerate(t.split("\n"))]
+    lines = [(i, k, w, Counter(w)) for i, k, w in lines if w]
+    root = list(range(len(lines)))
+    for a, (*_, u, p) in enumerate(lines):
+        for b, (*_, v, q) in enumerate(lines[:a]):
+            longer = max(len(u), len(v))
+            most = longer * 20 // 100 if min(len(u), len(v)) >= 5 else 0
+            # Each word that the other line lacks takes an edit.
+            if longer - sum((p & q).values()) <= most and distance(u, v) <= most:
+                x, y = sorted((root[a], root[b]))
+                root = [x if r == y else r for r in root]
+    gone = {lines[n][:2] for n in range(len(lines)) if root[n] != n}
+    return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in rows}
+
+
 def test_stages_like_brute_force(spark, corpus, tmp_path):
     docs = spark.read.parquet(f"{corpus}/documents.parquet")
     stages = []
