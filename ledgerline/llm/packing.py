@@ -33,7 +33,9 @@ K1, B, QUERY_TERMS, NEIGHBOURS = 1.2, 0.75, 12, 16
 #: Words whose ids one Python worker remembers.
 REMEMBERED_WORDS = 1_200_000
 #: Words that are tokenized at once, and texts that are cut into words together.
-CHUNK_WORDS, TEXTS = 20_000, 2_000
+CHUNK_WORDS, TEXTS = 20_000, 8_000
+#: Latin letters of the first 256 characters and the marks of ASCII, as in a pattern's brackets.
+LETTERS, MARKS = "A-Za-zªµºÀ-ÖØ-öø-ÿ", r"!-/:-@\[-`{-~"
 
 
 def default_tokenizer() -> str:
@@ -47,7 +49,8 @@ class WordIds:
     """Token ids of texts by way of their words, each tokenized once.
 
     Holds for tokenizers that never join characters across a space or a newline, as those that split at white space
-    first. Words are what spaces and newlines separate; all other characters are left to the tokenizer.
+    first. Words are what spaces and newlines separate; all other characters are left to the tokenizer. Where it also splits
+    between letters and marks, a word of letters that ends in marks has the ids of the letters, then those of the marks.
     """
 
     def __init__(self, path: str):
@@ -57,60 +60,89 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        cut = self.tokenizer.pre_tokenizer
+        self.marks_apart = cut is not None and any(at == 2 for _, (at, _) in cut.pre_tokenize_str("ab!?"))
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {"": 0}
-        self.ends = [np.zeros(1, np.int64)]
-        self.ids = [np.empty(0, np.uint32)]
-
-    def _learn(self, words: list[str]) -> None:
+        self.known = pa.array([""], pa.large_string())
+        self.ends = np.zeros(1, np.int64)
+        self.ids = np.empty(0, np.uint32)
+
+    def _ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the known words at ``places``, one after the other, and where each word's end."""
+        firsts = np.concatenate([[0], self.ends[:-1]])[places]
+        sizes = self.ends[places] - firsts
+        upto = np.cumsum(sizes)
+        at = np.repeat(firsts - (upto - sizes), sizes)
+        at += np.arange(len(at))
+        return self.ids[at], upto
+
+    def _add(self, words: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
+        self.known = pa.concat_arrays([self.known, words])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _learn(self, words: pa.Array) -> None:
+        """Add words that are not known; those of letters and marks come last."""
+        marked = pc.match_substring_regex(words, f"^[{LETTERS}]+[{MARKS}]+$")
+        if not self.marks_apart:
+            marked = pc.and_(marked, False)
+        whole = words.filter(marked)
+        letters = pc.replace_substring_regex(whole, f"[{MARKS}]+$", "")
+        marks = pc.replace_substring_regex(whole, f"^[{LETTERS}]+", "")
+        atoms = pa.concat_arrays([words.filter(pc.invert(marked)), letters, marks]).unique()
+        places = pc.index_in(atoms, self.known)
+        first, fresh = len(self.known), atoms.filter(pc.is_null(places))
         # A word of Latin letters is one run of letters, so its last id alone closes a word; others go by offsets.
-        plain = [w for w in words if w.isalpha() and max(w) < "\u0100"]
-        known = set(plain)
-        rest = [w for w in words if w not in known]
-        for group, simple in ((plain, True), (rest, False)):
-            for at in range(0, len(group), CHUNK_WORDS):
-                self._tokenize(group[at : at + CHUNK_WORDS], simple)
-
-    def _tokenize(self, chunk: list[str], simple: bool) -> None:
+        plain = pc.match_substring_regex(fresh, f"^[{LETTERS}]+$")
+        for group, simple in ((fresh.filter(plain), True), (fresh.filter(pc.invert(plain)), False)):
+            tokens = [self._tokenize(group.slice(at, CHUNK_WORDS).to_pylist(), simple) for at in range(0, len(group), CHUNK_WORDS)]
+            if tokens:
+                ids, counts = map(np.concatenate, zip(*tokens))
+                self._add(group, ids, np.cumsum(counts))
+        if not len(whole):
+            return
+        # Fresh atoms were added in the order of the two groups.
+        added = pc.index_in(fresh, self.known.slice(first))
+        new = places.is_null().to_numpy(zero_copy_only=False)
+        places = places.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        places[new] = first + added.to_numpy(zero_copy_only=False)
+        both = np.stack([pc.index_in(x, atoms).to_numpy() for x in (letters, marks)], axis=1).ravel()
+        ids, ends = self._ids(places[both])
+        self._add(whole, ids, ends[1::2])
+
+    def _tokenize(self, chunk: list[str], simple: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, and how many each word has."""
         text = " ".join(chunk)
-        counts = None
         if simple:
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self.closing[ids])
             if len(ends) == len(chunk):
-                counts = np.diff(ends, prepend=-1)
-        if counts is None:
-            found = self.tokenizer.encode(text, add_special_tokens=False)
-            ids = np.array(found.ids, np.uint32)
-            starts = np.cumsum(np.fromiter(map(len, chunk), np.int64, len(chunk)) + 1)
-            places = np.fromiter((o[0] for o in found.offsets), np.int64, len(ids))
-            counts = np.bincount(np.searchsorted(starts, places, "right"), minlength=len(chunk))
-        self.known.update(zip(chunk, range(len(self.known), len(self.known) + len(chunk))))
-        self.ends.append(self.ends[-1][-1] + np.cumsum(counts))
-        self.ids.append(ids)
+                return ids, np.diff(ends, prepend=-1)
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
+        starts = np.cumsum(np.fromiter(map(len, chunk), np.int64, len(chunk)) + 1)
+        places = np.fromiter((o[0] for o in found.offsets), np.int64, len(ids))
+        return ids, np.bincount(np.searchsorted(starts, places, "right"), minlength=len(chunk))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's begin."""
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = lists.values.slice(lists.offsets[0].as_py(), lists.offsets[-1].as_py() - lists.offsets[0].as_py())
         coded = coded.dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self.known) + len(words) > REMEMBERED_WORDS:
+        words = coded.dictionary.cast(pa.large_string())
+        place = pc.index_in(words, self.known)
+        if len(self.known) + place.null_count > REMEMBERED_WORDS:
             self.clear()
-        self._learn([w for w in words if w not in self.known])
-        if len(self.ids) > 1:
-            self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
-        place = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        ends, pool = self.ends[0], self.ids[0]
-        counts = np.diff(ends, prepend=0)[place]
-        firsts = ends[place] - counts
-        word = coded.indices.to_numpy(zero_copy_only=False)
-        sizes = counts[word]
-        upto = np.cumsum(sizes)
-        total = int(upto[-1]) if len(upto) else 0
-        ids = pool[np.arange(total) + np.repeat(firsts[word] - (upto - sizes), sizes)]
+            place = pc.index_in(words, self.known)
+        new, first = place.is_null().to_numpy(zero_copy_only=False), len(self.known)
+        place = place.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if new.any():
+            unknown = words.filter(new)
+            self._learn(unknown)
+            place[new] = first + pc.index_in(unknown, self.known.slice(first)).to_numpy()
+        ids, upto = self._ids(place[coded.indices.to_numpy(zero_copy_only=False)])
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         return ids, np.concatenate([[0], upto])[offsets]
 
