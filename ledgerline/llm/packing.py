@@ -33,7 +33,7 @@ K1, B, QUERY_TERMS, NEIGHBOURS = 1.2, 0.75, 12, 16
 #: Words whose ids one Python worker remembers.
 REMEMBERED_WORDS = 1_200_000
 #: Words that are tokenized at once, and texts that are cut into words together.
-CHUNK_WORDS, TEXTS = 20_000, 8_000
+CHUNK_WORDS, TEXTS = 20_000, 3_000
 #: Latin letters of the first 256 characters and the marks of ASCII, as in a pattern's brackets.
 LETTERS, MARKS = "A-Za-zªµºÀ-ÖØ-öø-ÿ", r"!-/:-@\[-`{-~"
 
