@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Properties of the served view: its version, the one before, and the one last rolled back.
 SERVED, BACKUP, ERROR = "registry.version", "registry.backup", "registry.error"
@@ -51,6 +51,17 @@ def versions(spark: SparkSession, tables: Tables) -> dict[str, str]:
     return {key: kept[key] for key in (SERVED, BACKUP, ERROR) if key in kept}
 
 
+def chunks_of(version: str) -> str:
+    """The table with the records of a version that its rows cannot hold; versions without such records have none."""
+    return f"{version}_chunks"
+
+
+def served_chunks(spark: SparkSession, tables: Tables) -> DataFrame | None:
+    """The chunks beside the served version, if it has any. They follow the one pointer, in a rollback, too."""
+    served = versions(spark, tables).get(SERVED)
+    return spark.table(chunks_of(served)) if served and spark.catalog.tableExists(chunks_of(served)) else None
+
+
 def next_version(spark: SparkSession, tables: Tables) -> str:
     """The table that the next version is to be written to. What a failed run left there is not in use."""
     used = [int(name.rpartition("_v")[2]) for name in versions(spark, tables).values()]
@@ -120,7 +131,8 @@ def _clean(spark: SparkSession, tables: Tables) -> None:
     database, _, name = tables.served.rpartition(".")
     used = {v.rpartition(".")[2] for v in versions(spark, tables).values()}
     for table in spark.catalog.listTables(database or None):
-        if re.fullmatch(rf"{re.escape(name)}_v\d+", table.name) and table.name not in used and not table.isTemporary:
+        known = re.fullmatch(rf"({re.escape(name)}_v\d+)({chunks_of('')})?", table.name)
+        if known and known[1] not in used and not table.isTemporary:
             _drop(spark, f"{database}.{table.name}" if database else table.name)
 
 

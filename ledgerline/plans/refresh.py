@@ -9,8 +9,8 @@ from ledgerline.operators.fold import FOLDED, KEY
 from ledgerline.operators.joins import Measures
 from ledgerline.operators.keys import COPIES
 from ledgerline.plans import gates, load
-from ledgerline.plans.partners import partners_json
-from ledgerline.plans.publish import Tables, next_version, publish
+from ledgerline.plans.partners import partners_json, partners_with_chunks, records_gate
+from ledgerline.plans.publish import Tables, chunks_of, next_version, publish
 from ledgerline.plans.wide import registry_wide
 from ledgerline.schemas import DATASETS, text_schema, typed_wide_schema
 from ledgerline.sinks.export import export_csv
@@ -19,15 +19,18 @@ from ledgerline.sources.register import require_well_formed, scan, scan_cleaned
 from ledgerline.workspace import Workspace
 
 PARTNERS_JSON = T.StructType([T.StructField(KEY, T.StringType()), T.StructField(FOLDED, T.ArrayType(T.StringType()))])
+CHUNKS = T.StructType([PARTNERS_JSON[KEY], T.StructField("part", T.LongType()), PARTNERS_JSON[FOLDED]])
 
 
 def build(
-    spark: SparkSession, landing: str, workspace: Workspace, database: str, encoding: str = "UTF-8"
-) -> tuple[DataFrame, gates.Counted]:
-    """Landed files → the warehouse tables ``socios_agg_json`` and ``registry_source``; returns the latter and its counts.
+    spark: SparkSession, landing: str, workspace: Workspace, database: str, encoding: str = "UTF-8", chunked: bool = True
+) -> tuple[DataFrame, gates.Counted, DataFrame | None]:
+    """Landed files → the warehouse tables ``socios_agg_json`` and ``registry_source``; returns the latter, its counts and
+    the chunks of companies that have more partners than a row may hold, if there are any.
 
-    Text is parsed once: all datasets go to Parquet, and a line without exactly its dataset's columns stops the run,
-    as does a company with more partners than a row may hold, before any table is written.
+    Text is parsed once: all datasets go to Parquet, and a line without exactly its dataset's columns stops the run before any
+    table is written. So does a company of more partners than a row may hold where the result may not be ``chunked``. With
+    chunks the records in arrays and chunks are counted against the partner rows.
     """
 
     def parsed(name: str) -> DataFrame:
@@ -38,8 +41,15 @@ def build(
     data = {name: parsed(name) for name in DATASETS}
     codes = ("activities", "cities", "legal_natures")
     measures = Measures(data["partners"], *(data[n] for n in ("qualifications", "countries", *codes)))
-    folded = partners_json(data["partners"], data["qualifications"], data["countries"], measures=measures)
+    partners = (data["partners"], data["qualifications"], data["countries"])
+    if chunked:
+        folded, chunks = partners_with_chunks(workspace, *partners, measures=measures)
+    else:
+        folded, chunks = partners_json(*partners, measures=measures), None
     folded = replace_table(folded, f"{database}.socios_agg_json", PARTNERS_JSON)
+    if chunks is not None:
+        chunks = workspace.keep(chunks, "chunks")
+        gates.require(records_gate(*partners, folded, chunks))
     wide = registry_wide(
         data["establishments"],
         data["companies"],
@@ -49,7 +59,7 @@ def build(
     )
     counting = gates.Counting(wide, load.KEY)
     source = replace_table(counting.rows, f"{database}.registry_source", typed_wide_schema())
-    return source, counting.found()
+    return source, counting.found(), chunks
 
 
 def hand_over(
@@ -59,9 +69,12 @@ def hand_over(
     workspace: Workspace,
     tables: Tables,
     through_files: bool = True,
+    chunks: DataFrame | None = None,
 ) -> DataFrame:
     """Load ``source`` as a new version, check it and publish it; returns the served table.
 
+    ``chunks`` of companies above a row's size become a table beside the version, served, backed up and rolled back with it.
+
     Loading goes through exported shards and a staging table, as it must when another system takes over the
     files. Without that, the same rows are loaded straight from ``source``. ``expected`` are the source's counts, seen
     when it was written; both gates compare with what was seen on the way into the tables, without reading them.
@@ -77,6 +90,9 @@ def hand_over(
     counting = gates.Counting(load.typed(rows, copies=True), load.KEY, copies=COPIES)
     replace_table(counting.rows, version, typed_wide_schema(), sort_by="cnae")
     gates.require_typed(counting.found(), expected)
+    spark.sql(f"DROP TABLE IF EXISTS {chunks_of(version)}")
+    if chunks is not None:
+        replace_table(chunks, chunks_of(version), CHUNKS)
     publish(spark, tables, version)
     return spark.table(tables.served)
 
@@ -88,19 +104,22 @@ def refresh(
     run: str | None = None,
     encoding: str = "UTF-8",
     through_files: bool = True,
+    chunked: bool = True,
 ) -> DataFrame:
     """Run everything on the files below ``landing``; returns the served table ``<database>.registry``.
 
     The next refresh into the same database keeps what is served now as the backup. The database is created if it is
-    not there; without one, one of this run's own is used. Runs of the same name overwrite each other's files.
+    not there; without one, one of this run's own is used. Runs of the same name overwrite each other's files. A company of more partners than a row
+    may hold is served with the first chunk of them, the rest is in :func:`ledgerline.plans.publish.served_chunks`; unless
+    ``chunked``, it stops the run.
     """
     workspace = Workspace(spark, "refresh", run)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     else:
         database = workspace.database()
-    source, expected = build(spark, landing, workspace, database, encoding)
-    served = hand_over(spark, source, expected, workspace, Tables(f"{database}.registry"), through_files)
+    source, expected, chunks = build(spark, landing, workspace, database, encoding, chunked)
+    served = hand_over(spark, source, expected, workspace, Tables(f"{database}.registry"), through_files, chunks)
     # What is served is in tables; the run's own files are done with.
     workspace.discard("kept")
     workspace.discard("export")

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.fold import OversizeError
 from ledgerline.plans import gates, load
-from ledgerline.plans.partners import partner_rows, partners_in_parts, partners_json
-from ledgerline.plans.publish import Tables, next_version, publish, rollback, versions
+from ledgerline.plans.partners import partner_rows, partners_in_parts, partners_json, partners_with_chunks, records_gate
+from ledgerline.plans.publish import Tables, next_version, publish, rollback, served_chunks, versions
 from ledgerline.plans.refresh import hand_over, refresh
 from ledgerline.plans.wide import registry_wide, registry_wide_v1, registry_wide_v2
 from ledgerline.schemas import COMPANIES, DATASETS, ESTABLISHMENTS, LOOKUP, PARTNERS, WIDE, WIDE_V1, typed_wide_schema
@@ -442,7 +442,7 @@ def test_an_oversize_company_stops_a_refresh_before_any_table_is_written(spark,
     limited = functools.partial(partners_json, max_bytes=400)
     monkeypatch.setattr("ledgerline.plans.refresh.partners_json", limited)
     with pytest.raises(OversizeError, match="1 "):
-        refresh(spark, str(tmp_path), "oversize_register")
+        refresh(spark, str(tmp_path), "oversize_register", chunked=False)
     assert not spark.catalog.listTables("oversize_register")
 
 
@@ -459,6 +459,45 @@ def test_parts_of_partners_are_the_same_records(reg):
     assert Counter(map(tuple, whole.collect())) == Counter(map(tuple, cut.collect()))
 
 
+def test_an_oversize_company_is_served_in_chunks(spark, reg, table, tmp_path, monkeypatch):
+    """A company of three times the limit and more goes through a refresh, as does any number of partners without one."""
+    partners, columns = reg["partners"], reg["partners"].columns
+    large = partners.where("cnpj_basico IS NOT NULL").select(F.min("cnpj_basico")).first()[0]
+    first = partners.where(F.col("cnpj_basico") == large).limit(1)
+    name, key = F.concat(F.lit("PARTNER "), F.col("id").cast("string")), F.when(F.col("id") % 2 == 0, F.lit(large))
+    more = first.crossJoin(spark.range(60)).withColumn("nome_socio", name).withColumn("cnpj_basico", key).select(*columns)
+    reg = dict(reg, partners=partners.unionAll(more))
+    for dataset, known in DATASETS.items():
+        reg[dataset].write.options(sep=";", encoding="UTF-8", escape='"').csv(f"{tmp_path}/register.{known.suffix}")
+    args = (reg["partners"], reg["qualifications"], reg["countries"])
+    whole = {r[0]: r[1] for r in partners_json(*args, keyless=False).collect()}
+    limit = max(sum(len(x) + 1 for x in whole[large]) // 4, 1)
+    monkeypatch.setattr(
+        "ledgerline.plans.refresh.partners_with_chunks",
+        functools.partial(partners_with_chunks, max_bytes=limit, part_bytes=limit // 3),
+    )
+    served = refresh(spark, str(tmp_path), "chunked_register")
+    tables = Tables("chunked_register.registry")
+    chunks = served_chunks(spark, tables)
+    assert {r["cnpj_basico"] for r in chunks.collect()} == {large} and chunks.count() > 3
+    cells = {r["cnpj_basico"]: r["socios_json"] for r in served.where("cnpj_basico IS NOT NULL").collect()}
+    rest = [x for r in chunks.orderBy("part").collect() for x in r["socios_json"]]
+    texts = {k: sorted(x for x in v) for k, v in whole.items()}
+    for company, cell in cells.items():
+        records = json.loads(f"[{cell}]") + [json.loads(x) for x in rest if company == large]
+        assert Counter(json.dumps(r) for r in records) == Counter(json.dumps(json.loads(x)) for x in texts[company])
+    assert len(cells[large]) <= limit
+    # The gate sees a lost chunk; the next version without large companies has no chunks, and a rollback brings them back.
+    folded = spark.table("chunked_register.socios_agg_json")
+    assert records_gate(*args, folded, chunks).first()["passed"]
+    assert not records_gate(*args, folded, chunks.where(F.col("part") > chunks.agg(F.min("part")).first()[0])).first()["passed"]
+    monkeypatch.setattr("ledgerline.plans.refresh.partners_with_chunks", partners_with_chunks)
+    refresh(spark, str(tmp_path), "chunked_register", run="next")
+    assert served_chunks(spark, tables) is None
+    rollback(spark, tables)
+    assert served_chunks(spark, tables).count() == chunks.count()
+
+
 def test_staging_refuses_records_of_another_width(spark, tmp_path):
     (tmp_path / "part-0.csv").write_text(",".join(WIDE) + "\n" + ",".join("x" * 27) + "\n")
     with pytest.raises(Exception, match="MALFORMED"):
