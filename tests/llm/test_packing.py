@@ -159,3 +159,27 @@ def test_the_ranking_is_followed_until_the_window_is_full():
     frequencies = np.bincount(np.concatenate([np.unique(d) for d in documents]), minlength=300)
     first = packing.fill(documents, packing.Statistics(len(documents), 3.0, frequencies), 128)[0]
     assert {d for d, *_ in first} >= set(range(61, 101))
+
+
+def test_words_of_letters_and_marks_like_the_tokenizer(monkeypatch):
+    """Known, new, marked and odd words, over several calls, also when nothing more can be remembered."""
+    plain = Tokenizer.from_file(packing.default_tokenizer())
+    rng = random.Random(3)
+    words = ["Straße", "naïve", "µm", "ª", "don't", "it's", "a", "B", "é", "≠", "中文", "x1", "12", "a\tb", "", "''", "—", "ÿ"]
+    marks = ["", "", ".", "!!", "'", "'s", "$$$", "̸", "...", "@[`{~", "é", "*,"]
+    for limit in (packing.REMEMBERED_WORDS, 20):
+        monkeypatch.setattr(packing, "REMEMBERED_WORDS", limit)
+        known = packing.WordIds(packing.default_tokenizer())
+        assert known.marks_apart
+        for _ in range(6):
+            texts = [
+                "".join(rng.choice(words) + rng.choice(marks) + rng.choice(" \n") for _ in range(rng.randrange(30))) for _ in range(25)
+            ]
+            ids, starts = known.encode(pa.array(texts, pa.string()))
+            for i, text in enumerate(texts):
+                assert ids[starts[i] : starts[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids, text
+        known.marks_apart = False
+        known.clear()
+        ids, _ = known.encode(pa.array(texts, pa.string()))
+        assert ids.tolist() == [x for text in texts for x in plain.encode(text, add_special_tokens=False).ids]
+        assert len(known.encode(pa.array([], pa.string()))[0]) == 0
