@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 COPIES = "_copies"
 #: Whether a table may have the row's key.
 MAYBE = "_maybe"
+_HASH = "_hash"
 #: Rows of a bitmap of keys, 64 bits each: 8 million bits, a few MB in memory.
 BITMAP_WORDS = 1 << 17
 
@@ -35,6 +36,19 @@ def one_per_key(df: DataFrame, key: str, copies: bool = False) -> DataFrame:
     return smallest.select(*columns, *([COPIES] if copies else []))
 
 
+def one_per_key_of_few(df: DataFrame, key: str, copies: bool = False, words: int = BITMAP_WORDS) -> DataFrame:
+    """:func:`one_per_key` of a stored table in which few keys repeat: only rows whose key may repeat are shuffled.
+
+    Hashes of all keys are counted first, which reads one column; a bitmap of those that come more than once tells the rows whose
+    key is surely alone, and they stay where they are. Where many keys repeat the bitmap fills up and all rows are shuffled."""
+    hashed = F.xxhash64(F.col(key))
+    names = [F.col(f"`{c}`") for c in df.columns]
+    repeated = df.select(hashed.alias(_HASH)).groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    told = maybe_in(df.withColumn(_HASH, hashed), _HASH, repeated, words)
+    alone = told.where(~F.col(MAYBE)).select(*names, *([F.lit(1).cast("long").alias(COPIES)] if copies else []))
+    return alone.unionByName(one_per_key(told.where(MAYBE).select(*names), key, copies))
+
+
 def maybe_in(df: DataFrame, key: str, held: DataFrame, words: int = BITMAP_WORDS) -> DataFrame:
     """``df`` with a column :data:`MAYBE`: whether ``held`` may have the row's ``key``. It is false only for keys that
     ``held`` does not have, NULL among them.

@@ -87,7 +87,7 @@ def hand_over(
         gates.require_staged(counting.found(), expected)
     # Sorted files take the place of an index on the activity code.
     version = next_version(spark, tables)
-    counting = gates.Counting(load.typed(rows, copies=True), load.KEY, copies=COPIES)
+    counting = gates.Counting(load.typed(rows, copies=True, stored=True), load.KEY, copies=COPIES)
     replace_table(counting.rows, version, typed_wide_schema(), sort_by="cnae")
     gates.require_typed(counting.found(), expected)
     spark.sql(f"DROP TABLE IF EXISTS {chunks_of(version)}")

@@ -17,7 +17,7 @@ def replace_table(df: DataFrame, table: str, schema: T.StructType | None = None,
     shuffle, and no more is observable in a table."""
     df = conform(df, schema) if schema else df
     df = df.sortWithinPartitions(sort_by) if sort_by else df
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    df.write.mode("overwrite").format("parquet").option("compression", "zstd").saveAsTable(table)
     return df.sparkSession.table(table)
 
 

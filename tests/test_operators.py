@@ -91,6 +91,38 @@ def test_hot_key_is_spread_over_tasks(spark, skewed, table, settings):
     assert most_in_a_task(hot_rows=50, max_bytes=0) < 600
 
 
+def test_one_per_key_of_few_shuffles_only_rows_whose_key_may_repeat(spark, tmp_path):
+    key = "if(id < 4990, string(id), if(id < 4995, '7', null)) AS cnpj"
+    df = spark.range(5000).selectExpr(key, "id % 4990 AS v", "sha2(string(id), 512) || sha2(string(-id), 512) AS pad")
+    df.write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    expected = keys.one_per_key(df, "cnpj", copies=True)
+    out = keys.one_per_key_of_few(df, "cnpj", copies=True)
+    assert out.schema.names == expected.schema.names
+    assert sorted(map(str, out.collect())) == sorted(map(str, expected.collect()))
+    assert keys.one_per_key_of_few(df, "cnpj").columns == df.columns
+    assert keys.one_per_key_of_few(df.where("v < 0"), "cnpj").count() == 0
+
+    def shuffled(rows):
+        """Bytes of all exchanges of one run."""
+        rows.collect()
+        total, todo = 0, [rows._jdf.queryExecution().executedPlan()]
+        while todo:
+            node = todo.pop()
+            if node.nodeName() == "AdaptiveSparkPlan":
+                todo.append(node.executedPlan())
+                continue
+            if node.nodeName().endswith("QueryStage"):
+                todo.append(node.plan())
+                continue
+            if node.nodeName() == "Exchange":
+                total += node.metrics().apply("shuffleBytesWritten").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+        return total
+
+    assert shuffled(out) < shuffled(expected) / 4
+
+
 def test_one_per_key(table):
     rows = [("k1", "b", "1"), ("k1", "a", "2"), ("k1", "a", None), ("k2", "z", "z"), ("k2", "z", "z")]
     out = keys.one_per_key(table(["cnpj", "x", "y"], *rows), "cnpj")
