@@ -76,3 +76,12 @@ def test_random_keys_miss_no_link_whatever_is_hot(spark):
     expected, _ = linked(spark, keys, true, 10_000)
     for hot_members in (2, 5):
         assert linked(spark, keys, true, hot_members)[0] == expected
+
+
+def test_a_dense_group_is_not_verified_pair_by_pair(spark):
+    # Nodes of one key are linked when their numbers are close, so that the first centre links few of them.
+    keys = [(1, n, 0, 1) for n in range(400)]
+    true = {(a, b) for a in range(400) for b in range(a + 1, min(400, a + 60))}
+    groups, pairs = linked(spark, keys, true, 10_000)
+    assert groups == {n: 0 for n in range(1, 400)}
+    assert pairs < 20_000
