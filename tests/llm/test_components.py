@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm.components import components, link_by_keys, only_maybe
+from ledgerline.llm.components import components, link_by_keys, none_of, only_maybe
 from ledgerline.workspace import Workspace
 
 
@@ -85,3 +85,14 @@ def test_a_dense_group_is_not_verified_pair_by_pair(spark):
     groups, pairs = linked(spark, keys, true, 10_000)
     assert groups == {n: 0 for n in range(1, 400)}
     assert pairs < 20_000
+
+
+def test_none_of_leaves_out_exactly_the_named_rows(spark):
+    df = spark.range(2000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    unwanted = spark.range(0, 4000, 7).select(F.col("id").alias("k"))
+    # A bitmap of two words is full, so that every row is in doubt.
+    for words in (2, 1 << 10):
+        left = none_of(df, "k", unwanted, words=words)
+        assert left.columns == df.columns
+        assert sorted(r.k for r in left.collect()) == [i for i in range(2000) if i % 7]
+    assert none_of(df, "k", unwanted.where("k < 0")).count() == 2000
