@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,8 @@ SAMPLE_ROWS = 20_000
 FEATURES, LEAST, FOLDS = 500, 3, 3
 STEPS, RATE, RIDGE = 80, 0.5, 1e-5
 THRESHOLD = 0.5
+#: Texts whose features a worker holds at a time.
+TEXTS = 500
 #: Long words also count by how they begin.
 STEMS = (4, 5)
 
@@ -57,9 +60,9 @@ class Chain:
     def rows(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the features of each text, one text after the other, and their counts."""
         known = self.vocabulary
-        found = [[known[f] for f in sorted(known.keys() & features(t))] for t in texts]
+        found = [np.array([known[f] for f in sorted(known.keys() & features(t))], np.int32) for t in texts]
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.concatenate([np.empty(0, np.int64), *(np.array(f, np.int64) for f in found)]), counts
+        return np.concatenate([np.empty(0, np.int32), *found]), counts
 
     def predict(self, numbers: np.ndarray, counts: np.ndarray) -> np.ndarray:
         known = np.empty((len(counts), 0))
@@ -122,7 +125,7 @@ def fit_chain(names: Sequence[str], vocabulary: dict[str, int], numbers, counts,
 
 
 def _explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in (b.iloc[i : i + TEXTS] for b in batches for i in range(0, len(b), TEXTS)):
         columns = {c: [] for c in ("feature", *batch.columns.drop("text"))}
         for row in batch.itertuples(index=False):
             found = features(row.text)
@@ -202,11 +205,15 @@ def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     fields = ", ".join(f"`{n}`: double" for n in chain.names)
 
-    @F.pandas_udf(f"struct<{fields}>")
-    def probabilities(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf(f"struct<{fields}>")
+    def probabilities(texts: pa.Array) -> pa.Array:
         model = shared.value
-        found = model.predict(*model.rows(texts.tolist()))
-        return pd.DataFrame(found, columns=list(model.names))
+        # Few texts at a time become Python's; the others stay in the batch that came.
+        parts = [model.rows(texts.slice(i, TEXTS).to_pylist()) for i in range(0, max(len(texts), 1), TEXTS)]
+        found = model.predict(*(np.concatenate(x) for x in zip(*parts)))
+        # Workers stay for the next step; what batches before this one took need not.
+        pa.default_memory_pool().release_unused()
+        return pa.StructArray.from_arrays([pa.array(p) for p in found.T], list(model.names))
 
     names = [F.col(f"`{c}`") for c in docs.columns]
     return docs.select(*names, probabilities(F.col(f"`{text}`")).alias(free_name(docs.columns, "toxicity")))

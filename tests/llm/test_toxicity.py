@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ledgerline.llm import toxicity
@@ -76,3 +77,18 @@ def test_labels_without_use(docs, spark):
     assert toxicity.score(docs(rows), chain).where("toxicity.toxic >= 0.5").count() == 0
     nothing = toxicity.train(docs(rows), one_sided.where("doc_id < 0"))
     assert toxicity.score(docs(rows), nothing).count() == 60
+
+
+def test_features_of_few_texts_are_held_at_a_time():
+    batch = pd.DataFrame({"text": ["rain hill"] * 1200, "y0": 1.0})
+    frames = list(toxicity._explode(iter([batch])))
+    assert [len(x) for x in frames] == [1000, 1000, 400]
+
+
+def test_scores_do_not_depend_on_how_many_texts_are_held(docs):
+    rows, labels = corpus(700, 3)
+    chain = toxicity.Chain(("a",), {"rain": 0, "hill": 1}, (np.array([2.0, -1.0, 0.5]),))
+    got = {r.doc_id: r.toxicity.a for r in toxicity.score(docs(rows, 1), chain).collect()}
+    numbers, counts = chain.rows([t for _, t in rows])
+    want = chain.predict(numbers, counts)[:, 0]
+    assert numbers.dtype == np.int32 and np.allclose([got[i] for i, _ in rows], want, rtol=0, atol=1e-12)
