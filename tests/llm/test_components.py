@@ -96,3 +96,25 @@ def test_none_of_leaves_out_exactly_the_named_rows(spark):
         assert left.columns == df.columns
         assert sorted(r.k for r in left.collect()) == [i for i in range(2000) if i % 7]
     assert none_of(df, "k", unwanted.where("k < 0")).count() == 2000
+
+
+def test_members_of_a_large_group_are_not_all_paired(spark, monkeypatch):
+    """Half of all pairs are links, so half of the nodes are not linked to the first centre of their keys."""
+    paired = []
+    keep = Workspace.keep
+
+    def watched(self, df, name, *more):
+        out = keep(self, df, name, *more)
+        if "_met_" in name or "_crowd_1" in name:
+            paired.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(Workspace, "keep", watched)
+    random.seed(3)
+    n = 400
+    true = {(a, b) for a in range(n) for b in range(a + 1, n) if random.random() < 0.5}
+    keys = [(k, node, k, 1) for node in range(n) for k in range(8)]
+    groups, _ = linked(spark, keys, true, 1500)
+    assert groups == {node: 0 for node in range(1, n)}
+    assert any("crowd" in name for name, _ in paired)
+    assert sum(rows for _, rows in paired) < 10 * n
